@@ -1,0 +1,155 @@
+"""Synthetic source entities.
+
+Every value is a hash of the row number and a column label, so the data does not depend
+on the number of partitions and a single row can be recomputed.
+"""
+
+from __future__ import annotations
+
+import datetime as dt
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+
+from shelfline.operators.ranks import dense_position
+
+# Rows per size, weights and domains.
+SIZES = {
+    "small": {"customers": 1_000, "products": 100, "orders": 10_000, "pos_sales": 3_000},
+    "medium": {"customers": 10_000, "products": 500, "orders": 100_000, "pos_sales": 30_000},
+    "large": {"customers": 100_000, "products": 5_000, "orders": 1_000_000, "pos_sales": 300_000},
+}
+CATEGORY_WEIGHTS = (("Electronics", 25), ("Clothing", 35), ("Food", 15), ("Home", 25))
+STATUS_WEIGHTS = (("completed", 80), ("returned", 10), ("pending", 10))
+STORES = (
+    "STORE_NYC_001", "STORE_LAX_002", "STORE_CHI_003", "STORE_HOU_004", "STORE_PHX_005",
+    "STORE_PHL_006", "STORE_SFO_007", "STORE_BOS_008", "STORE_DFW_009", "STORE_MIA_010",
+)
+PAYMENTS = ("credit_card", "debit_card", "cash", "mobile_wallet")
+SUPPLIERS = (
+    "China", "USA", "Germany", "India", "Vietnam", "Mexico", "Japan", "South Korea", "Italy", "Brazil",
+)
+GENDERS = ("Male", "Female", "Non-binary")
+
+
+def draw(row: Column, label: str, n: int) -> Column:
+    """A number in [0, n) for this row and column: the head of an MD5 digest, modulo n."""
+    digest = F.md5(F.concat_ws(":", F.lit(label), row.cast("string")))
+    return F.conv(F.substring(digest, 1, 8), 16, 10).cast("bigint") % n
+
+
+def between(row: Column, label: str, low: int, high: int) -> Column:
+    return (draw(row, label, high - low + 1) + low).cast("int")
+
+
+def one_of(row: Column, label: str, values: Sequence[str]) -> Column:
+    return F.element_at(F.array(*map(F.lit, values)), draw(row, label, len(values)).cast("int") + 1)
+
+
+def weighted(row: Column, label: str, weights: Sequence[tuple[str, int]]) -> Column:
+    total = sum(w for _, w in weights)
+    ticket, edge, choice = draw(row, label, total), 0, None
+    for value, weight in weights:
+        edge += weight
+        test = ticket < edge
+        choice = F.when(test, value) if choice is None else choice.when(test, value)
+    return choice
+
+
+def _day(row: Column, label: str, until: dt.date, days: int) -> Column:
+    return F.date_sub(F.lit(until), draw(row, label, days).cast("int")).cast("string")
+
+
+def identifier(kind: str, row: Column) -> Column:
+    return F.concat(F.lit(f"{kind}-"), F.md5(F.concat_ws(":", F.lit(kind), row.cast("string"))))
+
+
+def customers(spark: SparkSession, n: int, until: dt.date) -> DataFrame:
+    row = F.col("id")
+    first = F.concat(F.lit("First"), draw(row, "first", 500).cast("string"))
+    last = F.concat(F.lit("Last"), draw(row, "last", 1000).cast("string"))
+    return spark.range(n).select(
+        identifier("customer", row).alias("customer_id"),
+        first.alias("first_name"),
+        last.alias("last_name"),
+        F.concat(F.lower(first), F.lit("."), F.lower(last), F.lit("."), F.lpad(row.cast("string"), 6, "0"),
+                 F.lit("@example.com")).alias("email"),
+        one_of(row, "country", SUPPLIERS).alias("country"),
+        F.concat(F.lit("City"), draw(row, "city", 300).cast("string")).alias("city"),
+        _day(row, "signup", until, 3 * 365).alias("signup_date"),
+        between(row, "age", 18, 80).alias("age"),
+        one_of(row, "gender", GENDERS).alias("gender"),
+    )
+
+
+def products(spark: SparkSession, n: int) -> DataFrame:
+    row = F.col("id")
+    return spark.range(n).select(
+        identifier("product", row).alias("product_id"),
+        F.concat(F.lit("Item "), draw(row, "name", 10_000).cast("string")).alias("name"),
+        weighted(row, "category", CATEGORY_WEIGHTS).alias("category"),
+        between(row, "price", 99, 99_999).cast("bigint").alias("price_cents"),
+        between(row, "stock", 0, 1000).alias("stock_quantity"),
+        one_of(row, "supplier", SUPPLIERS).alias("supplier_country"),
+    )
+
+
+def numbered(ids: DataFrame, column: str) -> DataFrame:
+    """Existing ids with a dense number from 0, for orders to draw from.
+
+    Partition counts give each partition its offset, so the numbering is parallel. Ids
+    are range partitioned first, which makes the numbering repeatable.
+    """
+    return dense_position(ids.select(column).distinct(), column, "position")
+
+
+def orders(
+    spark: SparkSession, n: int, customer_ids: DataFrame, customer_count: int,
+    product_ids: DataFrame, product_count: int, until: dt.date,
+) -> DataFrame:
+    """Orders that refer to existing customers and products.
+
+    ``customer_ids`` and ``product_ids`` hold (position, id) with positions 0..count-1.
+    """
+    row = F.col("id")
+    base = spark.range(n).select(
+        identifier("order", row).alias("order_id"),
+        draw(row, "customer", customer_count).alias("_c"),
+        draw(row, "product", product_count).alias("_p"),
+        between(row, "quantity", 1, 10).alias("quantity"),
+        _day(row, "order_date", until, 2 * 365).alias("order_date"),
+        weighted(row, "status", STATUS_WEIGHTS).alias("status"),
+        between(row, "discount", 0, 50).alias("discount_pct"),
+        between(row, "shipping", 1, 14).alias("shipping_days"),
+    )
+    c = customer_ids.select(F.col("position").alias("_c"), "customer_id")
+    p = product_ids.select(F.col("position").alias("_p"), "product_id")
+    return base.join(c, "_c").join(p, "_p").select(
+        "order_id", "customer_id", "product_id", "quantity", "order_date", "status", "discount_pct",
+        "shipping_days",
+    )
+
+
+def pos_sales(
+    spark: SparkSession, n: int, product_ids: DataFrame, product_count: int, until: dt.date
+) -> DataFrame:
+    """Store sales. The total is drawn on its own, like a till total with extra items."""
+    row = F.col("id")
+    seconds = draw(row, "time", 2 * 365 * 86_400)
+    moment = F.timestamp_seconds(F.unix_date(F.lit(until)).cast("bigint") * 86_400 - seconds)
+    base = spark.range(n).select(
+        identifier("sale", row).alias("sale_id"),
+        one_of(row, "store", STORES).alias("store_id"),
+        draw(row, "sold", product_count).alias("_p"),
+        between(row, "quantity", 1, 5).alias("quantity"),
+        between(row, "unit_price", 199, 99_999).cast("bigint").alias("unit_price_cents"),
+        (between(row, "total_price", 199, 99_999).cast("bigint") * between(row, "total_units", 1, 5))
+        .alias("total_amount"),
+        F.date_format(moment, "yyyy-MM-dd'T'HH:mm:ss").alias("transaction_timestamp"),
+        one_of(row, "payment", PAYMENTS).alias("payment_method"),
+    )
+    p = product_ids.select(F.col("position").alias("_p"), "product_id")
+    return base.join(p, "_p").select(
+        "sale_id", "store_id", "product_id", "quantity", "unit_price_cents", "total_amount",
+        "transaction_timestamp", "payment_method",
+    )
