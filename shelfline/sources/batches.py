@@ -32,6 +32,10 @@ class BatchTable:
     def where(self, condition) -> "BatchTable":
         return BatchTable(self.frame.where(condition), self.dates)
 
+    def until(self, day: dt.date) -> "BatchTable":
+        kept = tuple(d for d in self.dates if d <= day) if self.dates else None
+        return BatchTable(self.frame.where(F.col(EXEC_DATE) <= F.lit(day)), kept)
+
     @staticmethod
     def of(batches: Sequence[tuple[dt.date, DataFrame]]) -> "BatchTable":
         """One table from one frame per date."""
@@ -47,3 +51,7 @@ class RawTables:
     customers: BatchTable
     products: BatchTable
     orders: BatchTable
+
+    def until(self, day: dt.date) -> "RawTables":
+        """The tables as they were after the batch of ``day``."""
+        return RawTables(*(t.until(day) for t in (self.customers, self.products, self.orders)))

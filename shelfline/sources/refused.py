@@ -17,6 +17,8 @@ def write_refused(df: DataFrame, root: str, entity: str, stamp: str) -> None:
         .withColumn("stamp", F.lit(stamp))
         .write.mode("append")
         .option("header", True)
+        .option("ignoreLeadingWhiteSpace", False)
+        .option("ignoreTrailingWhiteSpace", False)
         .partitionBy("entity", EXEC_DATE, "stamp")
         .csv(root)
     )

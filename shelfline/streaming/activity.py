@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 
 def minute_activity(events: DataFrame, system: str, moment: str, delay: str = "10 minutes") -> DataFrame:
@@ -31,5 +31,6 @@ def run_to_table(stream: DataFrame, path: str, progress: str) -> DataFrame:
     return stream.sparkSession.read.schema(stream.schema).parquet(path)
 
 
-def event_stream(spark: SparkSession, path: str, schema) -> DataFrame:
-    return spark.readStream.schema(schema).parquet(path)
+def event_stream(spark: SparkSession, folder: str, schema: T.StructType, names: str = "*.parquet") -> DataFrame:
+    """Parquet files as they arrive in a folder."""
+    return spark.readStream.schema(schema).option("pathGlobFilter", names).parquet(folder)
