@@ -128,12 +128,17 @@ def as_of(facts: DataFrame, history: DataFrame, key: str, day: str, calendar: Da
     in force, by a table of one row per batch, and the versions are then matched on
     equality. A key with many facts and many versions never forms their product.
     """
-    # Days are few, so the range lookup runs on the distinct days of the facts.
+    # Days and batch dates merged into one sorted list: every day takes the last batch
+    # before it. The list has one row per calendar day, so one task may sort it.
     days = facts.select(F.col(day).alias("_day")).where(F.col("_day").isNotNull()).distinct()
-    ends = F.coalesce(F.col("next_batch"), F.lit(dt.date(9999, 12, 31)))
-    in_force = days.join(
-        calendar, (F.col("_day") >= F.col(EXEC_DATE)) & (F.col("_day") < ends)
-    ).select("_day", F.col(EXEC_DATE).alias("_batch"))
+    marks = days.withColumn("_mark", F.lit(None).cast("date")).unionByName(
+        calendar.select(F.col(EXEC_DATE).alias("_day"), F.col(EXEC_DATE).alias("_mark"))
+    )
+    so_far = Window.orderBy(F.col("_day"), F.col("_mark").asc_nulls_last())
+    in_force = (
+        marks.withColumn("_batch", F.last("_mark", ignorenulls=True).over(so_far))
+        .where(F.col("_mark").isNull()).select("_day", "_batch")
+    )
     placed = facts.join(in_force, F.col(day) == F.col("_day"), "left").drop("_day")
     renamed = history.withColumnsRenamed({c: f"v_{c}" for c in history.columns})
     matched = placed.join(

@@ -9,6 +9,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from shelfline.operators.rows import first_per_key
@@ -79,7 +80,15 @@ class MonthlyFact:
         if bound is None:
             self.refresh(source)
             return None
-        fresh = new_rows(source, bound)
+        # The increment is used for the keys, the months and the write.
+        fresh = new_rows(source, bound).persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            self._merge(fresh)
+        finally:
+            fresh.unpersist()
+        return bound
+
+    def _merge(self, fresh: DataFrame) -> None:
         stored = self.spark.read.parquet(self.path)
         month_of_new = F.date_format("order_date", "yyyy-MM").alias(MONTH)
         touched = (
@@ -89,7 +98,7 @@ class MonthlyFact:
         # At most one value per calendar month.
         months = {r[0] for r in touched.collect()}
         if not months:
-            return bound
+            return
         target = stored.where(F.col(MONTH).isin(*months)).drop(MONTH)
         after = merged(target, fresh, ["order_id"])
         filled = {r[0] for r in after.select(month_of_new).distinct().collect()}
@@ -97,7 +106,6 @@ class MonthlyFact:
         # A month whose last order moved elsewhere is not part of the write.
         for month in months - {m or "none" for m in filled}:
             paths.delete(self.spark, f"{self.path}/{MONTH}={month}")
-        return bound
 
 
 def latest_changes(changes: DataFrame, order: Sequence[Column]) -> DataFrame:
@@ -106,15 +114,18 @@ def latest_changes(changes: DataFrame, order: Sequence[Column]) -> DataFrame:
 
 
 class RecordStore:
-    """Latest state per record, spread over 256 folders by the head of the record id.
+    """Latest state per record, spread over folders by the first hex digits of the record id:
+    16 folders for one digit, 256 for two, 4096 for three. A merge rewrites the folders its
+    changes fall into.
 
     A merge is a function of the stored state and the changes, so repeating one after a
     failure gives the same table.
     """
 
-    def __init__(self, spark: SparkSession, path: str):
+    def __init__(self, spark: SparkSession, path: str, digits: int = 2):
         self.spark = spark
         self.path = path
+        self.digits = digits
 
     def read(self) -> DataFrame:
         return self.spark.read.parquet(self.path).drop(BUCKET)
@@ -122,7 +133,7 @@ class RecordStore:
     def merge(self, changes: DataFrame) -> None:
         """Insert or replace by record_id. System and key follow from the id, so a replaced row
         keeps them."""
-        spread = changes.withColumn(BUCKET, F.substring("record_id", 1, 2))
+        spread = changes.withColumn(BUCKET, F.substring("record_id", 1, self.digits))
         if not paths.glob(self.spark, f"{self.path}/{BUCKET}=*"):
             paths.overwrite_partitions(spread, self.path, BUCKET)
             return

@@ -44,12 +44,17 @@ def kpis_by_country(marts: Marts) -> DataFrame:
 def extra_kpis(marts: Marts, country: str | None = None) -> DataFrame:
     """Average order value over all statuses, open or returned orders, and their rate."""
     orders = _orders_of(marts.fct_orders, marts, country)
-    # One row per order and status side, so the distinct counts become plain sums.
-    unfinished = F.when(F.col("status") != "completed", F.col("order_id"))
-    counted = orders.agg(
+    # Rolled up per order first: both distinct counts are then plain counts, and one
+    # shuffle of partial sums replaces an expansion of every row.
+    per_order = orders.groupBy("order_id").agg(
+        F.max(F.col("status") != "completed").alias("open"),
         money_sum(F.col("net_revenue_dollars")).alias("revenue"),
-        F.count_distinct(unfinished).alias("non_completed"),
-        F.count_distinct("order_id").alias("all_orders"),
+    )
+    known = F.col("order_id").isNotNull()
+    counted = per_order.agg(
+        money_sum(F.col("revenue")).alias("revenue"),
+        F.count_if(known & F.col("open")).alias("non_completed"),
+        F.count_if(known).alias("all_orders"),
     )
     rate = F.col("non_completed") / F.nullif(F.col("all_orders").cast("double"), F.lit(0.0)) * 100
     return counted.select(

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from collections.abc import Callable
 from functools import cached_property
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from shelfline.functions import cents_to_dollars, mask_email, mask_string, net_cents
@@ -89,18 +90,14 @@ def dim_customers(
     Measures depend on customer_id alone, so they are aggregated before the versions
     are joined: the versions never multiply the orders.
     """
-    # Units per customer and product first: the product join then sees one row per pair.
     prices = products.select("product_id", "price_cents")
-    value = (
-        orders.groupBy("customer_id", "product_id").agg(F.sum("quantity").alias("units"))
-        .join(prices, "product_id")
-        .groupBy("customer_id").agg(F.sum(F.col("units") * F.col("price_cents")).alias("value"))
+    worth = F.col("quantity").cast("bigint") * F.col("price_cents")
+    measures = orders.join(prices, "product_id", "left").groupBy("customer_id").agg(
+        F.count_distinct("order_id").alias("n"), F.sum(worth).alias("value")
     )
-    counts = orders.groupBy("customer_id").agg(F.count_distinct("order_id").alias("n"))
     return (
         customer_attributes(history, mask)
-        .join(counts, "customer_id", "left")
-        .join(value, "customer_id", "left")
+        .join(measures, "customer_id", "left")
         .withColumn("total_orders", F.coalesce("n", F.lit(0)))
         .withColumn("lifetime_value_cents", F.coalesce("value", F.lit(0)))
         .select(
@@ -126,29 +123,43 @@ def dim_products(products: DataFrame, orders: DataFrame) -> DataFrame:
     )
 
 
-@dataclass
 class Marts:
     """What the analytics read: the fact, customer versions and products.
 
-    ``from_raw`` composes them lazily from the raw batches; ``read`` takes the tables
-    that ``write`` stored. Analytics never ask for dimension measures they do not use.
+    ``Models.marts`` composes them lazily from the raw batches; ``read`` takes the tables
+    that ``Models.write`` stored. Each is only built when a query asks for it, and analytics
+    never ask for dimension measures they do not use.
     """
 
-    fct_orders: DataFrame
-    customers: DataFrame
-    products: DataFrame
+    def __init__(
+        self, fct_orders: Callable[[], DataFrame], customers: Callable[[], DataFrame],
+        products: Callable[[], DataFrame],
+    ):
+        self._makers = (fct_orders, customers, products)
+
+    @cached_property
+    def fct_orders(self) -> DataFrame:
+        return self._makers[0]()
+
+    @cached_property
+    def customers(self) -> DataFrame:
+        return self._makers[1]()
+
+    @cached_property
+    def products(self) -> DataFrame:
+        return self._makers[2]()
 
     @property
     def current_customers(self) -> DataFrame:
         return self.customers.where("is_current")
 
-    @staticmethod
-    def from_raw(raw: RawTables) -> "Marts":
-        return Models(raw).marts
-
     @staticmethod
     def read(spark: SparkSession, root: str) -> "Marts":
-        return Marts(*(spark.read.parquet(f"{root}/{n}") for n in ("fct_orders", "dim_customers", "dim_products")))
+        return Marts(
+            lambda: spark.read.parquet(f"{root}/fct_orders"),
+            lambda: spark.read.parquet(f"{root}/dim_customers"),
+            lambda: spark.read.parquet(f"{root}/dim_products"),
+        )
 
 
 class Models:
@@ -207,7 +218,11 @@ class Models:
 
     @cached_property
     def marts(self) -> Marts:
-        return Marts(self.fct_orders, customer_attributes(self.scd_customers), self.stg_products)
+        return Marts(
+            lambda: self.fct_orders,
+            lambda: customer_attributes(self.scd_customers),
+            lambda: self.stg_products,
+        )
 
     def tested(self) -> dict[str, DataFrame]:
         names = (
@@ -217,7 +232,12 @@ class Models:
         return {name: getattr(self, name) for name in names}
 
     def write(self, root: str) -> None:
-        """Materialise the marts. Staging stays lazy; the fact is laid out by month."""
-        self.dim_customers.write.mode("overwrite").parquet(f"{root}/dim_customers")
-        self.dim_products.write.mode("overwrite").parquet(f"{root}/dim_products")
-        self.fct_orders.write.mode("overwrite").parquet(f"{root}/fct_orders")
+        """Materialise the marts. Staging stays lazy, except that the staged orders, which all
+        three marts read, are kept while they are written."""
+        self.stg_orders.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            for name in ("dim_customers", "dim_products", "fct_orders"):
+                table = getattr(self, name).hint("rebalance")
+                table.write.mode("overwrite").parquet(f"{root}/{name}")
+        finally:
+            self.stg_orders.unpersist()

@@ -63,7 +63,7 @@ class Lake:
         return self.read(entity, schema).where(F.col(EXEC_DATE) == F.lit(day))
 
     def batches(self, entity: str, schema: T.StructType | None = None) -> BatchTable:
-        return BatchTable(self.read(entity, schema), self.dates(entity))
+        return BatchTable(lambda: self.read(entity, schema), self.dates(entity))
 
     def drop_day(self, entity: str, day: dt.date) -> bool:
         """Remove one day; tells whether it was there."""

@@ -53,11 +53,11 @@ def partition_values(spark: SparkSession, root: str, *columns: str) -> list[dict
 def overwrite_partitions(df: DataFrame, path: str, *columns: str) -> None:
     """Replace exactly the partitions that occur in ``df``.
 
-    The rebalance hint lets AQE write files of an even size and split a partition that
-    holds most of the rows.
+    Rebalancing by the partition columns keeps the number of files near the number of
+    partitions, and AQE splits a partition that holds most of the rows into even files.
     """
     (
-        df.hint("rebalance")
+        df.hint("rebalance", *columns)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .option("compression", "snappy")

@@ -17,147 +17,143 @@ DAILY = (dt.date(2024, 1, 1), dt.date(2024, 1, 2), dt.date(2024, 1, 3))
 YEARLY = (dt.date(1995, 1, 1), dt.date(1997, 6, 1), dt.date(1999, 6, 1))
 
 
+# The columns the adapter reads. Declared, so that opening a table needs no look at its files.
+COLUMNS = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int",
+    "part": "p_partkey bigint, p_name string, p_type string, p_size int, p_retailprice double",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_orderdate timestamp_ntz",
+    "lineitem": (
+        "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, "
+        "l_discount double, l_shipdate timestamp_ntz"
+    ),
+    "events": (
+        "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
+    ),
+}
+
+
 class Star:
     """Reads the star tables of one folder and derives the retail entities."""
 
     def __init__(self, spark: SparkSession, folder: str):
         self.spark = spark
         self.folder = folder.rstrip("/")
+        self._tables: dict[str, DataFrame] = {}
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        if name not in self._tables:
+            reader = self.spark.read.schema(COLUMNS[name])
+            self._tables[name] = reader.parquet(f"{self.folder}/{name}.parquet")
+        return self._tables[name]
+
+    def _spread(self, name: str, key: str) -> DataFrame:
+        """A table over at least as many partitions as there are cores.
+
+        A table of few splits would be derived by few tasks. Tables with more splits than
+        cores, as all large ones, are left as they are.
+        """
+        table = self.table(name)
+        cores = self.spark.sparkContext.defaultParallelism
+        return table if table.rdd.getNumPartitions() >= cores else table.repartition(cores, key)
 
     def raw(self) -> RawTables:
         return RawTables(self.customers(), self.products(), self.orders())
 
     def customers(self, dates: tuple[dt.date, ...] = DAILY) -> BatchTable:
-        key = F.col("c_custkey")
-        padded = F.lpad(key.cast("string"), 9, "0")
-        usual = F.concat(F.lit("customer."), padded, F.lit("@example.com"))
-        neighbour = F.concat(
-            F.lit("customer."), F.lpad((key - 1).cast("string"), 9, "0"), F.lit("@example.com")
-        )
-        email = (
-            F.when(key % 97 == 5, F.concat(F.lit("customer."), padded))
-            .when(key % 13 == 0, F.concat(F.lit("CUSTOMER."), padded, F.lit("@EXAMPLE.COM ")))
-            .when(key % 40 == 7, neighbour)
-            .otherwise(usual)
-        )
-        gender = (
-            F.when(key % 7 == 0, "Other").when(key % 7 == 6, "Non-binary")
-            .when(key % 7 <= 3, "Male").otherwise("Female")
-        )
         placed = (
             self.table("customer")
             .join(self.table("nation"), F.col("c_nationkey") == F.col("n_nationkey"))
             .join(self.table("region"), F.col("n_regionkey") == F.col("r_regionkey"))
         )
 
-        def batch(number: int) -> DataFrame:
-            city = F.col("r_name")
-            if number >= 2:
-                city = F.when(key % 10 == 0, "Moved").otherwise(city)
-            rows = placed
-            if number == 3:
-                rows = rows.where(key % 50 != 1)
-            if number == 1:
-                rows = rows.where(key % 50 != 2)
-            return rows.select(
-                key.cast("string").alias("customer_id"),
-                F.when(key % 11 == 0, "  Customer ").otherwise("Customer").alias("first_name"),
-                F.expr("substr(c_name, 10)").alias("last_name"),
-                email.alias("email"),
-                F.col("n_name").alias("country"),
-                city.alias("city"),
-                F.date_add(F.lit(dt.date(1995, 1, 1)), (key * 37 % 2000).cast("int"))
-                .cast("string").alias("signup_date"),
-                F.when(key % 89 == 3, 17).otherwise(18 + key * 7 % 60).cast("int").alias("age"),
-                gender.alias("gender"),
+        def batch(day: dt.date) -> DataFrame:
+            number = dates.index(day) + 1
+            present = {1: "c_custkey % 50 <> 2", 2: "true", 3: "c_custkey % 50 <> 1"}[number]
+            moved = "CASE WHEN c_custkey % 10 = 0 THEN 'Moved' ELSE r_name END"
+            return placed.where(present).selectExpr(
+                "CAST(c_custkey AS STRING) AS customer_id",
+                "CASE WHEN c_custkey % 11 = 0 THEN '  Customer ' ELSE 'Customer' END AS first_name",
+                "substr(c_name, 10) AS last_name",
+                """CASE
+                WHEN c_custkey % 97 = 5 THEN concat('customer.', lpad(CAST(c_custkey AS STRING), 9, '0'))
+                WHEN c_custkey % 13 = 0
+                THEN concat('CUSTOMER.', lpad(CAST(c_custkey AS STRING), 9, '0'), '@EXAMPLE.COM ')
+                WHEN c_custkey % 40 = 7
+                THEN concat('customer.', lpad(CAST(c_custkey - 1 AS STRING), 9, '0'), '@example.com')
+                ELSE concat('customer.', lpad(CAST(c_custkey AS STRING), 9, '0'), '@example.com')
+                END AS email""",
+                "n_name AS country",
+                f"{moved if number >= 2 else 'r_name'} AS city",
+                "CAST(date_add(DATE'1995-01-01', CAST(c_custkey * 37 % 2000 AS INT)) AS STRING) AS signup_date",
+                "CAST(CASE WHEN c_custkey % 89 = 3 THEN 17 ELSE 18 + c_custkey * 7 % 60 END AS INT) AS age",
+                """CASE WHEN c_custkey % 7 = 0 THEN 'Other' WHEN c_custkey % 7 = 6 THEN 'Non-binary'
+                WHEN c_custkey % 7 <= 3 THEN 'Male' ELSE 'Female' END AS gender""",
             )
 
-        return BatchTable.of([(day, batch(n)) for n, day in enumerate(dates, 1)])
+        return BatchTable.of(dates, batch)
 
     def products(self) -> BatchTable:
-        key = F.col("p_partkey")
-        category = (
-            F.when(F.col("p_type").isin("ECONOMY", "SMALL"), "Food")
-            .when(F.col("p_type") == "LARGE", "Home")
-            .when(F.col("p_type") == "MEDIUM", "Electronics")
-            .otherwise("Clothing")
-        )
-        price = (
-            F.when(key % 211 == 4, 0).when(key % 223 == 6, -100)
-            .otherwise(F.round(F.col("p_retailprice") * 100))
-        )
         rows = (
             self.table("part")
-            .join(self.table("nation"), key % 25 == F.col("n_nationkey"))
-            .select(
-                key.cast("string").alias("product_id"),
-                F.concat(F.lit(" "), F.col("p_name"), F.lit(" ")).alias("name"),
-                category.alias("category"),
-                price.cast("bigint").alias("price_cents"),
-                (F.col("p_size") * 20).cast("int").alias("stock_quantity"),
-                F.col("n_name").alias("supplier_country"),
+            .join(self.table("nation"), F.col("p_partkey") % 25 == F.col("n_nationkey"))
+            .selectExpr(
+                "CAST(p_partkey AS STRING) AS product_id",
+                "concat(' ', p_name, ' ') AS name",
+                """CASE WHEN p_type IN ('ECONOMY', 'SMALL') THEN 'Food' WHEN p_type = 'LARGE' THEN 'Home'
+                WHEN p_type = 'MEDIUM' THEN 'Electronics' ELSE 'Clothing' END AS category""",
+                """CAST(CASE WHEN p_partkey % 211 = 4 THEN 0 WHEN p_partkey % 223 = 6 THEN -100
+                ELSE round(p_retailprice * 100) END AS BIGINT) AS price_cents""",
+                "CAST(p_size * 20 AS INT) AS stock_quantity",
+                "n_name AS supplier_country",
             )
         )
-        return BatchTable.of([(day, rows) for day in DAILY])
+        return BatchTable.of(DAILY, lambda day: rows)
 
     def orders(self) -> BatchTable:
-        key = F.col("l_orderkey")
-        order_id = F.concat_ws(
-            "-", key.cast("string"), F.col("l_linenumber").cast("string"),
-            F.col("l_partkey").cast("string"), F.col("l_suppkey").cast("string"),
-            F.col("l_shipdate").cast("date").cast("string"),
-        )
-        status = (
-            F.when(F.col("o_orderstatus") == "F", "Completed")
-            .when(F.col("o_orderstatus") == "O", " pending")
-            .otherwise("returned")
-        )
-        lines = self.table("lineitem")
+        lines = self._spread("lineitem", "l_orderkey")
         heads = self.table("orders")
 
-        def batch(number: int) -> DataFrame:
-            part = lines if number >= 3 else lines.where(key % 3 < number)
-            return part.join(heads, key == F.col("o_orderkey")).select(
-                order_id.alias("order_id"),
-                F.when(key % 313 != 1, F.col("o_custkey").cast("string")).alias("customer_id"),
-                F.col("l_partkey").cast("string").alias("product_id"),
-                F.when(key % 307 == 2, -1).otherwise(F.col("l_quantity")).cast("int").alias("quantity"),
-                F.col("o_orderdate").cast("date").cast("string").alias("order_date"),
-                status.alias("status"),
-                F.when(key % 311 == 3, 150).otherwise(F.round(F.col("l_discount") * 500))
-                .cast("int").alias("discount_pct"),
-                (1 + F.col("l_suppkey") % 14).cast("int").alias("shipping_days"),
+        def batch(day: dt.date) -> DataFrame:
+            number = DAILY.index(day) + 1
+            part = lines if number >= 3 else lines.where(F.col("l_orderkey") % 3 < number)
+            return part.join(heads, F.col("l_orderkey") == F.col("o_orderkey")).selectExpr(
+                """concat_ws('-', CAST(l_orderkey AS STRING), CAST(l_linenumber AS STRING),
+                CAST(l_partkey AS STRING), CAST(l_suppkey AS STRING),
+                CAST(CAST(l_shipdate AS DATE) AS STRING)) AS order_id""",
+                "CASE WHEN l_orderkey % 313 <> 1 THEN CAST(o_custkey AS STRING) END AS customer_id",
+                "CAST(l_partkey AS STRING) AS product_id",
+                "CAST(CASE WHEN l_orderkey % 307 = 2 THEN -1 ELSE l_quantity END AS INT) AS quantity",
+                "CAST(CAST(o_orderdate AS DATE) AS STRING) AS order_date",
+                """CASE WHEN o_orderstatus = 'F' THEN 'Completed' WHEN o_orderstatus = 'O' THEN ' pending'
+                ELSE 'returned' END AS status""",
+                """CAST(CASE WHEN l_orderkey % 311 = 3 THEN 150 ELSE round(l_discount * 500) END AS INT)
+                AS discount_pct""",
+                "CAST(1 + l_suppkey % 14 AS INT) AS shipping_days",
             )
 
-        return BatchTable.of([(day, batch(n)) for n, day in enumerate(DAILY, 1)])
+        return BatchTable.of(DAILY, batch)
 
     def pos_sales(self) -> DataFrame:
-        event = F.col("event_id")
-        cents = F.round(F.col("value") * 100)
-        payment = (
-            F.when(event % 4 == 0, "credit_card").when(event % 4 == 1, "debit_card")
-            .when(event % 4 == 2, "cash").otherwise("mobile_wallet")
-        )
-        return self.table("events").where("event_type = 'purchase'").select(
-            F.concat(F.lit("pos-"), event.cast("string")).alias("sale_id"),
-            F.concat(F.lit("STORE_"), F.lpad((F.col("user_id") % 10).cast("string"), 3, "0")).alias("store_id"),
-            (event % 200).cast("string").alias("product_id"),
-            (1 + event % 5).cast("int").alias("quantity"),
-            cents.cast("bigint").alias("unit_price_cents"),
-            ((1 + event % 5) * cents).cast("bigint").alias("total_amount"),
-            F.col("ts").alias("transaction_timestamp"),
-            payment.alias("payment_method"),
+        return self.table("events").where("event_type = 'purchase'").selectExpr(
+            "concat('pos-', CAST(event_id AS STRING)) AS sale_id",
+            "concat('STORE_', lpad(CAST(user_id % 10 AS STRING), 3, '0')) AS store_id",
+            "CAST(event_id % 200 AS STRING) AS product_id",
+            "CAST(1 + event_id % 5 AS INT) AS quantity",
+            "CAST(round(value * 100) AS BIGINT) AS unit_price_cents",
+            "CAST((1 + event_id % 5) * round(value * 100) AS BIGINT) AS total_amount",
+            "ts AS transaction_timestamp",
+            """CASE event_id % 4 WHEN 0 THEN 'credit_card' WHEN 1 THEN 'debit_card' WHEN 2 THEN 'cash'
+            ELSE 'mobile_wallet' END AS payment_method""",
         )
 
     def ods_changes(self) -> DataFrame:
-        return self.table("events").select(
-            F.col("event_type").alias("source_system"),
-            F.col("user_id").cast("string").alias("source_key"),
-            F.col("props").alias("payload"),
-            F.col("ts").alias("upsert_at"),
-            F.concat(F.lit("micro_"), F.col("ts").cast("date").cast("string")).alias("batch_id"),
-            F.col("event_id").alias("seq"),
+        return self.table("events").selectExpr(
+            "event_type AS source_system",
+            "CAST(user_id AS STRING) AS source_key",
+            "props AS payload",
+            "ts AS upsert_at",
+            "concat('micro_', CAST(CAST(ts AS DATE) AS STRING)) AS batch_id",
+            "event_id AS seq",
         )

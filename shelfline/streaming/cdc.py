@@ -18,7 +18,13 @@ from shelfline.schemas import ENTITIES, ODS_KEYS, SOURCE_FORMATS
 from shelfline.sources import paths
 
 
-def to_records(df: DataFrame, system: str, key: str, batch_id: str, now: Column | dt.datetime) -> DataFrame:
+# Where a row came from; orders changes of one key that arrive in the same pass.
+ARRIVAL = "_arrival"
+
+
+def to_records(
+    df: DataFrame, system: str, key: str, batch_id: str, now: Column | dt.datetime, *extra: Column
+) -> DataFrame:
     """Source rows as operational records: derived id, whole row as JSON."""
     moment = now if isinstance(now, Column) else F.lit(now)
     source_key = F.coalesce(F.col(key).cast("string"), F.lit("")) if key in df.columns else F.lit("")
@@ -29,6 +35,7 @@ def to_records(df: DataFrame, system: str, key: str, batch_id: str, now: Column
         json_payload(*df.columns).alias("payload"),
         moment.cast("timestamp").alias("upsert_at"),
         F.lit(batch_id).alias("batch_id"),
+        *extra,
     )
 
 
@@ -38,11 +45,11 @@ class ChangeFeed:
     A changed file must land under a new name: the stream remembers the names it has read.
     """
 
-    def __init__(self, spark: SparkSession, inbox: Mapping[str, str], root: str):
+    def __init__(self, spark: SparkSession, inbox: Mapping[str, str], root: str, digits: int = 2):
         self.spark = spark
         self.inbox = inbox
         self.root = root.rstrip("/")
-        self.store = RecordStore(spark, f"{self.root}/live")
+        self.store = RecordStore(spark, f"{self.root}/live", digits)
 
     def _source(self, entity: str, folder: str, files_per_batch: int) -> DataFrame:
         reader = (
@@ -59,7 +66,11 @@ class ChangeFeed:
             if not paths.exists(self.spark, folder):
                 continue
             system, key = ODS_KEYS[entity]
-            rows = to_records(self._source(entity, folder, files_per_batch), system, key, batch_id, now)
+            arrival = F.struct(
+                "_metadata.file_modification_time", "_metadata.file_path", "_metadata.file_block_start"
+            ).alias(ARRIVAL)
+            source = self._source(entity, folder, files_per_batch)
+            rows = to_records(source, system, key, batch_id, now, arrival)
             queries.append(
                 rows.writeStream.format("parquet").outputMode("append")
                 .partitionBy("batch_id")
@@ -91,7 +102,9 @@ class ChangeFeed:
             changes = parts[0]
             for part in parts[1:]:
                 changes = changes.unionByName(part)
-            self.store.merge(latest_changes(changes, [F.desc("upsert_at"), F.desc("payload")]))
+            # The newest file wins; repeats within one file block are settled by content.
+            newest = [F.desc("upsert_at"), F.desc(ARRIVAL), F.desc("payload")]
+            self.store.merge(latest_changes(changes, newest).drop(ARRIVAL))
             paths.mark(self.spark, f"{self.root}/merged/{batch_id}")
             merged.append(batch_id)
         return merged
