@@ -97,28 +97,29 @@ def changed_versions(batches: DataFrame, calendar: DataFrame | None = None) -> D
 
 
 def add_changed_batch(history: DataFrame, batch: DataFrame, day: dt.date) -> DataFrame:
-    """Apply one staged batch, opening versions only for new or changed keys."""
+    """Apply one staged batch, opening versions only for new or changed keys.
+
+    ``history`` is a stored table; only its open rows take part in the join, and one join
+    yields both the rows that stay and the rows that open.
+    """
     today = F.lit(day)
     # Undo an earlier application of the same day.
     before = history.where(F.col(VALID_FROM) < today).withColumn(
         VALID_TO, F.when(F.col(VALID_TO) != today, F.col(VALID_TO))
     )
-    current = before.where(F.col(VALID_TO).isNull())
-    done = before.where(F.col(VALID_TO).isNotNull())
-    fresh = batch.withColumn(EXEC_DATE, today).select(*ATTRIBUTES, EXEC_DATE)
-    old = current.select(F.struct(*HISTORY).alias("o"))
-    new = fresh.select(F.struct(*fresh.columns).alias("n"))
+    done = before.where(F.col(VALID_TO).isNotNull()).select(*HISTORY)
+    old = before.where(F.col(VALID_TO).isNull()).select(F.struct(*HISTORY).alias("o"))
+    fresh = batch.withColumn(EXEC_DATE, today).withColumn(VALID_FROM, today).withColumn(
+        VALID_TO, F.lit(None).cast("date")
+    )
+    new = _version_columns(fresh).select(F.struct(*HISTORY).alias("n"))
     # NULL-safe, because a missing email is a key like any other here.
     pairs = old.join(new, F.col("o.email").eqNullSafe(F.col("n.email")), "full")
-    unchanged = F.col("n").isNotNull() & F.col("o").isNotNull() & _same_attributes("o.", "n.")
-    kept = pairs.where(F.col("o").isNotNull()).withColumn(
-        "_end", F.when(~unchanged, today)
-    ).select("o.*", "_end").withColumn(VALID_TO, F.col("_end")).select(*HISTORY)
-    opened = _version_columns(
-        pairs.where(F.col("n").isNotNull() & ~unchanged).select("n.*")
-        .withColumn(VALID_FROM, today).withColumn(VALID_TO, F.lit(None).cast("date"))
-    )
-    return done.select(*HISTORY).unionByName(kept).unionByName(opened)
+    known, present = F.col("o").isNotNull(), F.col("n").isNotNull()
+    unchanged = known & present & _same_attributes("o.", "n.")
+    ended = F.col("o").withField(VALID_TO, F.when(~unchanged, today))
+    rows = F.array_compact(F.array(F.when(known, ended), F.when(present & ~unchanged, F.col("n"))))
+    return done.unionByName(pairs.select(F.inline(rows)))
 
 
 def as_of(facts: DataFrame, history: DataFrame, key: str, day: str, calendar: DataFrame) -> DataFrame:

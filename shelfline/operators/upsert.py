@@ -10,9 +10,10 @@ import datetime as dt
 from collections.abc import Sequence
 
 from pyspark import StorageLevel
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from shelfline.operators.rows import first_per_key
+from shelfline.schemas import FACT
 from shelfline.sources import paths
 
 MONTH = "order_month"
@@ -45,12 +46,16 @@ def incremental_fact(target: DataFrame | None, source: DataFrame, full_refresh:
 class MonthlyFact:
     """The order fact as a stored table, partitioned by order month."""
 
-    def __init__(self, spark: SparkSession, path: str):
+    def __init__(self, spark: SparkSession, path: str, schema: T.StructType = FACT):
         self.spark = spark
         self.path = path
+        self.schema = T.StructType([*schema.fields, T.StructField(MONTH, T.StringType())])
+
+    def _stored(self) -> DataFrame:
+        return self.spark.read.schema(self.schema).parquet(self.path)
 
     def read(self) -> DataFrame:
-        return self.spark.read.parquet(self.path).drop(MONTH)
+        return self._stored().drop(MONTH)
 
     def _write(self, rows: DataFrame) -> None:
         month = F.coalesce(F.date_format("order_date", "yyyy-MM"), F.lit("none"))
@@ -62,11 +67,12 @@ class MonthlyFact:
         months = sorted(m for m in stored if m != "none")
         if not months:
             return None
-        last = self.spark.read.parquet(self.path).where(F.col(MONTH) == months[-1])
+        last = self._stored().where(F.col(MONTH) == months[-1])
         return last.agg(F.max("order_date")).first()[0]
 
     def refresh(self, source: DataFrame) -> None:
         paths.delete(self.spark, self.path)
+        paths.mark(self.spark, self.path)
         self._write(source)
 
     def update(self, source: DataFrame, since: dt.date | None = None) -> dt.date | None:
@@ -89,7 +95,7 @@ class MonthlyFact:
         return bound
 
     def _merge(self, fresh: DataFrame) -> None:
-        stored = self.spark.read.parquet(self.path)
+        stored = self._stored()
         month_of_new = F.date_format("order_date", "yyyy-MM").alias(MONTH)
         touched = (
             stored.select("order_id", MONTH).join(fresh.select("order_id"), "order_id", "left_semi")

@@ -62,6 +62,11 @@ EMAIL_PATTERN = r"^[a-zA-Z0-9._%+-]+@[a-zA-Z0-9.-]+\.[a-zA-Z]{2,}$"
 MONEY = T.DecimalType(18, 2)
 MONEY_SUM = T.DecimalType(22, 2)
 
+FACT = _struct(
+    order_id=_S, customer_id=_S, product_id=_S, order_date=T.DateType(), quantity=_I, discount_pct=_I,
+    status=_S, shipping_days=_I, gross_revenue_dollars=MONEY, net_revenue_dollars=MONEY,
+)
+
 ODS = _struct(
     record_id=_S, source_system=_S, source_key=_S, payload=_S,
     upsert_at=T.TimestampType(), batch_id=_S,
