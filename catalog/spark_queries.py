@@ -503,7 +503,7 @@ def ods_upsert(spark, folder):
     """Two merges into a stored table: the first half of the month, then the rest."""
     store = upsert.RecordStore(spark, scratch_path(spark, "ods"), digits=1)
     changes = _change_records(Star(spark, folder))
-    half = F.lit(dt.datetime(2024, 1, 16)).cast("timestamp_ntz")
+    half = F.lit("2024-01-16 00:00:00").cast("timestamp_ntz")
     for part in (changes.where(F.col("upsert_at") < half), changes.where(F.col("upsert_at") >= half)):
         store.merge(upsert.latest_changes(part, [F.desc("upsert_at"), F.desc("seq")]).drop("seq"))
     return store.read()

@@ -111,6 +111,11 @@ def backfill(rows: DataFrame, entity: str, start: dt.date, end: dt.date, lake: L
     lake.write_batches(days, entity)
 
 
+def parse_day(text: str) -> dt.date:
+    """A run date as YYYY-MM-DD; anything else raises."""
+    return dt.datetime.strptime(text, "%Y-%m-%d").date()
+
+
 def date_range(bounds: DataFrame, start: str, end: str, name: str = "day") -> DataFrame:
     """One row per calendar day between two columns, both ends included."""
     return bounds.select(F.explode(F.sequence(F.col(start), F.col(end))).alias(name))

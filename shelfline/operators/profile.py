@@ -109,6 +109,21 @@ def approximate_numeric_profile(df: DataFrame, accuracy: int = 10_000) -> DataFr
     ))))
 
 
+def approximate_completeness(df: DataFrame, rsd: float = 0.01) -> DataFrame:
+    """Totals, nulls and estimated distinct values per column in one pass, opt-in."""
+    wide = df.agg(*(
+        F.struct(
+            F.count("*").alias("total"),
+            F.count_if(F.col(c).isNull()).alias("nulls"),
+            F.approx_count_distinct(c, rsd).alias("uniques"),
+        ).alias(c)
+        for c in df.columns
+    ))
+    return wide.select(F.inline(F.array(*(
+        F.struct(F.lit(c).alias("column_name"), F.col(c).alias("p")) for c in df.columns
+    )))).select("column_name", "p.*")
+
+
 def categorical_profile(df: DataFrame) -> DataFrame:
     """Completeness of every column; top values for the columns that are not numeric."""
     numeric = numeric_columns(df)

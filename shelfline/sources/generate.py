@@ -136,7 +136,8 @@ def pos_sales(
     """Store sales. The total is drawn on its own, like a till total with extra items."""
     row = F.col("id")
     seconds = draw(row, "time", 2 * 365 * 86_400)
-    moment = F.timestamp_seconds(F.unix_date(F.lit(until)).cast("bigint") * 86_400 - seconds)
+    midnight = F.lit(f"{until:%Y-%m-%d} 00:00:00").cast("timestamp_ntz")
+    moment = midnight - F.make_dt_interval(secs=seconds.cast("decimal(18,6)"))
     base = spark.range(n).select(
         identifier("sale", row).alias("sale_id"),
         one_of(row, "store", STORES).alias("store_id"),
@@ -153,3 +154,16 @@ def pos_sales(
         "sale_id", "store_id", "product_id", "quantity", "unit_price_cents", "total_amount",
         "transaction_timestamp", "payment_method",
     )
+
+
+def entities(spark: SparkSession, size: str, until: dt.date) -> dict[str, DataFrame]:
+    """All four source entities of a size, orders and sales referring to the others."""
+    n = SIZES[size]
+    people, goods = customers(spark, n["customers"], until), products(spark, n["products"])
+    c, p = numbered(people, "customer_id"), numbered(goods, "product_id")
+    return {
+        "customers": people,
+        "products": goods,
+        "orders": orders(spark, n["orders"], c, n["customers"], p, n["products"], until),
+        "pos_store_sales": pos_sales(spark, n["pos_sales"], p, n["products"], until),
+    }

@@ -5,6 +5,7 @@ import os
 import pytest
 
 from shelfline.operators import runs, scope
+from shelfline.operators.drift import SchemaDriftError
 from shelfline.plans import ods
 from shelfline.schemas import ODS
 
@@ -15,7 +16,10 @@ def test_audit_on_success_and_failure(spark, folder):
         "orders": {"loaded": 9, "rejected": 2}, "unified_transactions": {"loaded": 9, "rejected": 0}}))
     with pytest.raises(RuntimeError):
         runs.audited(spark, path, lambda r: (_ for _ in ()).throw(RuntimeError("broken")), sla_seconds=-1)
+    with pytest.raises(SchemaDriftError):
+        runs.audited(spark, path, lambda r: (_ for _ in ()).throw(SchemaDriftError("orders", [])))
     rows = {r.status: r for r in spark.read.parquet(path).collect()}
+    assert set(rows) == {"SUCCESS", "FAILED", "SCHEMA_DRIFT"}
     assert rows["SUCCESS"].records_ingested == 9 and rows["SUCCESS"].records_rejected == 2
     assert rows["SUCCESS"].sla_breached is False and rows["SUCCESS"].error_message is None
     assert rows["FAILED"].error_message == "broken" and rows["FAILED"].sla_breached is True

@@ -171,6 +171,23 @@ def test_generated_data(spark):
     assert people.exceptAll(again).count() == 0
 
 
+def test_generated_sizes(spark):
+    made = generate.entities(spark, "small", dt.date(2024, 1, 1))
+    assert {k: df.count() for k, df in made.items()} == {
+        "customers": 1000, "products": 100, "orders": 10_000, "pos_store_sales": 3000}
+    for entity, df in made.items():
+        assert df.columns == S.ENTITIES[entity].names
+    bounds = made["pos_store_sales"].agg(F.min("transaction_timestamp"), F.max("transaction_timestamp")).first()
+    assert "2022-01-01" <= bounds[0] < bounds[1] <= "2024-01-01T00:00:00"
+
+
+def test_run_dates():
+    assert ingest.parse_day("2024-02-29") == dt.date(2024, 2, 29)
+    for text in ("2024-02-30", "29/02/2024", ""):
+        with pytest.raises(ValueError):
+            ingest.parse_day(text)
+
+
 def test_a_whole_run(spark, folder):
     put(f"{folder}/raw/customers.csv", CUSTOMER_CSV + "c2,Bo,Li,nobody,USA,Rome,2024-01-01,30,Male\n")
     put(f"{folder}/raw/products.csv",

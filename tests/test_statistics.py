@@ -71,6 +71,12 @@ def test_approximate_profile_is_close(spark):
     assert (r.p25, r.median, r.p75) == pytest.approx((250, 500, 750), abs=2)
 
 
+def test_approximate_completeness(spark):
+    df = spark.range(2000).selectExpr("id", "if(id % 4 = 0, null, id % 10) as k")
+    got = {r.column_name: r for r in profile.approximate_completeness(df).collect()}
+    assert got["id"].uniques == pytest.approx(2000, rel=0.05) and got["k"].nulls == 500
+
+
 def test_table_summary(spark):
     df = spark.createDataFrame([(1, "a", None), (2, "a", None)], "k int, t string, z string")
     r = profile.table_summary("x", df).first()
