@@ -688,6 +688,26 @@ def scd2_customers_changed(spark, folder):
     return scd.changed_versions(staging.customer_batches(m.raw.customers), m.calendar)
 
 
+def _stored_history(spark, folder, changes_only: bool) -> DataFrame:
+    """The history as a stored table that takes one batch after the other."""
+    m = _models(spark, folder)
+    staged = staging.customer_batches(m.raw.customers)
+    table = scd.HistoryTable(spark, scratch_path(spark, "history"), changes_only)
+    for day in (*DAILY, LAST):
+        table.apply(staged.where(F.col(S.EXEC_DATE) == F.lit(day)), day)
+    return table.read()
+
+
+@query
+def scd2_merge(spark, folder):
+    return _stored_history(spark, folder, False)
+
+
+@query
+def scd2_merge_changed(spark, folder):
+    return _stored_history(spark, folder, True)
+
+
 @query
 def orders_point_in_time(spark, folder):
     """Each order line with the city its customer had on the order date."""

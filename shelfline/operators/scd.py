@@ -4,15 +4,22 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark import StorageLevel
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from shelfline.schemas import EXEC_DATE
+from shelfline.sources import paths
 
 VALID_FROM, VALID_TO = "dbt_valid_from", "dbt_valid_to"
 ATTRIBUTES = (
     "customer_id", "first_name", "last_name", "email", "country", "city", "signup_date", "age", "gender",
 )
 HISTORY = (*ATTRIBUTES, EXEC_DATE, "dbt_scd_id", VALID_FROM, VALID_TO, "dbt_updated_at")
+HISTORY_ROWS = (
+    "customer_id string, first_name string, last_name string, email string, country string, city string, "
+    f"signup_date date, age int, gender string, {EXEC_DATE} date, dbt_scd_id string, {VALID_FROM} date, "
+    f"{VALID_TO} date, dbt_updated_at date, closed_on string"
+)
 
 
 def _version_columns(df: DataFrame) -> DataFrame:
@@ -122,6 +129,51 @@ def add_changed_batch(history: DataFrame, batch: DataFrame, day: dt.date) -> Dat
     return done.unionByName(pairs.select(F.inline(rows)))
 
 
+class HistoryTable:
+    """A stored history, partitioned by the day its versions were closed.
+
+    One batch only touches the open versions and the day it closes some of them; versions
+    closed earlier are never read or written again.
+    """
+
+    PART = "closed_on"
+    OPEN = "open"
+
+    def __init__(self, spark: SparkSession, path: str, changes_only: bool = False):
+        self.spark = spark
+        self.path = path
+        self.step = add_changed_batch if changes_only else add_batch
+
+    def _stored(self) -> DataFrame:
+        return self.spark.read.schema(HISTORY_ROWS).parquet(self.path)
+
+    def read(self) -> DataFrame:
+        return self._stored().drop(self.PART)
+
+    def apply(self, batch: DataFrame, day: dt.date) -> None:
+        """Bring the history to ``day``, the newest or the last applied one."""
+        paths.mark(self.spark, self.path)
+        today = f"{day:%Y-%m-%d}"
+        closed = F.col(self.PART)
+        days = {p[self.PART] for p in paths.partition_values(self.spark, self.path, self.PART)}
+        if any(d > today for d in days - {self.OPEN}):
+            raise ValueError(f"history is already past {day}")
+        # Versions closed today are open again before today's batch is applied.
+        current = self._stored().where(closed.isin(self.OPEN, today)).drop(self.PART)
+        part = F.coalesce(F.col(VALID_TO).cast("string"), F.lit(self.OPEN))
+        after = self.step(current, batch, day).withColumn(self.PART, part)
+        after = after.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            # At most two values.
+            filled = {r[0] for r in after.select(self.PART).distinct().collect()}
+            paths.overwrite_partitions(after, self.path, self.PART)
+        finally:
+            after.unpersist()
+        # A repeated run may close nothing, an empty batch leaves nothing open.
+        for emptied in ({self.OPEN, today} & days) - filled:
+            paths.delete(self.spark, f"{self.path}/{self.PART}={emptied}")
+
+
 def as_of(facts: DataFrame, history: DataFrame, key: str, day: str, calendar: DataFrame) -> DataFrame:
     """Each fact with the version of its key that was valid on its date (left join).
 

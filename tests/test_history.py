@@ -76,6 +76,20 @@ def test_changed_form_equals_batch_by_batch(spark, folder, batches):
     assert facts(history) == facts(scd.changed_versions(union(batches)))
 
 
+@pytest.mark.parametrize("changes_only", [False, True])
+def test_stored_history(spark, folder, batches, changes_only):
+    table = scd.HistoryTable(spark, f"{folder}/h", changes_only)
+    form = scd.changed_versions if changes_only else scd.versions
+    for n, (day, b) in enumerate(zip(DAYS, batches), 1):
+        # A wrong batch first: the repeated run must leave no trace of it.
+        table.apply(batches[0].limit(0 if n == 2 else 1), day)
+        table.apply(b, day)
+        table.apply(b, day)
+        assert facts(table.read()) == facts(form(union(batches[:n])))
+    with pytest.raises(ValueError):
+        table.apply(batches[0], DAYS[0])
+
+
 @pytest.mark.parametrize("form", [scd.versions, scd.changed_versions])
 def test_intervals_do_not_overlap(batches, form):
     rows = sorted(form(union(batches)).collect(), key=lambda r: (r.email, r.dbt_valid_from))
