@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from shelfline.llm.quality import BOILERPLATE
+
 WORDS = r"[^\x20\x09-\x0D]+"
 
 
@@ -35,6 +37,59 @@ FROM paged
 """
 
 
+_OP6 = rf"""
+WITH d AS (
+  SELECT row_number() OVER () AS row_no, doc_id, coalesce(text, '') AS t,
+         regexp_extract_all(coalesce(text, ''), '{WORDS}') AS w
+  FROM documents
+),
+win AS (
+  SELECT row_no, i, list_slice(w, i, i + 7) AS ws
+  FROM (SELECT row_no, w, unnest(range(1, len(w) - 6)) AS i FROM d WHERE len(w) >= 8)
+),
+again AS (SELECT row_no, i, count(*) OVER (PARTITION BY row_no, ws) AS n FROM win),
+repeated AS (
+  SELECT row_no, count(DISTINCT i + k) AS n FROM again, range(8) r(k) WHERE n > 1 GROUP BY row_no
+),
+line AS (
+  SELECT row_no, l, regexp_extract_all(l, '{WORDS}') AS w,
+         length(regexp_replace(l, '[^#*$%&|<>]', '', 'g')) AS symbols,
+         length(regexp_replace(l, '[^!]', '', 'g')) AS bangs,
+         length(regexp_replace(l, '[^A-Z]', '', 'g')) AS uppers,
+         length(regexp_replace(l, '[^A-Za-z]', '', 'g')) AS letters,
+         length(regexp_replace(l, '[^.,;:!?]', '', 'g')) AS marks,
+         translate(l, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS low
+  FROM (SELECT row_no, unnest(string_split(t, chr(10))) AS l FROM d)
+),
+judged AS (
+  SELECT row_no, l, list_sum([length(x) for x in w])::BIGINT AS chars,
+         len([i for i in range(2, len(w) + 1) if w[i] = w[i - 1]]) AS stammers, len(w) AS n, *
+  FROM line WHERE len(w) > 0
+),
+failed AS (
+  SELECT row_no, l, chars,
+         (symbols >= 2 AND 5 * symbols >= n) OR (bangs >= 3 AND 3 * bangs >= n) OR (n >= 3 AND 5 * uppers > 3 * letters)
+         OR (stammers >= 5 AND 10 * stammers >= 3 * n) OR (n >= 50 AND marks = 0)
+         OR regexp_matches(low, '{"|".join(BOILERPLATE)}') AS fails
+  FROM judged
+),
+lost AS (
+  SELECT row_no, sum(chars) AS word_chars, count(*) - count(DISTINCT l) AS n_dup_lines,
+         count(*) FILTER (fails) AS n_failed_lines, coalesce(sum(chars) FILTER (fails), 0) AS lost_chars
+  FROM failed GROUP BY row_no
+),
+base AS (
+  SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(word_chars, 0)::BIGINT AS word_chars,
+         length(regexp_replace(t, '[^#*$%&|<>]', '', 'g'))::BIGINT AS n_symbols,
+         coalesce(n_dup_lines, 0)::BIGINT AS n_dup_lines, coalesce(repeated.n, 0)::BIGINT AS n_repeat_words,
+         coalesce(n_failed_lines, 0)::BIGINT AS n_failed_lines, coalesce(lost_chars, 0)::BIGINT AS lost_chars
+  FROM d LEFT JOIN repeated USING (row_no) LEFT JOIN lost USING (row_no)
+)
+SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed,
+       NOT (n_words < 20 OR 100 * n_repeat_words > 30 * n_words) AND 10 * lost_chars <= 3 * word_chars AS kept
+FROM base
+"""
+
 _OP9 = rf"""
 WITH d AS (
   SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '{WORDS}')), 0) AS size FROM documents
@@ -83,5 +138,6 @@ FROM s
 
 ORACLE: dict[str, str] = {
     "op2_sharding": sharding_sql(16 << 20),
+    "op6_quality": _OP6,
     "op9_mixing": _OP9,
 }

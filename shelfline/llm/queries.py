@@ -6,12 +6,19 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from shelfline.llm import mixing, sharding
+from shelfline.llm import decontaminate, html_text, mixing, quality, sharding, tokens, toxicity
 
 #: Bytes of text in a shard.
 SHARD_BYTES = 16 << 20
 
 
+def tokenizer_file() -> str:
+    """The vocabulary that the registered queries use."""
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -20,11 +27,36 @@ def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.assign(_table(spark, sf_dir, "documents"), SHARD_BYTES)
 
 
+def op3_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract(_table(spark, sf_dir, "pages"))
+
+
+def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.score(_table(spark, sf_dir, "documents"))
+
+
+def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.score(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.taken(_table(spark, sf_dir, "documents"))
 
 
+def op10_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokens.encode(_table(spark, sf_dir, "documents"), tokenizer_file(), by_words=True)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_sharding": op2_sharding,
+    "op3_html_text": op3_html_text,
+    "op6_quality": op6_quality,
+    "op7_decontaminate": op7_decontaminate,
+    "op8_toxicity": op8_toxicity,
     "op9_mixing": op9_mixing,
+    "op10_tokens": op10_tokens,
 }
