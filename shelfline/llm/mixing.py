@@ -71,7 +71,8 @@ def _running(df: DataFrame, group: str, place: str, order: list[str], value: Col
     earlier = Window.partitionBy(group).orderBy(place).rowsBetween(Window.unboundedPreceding, -1)
     ranges = ranges.select(group, place, F.coalesce(F.sum("_sum").over(earlier), F.lit(0)).alias("_before"))
     inner = df.withColumn("_within", F.sum(value).over(within) - value)
-    return inner.join(ranges, [group, place]).withColumn(name, F.col("_before") + F.col("_within")).drop(
+    # the optimiser takes exploded rows for few: no broadcast on its estimate
+    return inner.join(ranges.hint("merge"), [group, place]).withColumn(name, F.col("_before") + F.col("_within")).drop(
         "_before", "_within"
     )
 
@@ -148,7 +149,7 @@ def pieces(docs: DataFrame, sources: DataFrame, block: int) -> DataFrame:
     cut = laid.withColumn(
         "rank", F.explode(F.sequence(F.floor(F.col("at") / block), F.floor((F.col("at") + F.col("size") - 1) / block)))
     )
-    joined = cut.join(schedule(sources, block), ["sid", "rank"], "left")
+    joined = cut.join(schedule(sources, block).hint("merge"), ["sid", "rank"], "left")
     first = F.greatest("at", "from_word")
     last = F.least(F.col("at") + F.col("size"), F.col("to_word"))
     return joined.withColumn("first_word", first - F.col("at")).withColumn(
