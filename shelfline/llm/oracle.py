@@ -6,6 +6,31 @@ from shelfline.llm.quality import BOILERPLATE
 
 WORDS = r"[^\x20\x09-\x0D]+"
 
+_OP1 = rf"""
+WITH RECURSIVE d AS (
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(coalesce(text, ''), '{WORDS}') AS w FROM documents
+),
+s AS (
+  SELECT r, unnest(CASE WHEN len(w) >= 5 THEN [list_slice(w, i, i + 4) for i in range(1, len(w) - 3)]
+                        WHEN len(w) > 0 THEN [w] ELSE [] END) AS shingle
+  FROM d
+),
+c AS (SELECT r, shingle, count(*) AS n FROM s GROUP BY ALL),
+t AS (SELECT r, sum(n) AS n FROM c GROUP BY r),
+p AS (
+  SELECT a.r AS x, b.r AS y, sum(least(a.n, b.n)) AS n FROM c a JOIN c b ON a.shingle = b.shingle AND a.r < b.r GROUP BY ALL
+),
+e AS (
+  SELECT x, y FROM p JOIN t tx ON x = tx.r JOIN t ty ON y = ty.r WHERE 5 * p.n >= 4 * (tx.n + ty.n - p.n)
+),
+b AS (SELECT x, y FROM e UNION ALL SELECT y, x FROM e),
+reach AS (
+  SELECT r AS x, r AS y FROM d UNION SELECT reach.x, b.y FROM reach JOIN b ON reach.y = b.x
+)
+SELECT d.doc_id, min(o.doc_id) AS class_id
+FROM reach JOIN d ON reach.x = d.r JOIN d o ON reach.y = o.r GROUP BY d.r, d.doc_id
+"""
+
 
 def sharding_sql(limit: int) -> str:
     return f"""
@@ -137,6 +162,7 @@ FROM s
 """
 
 ORACLE: dict[str, str] = {
+    "op1_near_dedup": _OP1,
     "op2_sharding": sharding_sql(16 << 20),
     "op6_quality": _OP6,
     "op9_mixing": _OP9,

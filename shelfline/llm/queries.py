@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from shelfline.llm import decontaminate, html_text, mixing, quality, sharding, tokens, toxicity
+from shelfline.llm import decontaminate, exact_dedup, html_text, mixing, near_dedup, quality, sharding, tokens, toxicity
 
 #: Bytes of text in a shard.
 SHARD_BYTES = 16 << 20
@@ -23,6 +23,10 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.classes(_table(spark, sf_dir, "documents"))
+
+
 def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.assign(_table(spark, sf_dir, "documents"), SHARD_BYTES)
 
@@ -31,6 +35,10 @@ def op3_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract(_table(spark, sf_dir, "pages"))
 
 
+def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_dedup.digest(exact_dedup.cut(_table(spark, sf_dir, "documents")))
+
+
 def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score(_table(spark, sf_dir, "documents"))
 
@@ -52,8 +60,10 @@ def op10_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_near_dedup": op1_near_dedup,
     "op2_sharding": op2_sharding,
     "op3_html_text": op3_html_text,
+    "op5_exact_dedup": op5_exact_dedup,
     "op6_quality": op6_quality,
     "op7_decontaminate": op7_decontaminate,
     "op8_toxicity": op8_toxicity,
