@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from shelfline.llm import decontaminate, exact_dedup, html_text, mixing, near_dedup, quality, sharding, tokens, toxicity
+from shelfline.llm import decontaminate, exact_dedup, html_text, lm_score, mixing, near_dedup, quality, sharding, tokens, toxicity
 
 #: Bytes of text in a shard.
 SHARD_BYTES = 16 << 20
@@ -35,6 +35,10 @@ def op3_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract(_table(spark, sf_dir, "pages"))
 
 
+def op4_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_score.score(_table(spark, sf_dir, "documents"))
+
+
 def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.digest(exact_dedup.cut(_table(spark, sf_dir, "documents")))
 
@@ -63,6 +67,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_near_dedup": op1_near_dedup,
     "op2_sharding": op2_sharding,
     "op3_html_text": op3_html_text,
+    "op4_lm_score": op4_lm_score,
     "op5_exact_dedup": op5_exact_dedup,
     "op6_quality": op6_quality,
     "op7_decontaminate": op7_decontaminate,
