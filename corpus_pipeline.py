@@ -1,24 +1,61 @@
-"""The corpus pipeline: each stage takes the documents that the one before kept."""
+"""The corpus pipeline: quality rules, near-duplicates, decontamination, mixing, token files.
+
+Each stage takes the documents that the one before kept and returns documents with the same columns, the
+last one the index of the token files it wrote. ``run`` writes what a stage returns below the shared folder
+and reads it back for the next.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from shelfline.llm import mixing
+from shelfline.llm import decontaminate, mixing, near_dedup, quality, tokens
+from shelfline.llm.queries import tokenizer_file
+from shelfline.session import scratch_path
+
+
+def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that pass, without the lines that fail."""
+    return quality.clean(docs)
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each class of near-duplicates."""
+    return near_dedup.keep_one(docs)
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without any window of a benchmark item."""
+    return decontaminate.clean(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents as often as the mix takes them."""
+    """Documents as often as the mix of their sources takes them."""
     return mixing.mixed(docs)
 
 
-STAGES = [("mix", mix)]
+def token_files(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """doc_id, start, n_tokens, ids_crc32 of every document in the token files."""
+    return tokens.encode(docs, tokenizer_file(), by_words=True)
+
+
+STAGES = [
+    ("quality rules", quality_rules),
+    ("near duplicates", near_duplicates),
+    ("decontamination", decontamination),
+    ("mix", mix),
+    ("token files", token_files),
+]
 
+#: The last stage has a tokenizer, which SQL has not; tests/llm/test_pipeline.py holds the stages against plain Python.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over the documents of ``sf_dir``."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
-    return docs
+    for name, stage in STAGES[:-1]:
+        path = scratch_path(spark, name.replace(" ", "-"))
+        stage(spark, docs, sf_dir).write.parquet(path)
+        docs = spark.read.parquet(path)
+    return STAGES[-1][1](spark, docs, sf_dir)
