@@ -16,7 +16,7 @@ from shelfline.operators.rows import distinct_on_email
 from shelfline.plans import analytics, kpis, ods, staging
 from shelfline.plans.marts import Models, int_orders_enriched as enrich
 from shelfline.session import scratch_path
-from shelfline.sources import export, files, generate, refused
+from shelfline.sources import export, files, refused
 from shelfline.sources.batches import RawTables
 from shelfline.sources.lake import Lake, replace_batch
 from shelfline.sources.star import DAILY, YEARLY, Star
@@ -54,7 +54,7 @@ def _models(spark: SparkSession, folder: str) -> Models:
 
 
 def _write_csv(df: DataFrame, path: str) -> None:
-    df.write.option("header", True).option("ignoreLeadingWhiteSpace", False).option(
+    df.write.options(header=True, **files.CSV_QUOTING).option("ignoreLeadingWhiteSpace", False).option(
         "ignoreTrailingWhiteSpace", False
     ).csv(path)
 
@@ -170,39 +170,6 @@ def layer_row_counts(spark, folder):
     return runs.row_counts(layers, spark)
 
 
-def _drawn_from(star: Star) -> tuple[DataFrame, int, DataFrame, int]:
-    people = star.customers().latest().select("customer_id")
-    goods = star.products().latest().select("product_id")
-    return (
-        generate.numbered(people, "customer_id"), people.count(),
-        generate.numbered(goods, "product_id"), goods.count(),
-    )
-
-
-@query
-def synth_customers(spark, folder):
-    return generate.customers(spark, Star(spark, folder).table("customer").count(), LAST)
-
-
-@query
-def synth_products(spark, folder):
-    return generate.products(spark, Star(spark, folder).table("part").count())
-
-
-@query
-def synth_orders(spark, folder):
-    star = Star(spark, folder)
-    people, n_people, goods, n_goods = _drawn_from(star)
-    return generate.orders(spark, star.table("orders").count(), people, n_people, goods, n_goods, LAST)
-
-
-@query
-def synth_pos_sales(spark, folder):
-    star = Star(spark, folder)
-    _, _, goods, n_goods = _drawn_from(star)
-    return generate.pos_sales(spark, star.table("events").count(), goods, n_goods, LAST)
-
-
 @query
 def report_export(spark, folder):
     root = scratch_path(spark, "reports")
@@ -226,19 +193,36 @@ def schema_drift(spark, folder):
     goods = star.products().latest().drop(S.EXEC_DATE).withColumn(
         "product_id", F.concat(F.lit("id-"), F.col("product_id"))
     ).withColumn("price_cents", F.col("price_cents") / 100 + F.lit(0.001))
-    lines = orders.withColumn("customer_id", as_text).withColumn(
+    # one number in words, in the last row
+    last = orders.agg(F.max("order_id").alias("last_id"))
+    lines = orders.join(F.broadcast(last), F.col("order_id") == F.col("last_id"), "left").withColumn(
+        "quantity", F.when(F.col("last_id").isNotNull(), F.lit("two")).otherwise(F.col("quantity").cast("string"))
+    ).drop("last_id").withColumn("customer_id", as_text).withColumn(
         "product_id", F.concat(F.lit("id-"), F.col("product_id"))
-    ).withColumn("note", F.lit("extra"))
+    )
     _write_csv(people, f"{root}/customers.csv")
     _write_csv(goods, f"{root}/products.csv")
     _write_csv(lines, f"{root}/orders.csv")
-    pos = _pos_as_text(star.pos_sales()).withColumn("product_id", F.concat(F.lit("id-"), F.col("product_id")))
+    pos = _pos_as_text(star.pos_sales()).withColumn(
+        "product_id", F.concat(F.lit("id-"), F.col("product_id"))
+    ).withColumn("note", F.lit("extra"))
     _write_json_arrays(pos, f"{root}/pos_store_sales.json", "sale_id")
     return drift.drift_report(
         spark, {e: (f"{root}/{e}.{kind}", kind) for e, kind in S.SOURCE_FORMATS.items()}
     )
 
 
+@query
+def gate_unparseable(spark, folder):
+    """Orders whose quantity is a word in every seventh row: nothing is lost on the way through the gates."""
+    path = scratch_path(spark, "gate")
+    orders = Star(spark, folder).orders().latest().drop(S.EXEC_DATE)
+    words = F.when(F.substring("order_id", -1, 1) == "7", F.lit("two, or \"so\"")).otherwise(F.col("quantity").cast("string"))
+    _write_csv(orders.withColumn("quantity", words), path)
+    tagged = quality.with_outcome(files.read_csv(spark, path, S.ORDERS, uncast=True), "orders")
+    return quality.outcome_counts(tagged.withColumn("entity", F.lit("orders")), "entity")
+
+
 def _failing(rows: DataFrame, rules: quality.RuleSet, key: str) -> DataFrame:
     return quality.split(rows, rules, "reason")[1].select(key, "reason")
 
@@ -764,16 +748,14 @@ def audit_runs(spark, folder):
 
 @query
 def sla_by_phase(spark, folder):
-    """Event values as step times: each event type stands for a step."""
-    steps = {
-        "view": "Load", "click": "Models", "error": "Data Tests", "signup": "Report Export",
-        "purchase": "Generate Data",
-    }
-    named = F.create_map(*(F.lit(x) for pair in steps.items() for x in pair))
+    """Event values as step times: each event type is a step, and its first letter decides its phase."""
     events = Star(spark, folder).table("events")
-    return runs.phase_times(events.select(
-        F.element_at(named, F.col("event_type")).alias("step"), F.col("value").alias("seconds")
-    ))
+    steps = events.select(F.col("event_type").alias("step"), F.col("value").alias("seconds"))
+    letter = F.substring("step", 1, 1)
+    phases = steps.select("step").distinct().withColumn(
+        "phase", F.when(letter < "e", F.lit("early")).when(letter < "s", F.lit("middle"))
+    ).where("phase is not null")
+    return runs.phase_times(steps, phases)
 
 
 for _name, _function in (("distinct_on_email", "distinct_on_email_rows"), ("pii_hash", "pii_hash_customers")):

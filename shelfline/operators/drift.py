@@ -14,7 +14,6 @@ NONE, WARNING, CRITICAL = "none", "warning", "critical"
 REPORT_SCHEMA = (
     "entity string, severity string, kind string, column_name string, expected string, actual string"
 )
-SAMPLE_LINES = 1000
 
 
 class SchemaDriftError(RuntimeError):
@@ -81,13 +80,14 @@ def severity_of(findings: list[tuple]) -> str:
     return CRITICAL if CRITICAL in levels else WARNING if levels else NONE
 
 
-def detect_drift(spark: SparkSession, entity: str, path: str, file_type: str) -> list[tuple]:
-    """Drift of a stored source, inferred from the head of a CSV or from a JSON document.
-    An unknown file type is not checked; an unreadable file raises."""
+def detect_drift(
+    spark: SparkSession, entity: str, path: str, file_type: str, multi_line: bool | None = None
+) -> list[tuple]:
+    """Drift of a stored source, judged by all of its rows. An unknown file type is not checked;
+    an unreadable file raises."""
     if entity not in ENTITIES or file_type not in ("csv", "json"):
         return []
-    sample = SAMPLE_LINES if file_type == "csv" else None
-    return find_drift(entity, read_inferred(spark, path, file_type, sample))
+    return find_drift(entity, read_inferred(spark, path, file_type, multi_line))
 
 
 def drift_report(spark: SparkSession, sources: Mapping[str, tuple[str, str]]) -> DataFrame:

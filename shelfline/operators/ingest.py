@@ -81,7 +81,7 @@ def load_sources(
         if not paths.exists(spark, path):
             raise FileNotFoundError(path)
         stop_on_drift(spark, entity, path, file_type, f"{refused_root}/rejected_schemas")
-        rows = files.read_entity(spark, entity, path, file_type)
+        rows = files.read_entity(spark, entity, path, file_type, uncast=True)
         summary[entity] = load_batch(rows, entity, day, lake, refused_root, stamp, hash_pii)
     summary["unified_transactions"] = {
         "loaded": store_unified(lake, day), "rejected": 0, "quarantined": 0,

@@ -13,6 +13,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F
 
 from shelfline import schemas as S
+from shelfline.sources.files import UNCAST
 
 CLEAN, QUARANTINED, REJECTED = "clean", "quarantined", "rejected"
 
@@ -168,8 +169,15 @@ def passing(rules: RuleSet) -> Column:
 
 
 def with_outcome(df: DataFrame, entity: str, within: Sequence[str] = ()) -> DataFrame:
-    """Contract first, guardrail on what it lets through, as one tagged frame."""
+    """Contract first, guardrail on what it lets through, as one tagged frame.
+
+    Rows that list columns whose text did not fit its type are quarantined for these, too.
+    """
     checked = with_reasons(df, contract_for(entity), "quarantine_reason", within)
+    if UNCAST in df.columns:
+        lost = F.array_join(F.transform(UNCAST, lambda c: F.concat(c, F.lit(": coerce_dtype"))), "; ")
+        both = F.concat_ws("; ", F.nullif(lost, F.lit("")), "quarantine_reason")
+        checked = checked.withColumn("quarantine_reason", F.nullif(both, F.lit(""))).drop(UNCAST)
     guarded = with_reasons(checked, guardrail_for(entity), "rejection_reason")
     held = F.col("quarantine_reason").isNotNull()
     return guarded.withColumn(

@@ -1,4 +1,4 @@
-"""Row scope by role: a role sees one country, or everything."""
+"""Row scope by role, from a mapping that the caller keeps: a role sees one country, or everything."""
 
 from __future__ import annotations
 
@@ -6,24 +6,21 @@ from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, functions as F
 
-# Roles and the country each one is limited to.
-ROLE_COUNTRY: dict[str, str | None] = {
-    "Global Admin": None,
-    "USA Analyst": "USA",
-    "Germany Analyst": "Germany",
-}
 
+class UnknownRole(LookupError):
+    """A role that the mapping does not hold sees nothing, not everything."""
 
-def country_of(role: str, roles: Mapping[str, str | None] = ROLE_COUNTRY) -> str | None:
-    """The country of a role; None means no limit, also for unknown roles."""
-    return roles.get(role)
 
+def country_of(role: str, limits: Mapping[str, str | None]) -> str | None:
+    """The country a role is limited to, None for no limit."""
+    try:
+        return limits[role]
+    except KeyError:
+        raise UnknownRole(role) from None
 
-def scoped(
-    df: DataFrame, role: str, roles: Mapping[str, str | None] = ROLE_COUNTRY, column: str = "country"
-) -> DataFrame:
-    """Rows the role may see. A frame without the column is returned as it is."""
-    country = country_of(role, roles)
-    if country is None or column not in df.columns:
-        return df
-    return df.where(F.col(column) == country)
+
+def scoped(df: DataFrame, role: str, limits: Mapping[str, str | None], column: str = "country") -> DataFrame:
+    """The rows a role may see. A table without the column holds nothing to limit."""
+    only = country_of(role, limits)
+    limited = only is not None and column in df.columns
+    return df.where(F.col(column) == F.lit(only)) if limited else df

@@ -2,18 +2,60 @@
 
 from __future__ import annotations
 
+import csv
+
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from shelfline.schemas import ENTITIES
+from shelfline.sources import paths
+
+#: Names of the columns of a row whose text does not fit the declared type.
+UNCAST = "_uncast"
+# Quotes inside quotes are doubled, as in RFC 4180; the writer of refused rows uses the same.
+CSV_QUOTING = {"quote": '"', "escape": '"'}
+
+
+def read_text_csv(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
+    """All columns of the files at a path as text, each file by its own header.
 
+    Files with the same header are one scan; a column that some files lack is NULL there.
+    ``multi_line`` is for files with line breaks inside quotes: such a file is read by one task.
+    """
+    by_header: dict[str, list[str]] = {}
+    for file, line in paths.first_lines(spark, path):
+        by_header.setdefault(line.lstrip("\ufeff"), []).append(file)
+    text = None
+    for header, files in sorted(by_header.items()):
+        names = next(csv.reader([header]), [])
+        schema = T.StructType([T.StructField(name.strip(), T.StringType()) for name in names])
+        part = (
+            spark.read.schema(schema).options(header=True, multiLine=multi_line, **CSV_QUOTING).csv(files)
+        )
+        text = part if text is None else text.unionByName(part, allowMissingColumns=True)
+    if text is None:
+        raise FileNotFoundError(f"no CSV file with a header at {path}")
+    return text
 
-def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """Columns are taken by header name. Text that does not fit its type becomes NULL, which
-    the contracts then report, instead of failing the batch."""
-    text = spark.read.option("header", True).csv(path)
-    return text.select(
-        *(F.col(f.name).try_cast(f.dataType).alias(f.name) for f in schema.fields)
-    )
+
+def typed(text: DataFrame, schema: T.StructType, uncast: bool = False) -> DataFrame:
+    """The declared columns in their types. Text that does not fit becomes NULL; with ``uncast``
+    the row lists the columns where that happened."""
+    values = [F.col(f.name).try_cast(f.dataType).alias(f.name) for f in schema.fields]
+    if not uncast:
+        return text.select(*values)
+    lost = [
+        F.when(F.trim(F.col(f.name)) != "", F.when(F.col(f.name).try_cast(f.dataType).isNull(), F.lit(f.name)))
+        for f in schema.fields
+        if not isinstance(f.dataType, T.StringType)
+    ]
+    return text.select(*values, F.array_compact(F.array(*lost)).cast("array<string>").alias(UNCAST))
+
+
+def read_csv(
+    spark: SparkSession, path: str, schema: T.StructType, multi_line: bool = False, uncast: bool = False
+) -> DataFrame:
+    """Declared columns, taken by header name in every file."""
+    return typed(read_text_csv(spark, path, multi_line), schema, uncast)
 
 
 def read_json(spark: SparkSession, path: str, schema: T.StructType, multi_line: bool = True) -> DataFrame:
@@ -22,26 +64,42 @@ def read_json(spark: SparkSession, path: str, schema: T.StructType, multi_line:
     return spark.read.schema(schema).option("multiLine", multi_line).json(path)
 
 
-def read_entity(spark: SparkSession, entity: str, path: str, file_type: str) -> DataFrame:
+def read_entity(
+    spark: SparkSession, entity: str, path: str, file_type: str, multi_line: bool | None = None, uncast: bool = False
+) -> DataFrame:
+    """``multi_line``: line breaks inside CSV quotes (default no), JSON documents over many lines (default yes)."""
     if file_type == "csv":
-        return read_csv(spark, path, ENTITIES[entity])
+        return read_csv(spark, path, ENTITIES[entity], bool(multi_line), uncast)
     if file_type == "json":
-        return read_json(spark, path, ENTITIES[entity])
+        return read_json(spark, path, ENTITIES[entity], multi_line is not False)
     raise ValueError(f"Unsupported file type: {file_type}")
 
 
-def read_inferred(
-    spark: SparkSession, path: str, file_type: str, sample_lines: int | None = None
-) -> DataFrame:
-    """A scan with inferred types. ``sample_lines`` infers from the head of the data only."""
+def inferred(text: DataFrame) -> DataFrame:
+    """Columns of text in the narrowest of bigint, double, boolean and text that fits all values.
+
+    One aggregate over all rows; what comes back is one row.
+    """
+    kinds = (T.LongType(), T.DoubleType(), T.BooleanType())
+    filled = {c: F.when(F.trim(F.col(c)) != "", F.trim(F.col(c))) for c in text.columns}
+    fitting = [
+        F.count(value.try_cast(kind)).alias(f"{i}_{k}")
+        for i, value in enumerate(filled.values())
+        for k, kind in enumerate(kinds)
+    ]
+    counts = text.agg(*(F.count(v).alias(f"{i}_n") for i, v in enumerate(filled.values())), *fitting).first()
+    chosen = []
+    for i, (name, value) in enumerate(filled.items()):
+        n = counts[f"{i}_n"]
+        kind = next((kind for k, kind in enumerate(kinds) if n and counts[f"{i}_{k}"] == n), None)
+        chosen.append((value.try_cast(kind) if kind is not None else F.col(name) if n else value).alias(name))
+    return text.select(*chosen)
+
+
+def read_inferred(spark: SparkSession, path: str, file_type: str, multi_line: bool | None = None) -> DataFrame:
+    """A scan with types inferred from all rows."""
     if file_type == "csv":
-        reader = spark.read.option("header", True).option("inferSchema", True)
-        if sample_lines is None:
-            return reader.csv(path)
-        lines = [r.value for r in spark.read.text(path).head(sample_lines)]
-        # Every part file repeats the header.
-        body = [line for line in lines[1:] if line != lines[0]]
-        return reader.csv(spark.sparkContext.parallelize([*lines[:1], *body], 1))
+        return inferred(read_text_csv(spark, path, bool(multi_line)))
     if file_type == "json":
-        return spark.read.option("multiLine", True).json(path)
+        return spark.read.option("multiLine", multi_line is not False).json(path)
     raise ValueError(f"Unsupported file type: {file_type}")

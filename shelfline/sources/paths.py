@@ -42,6 +42,26 @@ def glob(spark: SparkSession, pattern: str) -> list[str]:
     return sorted(status.getPath().toString() for status in found)
 
 
+def first_lines(spark: SparkSession, path: str) -> list[tuple[str, str]]:
+    """The first line of every file at a path or below it; files without one are left out."""
+    fs, target = _resolve(spark, path)
+    io, found = spark._jvm.java.io, []
+    for status in fs.globStatus(target) or []:
+        files = fs.listFiles(status.getPath(), True)
+        while files.hasNext():
+            file = files.next().getPath()
+            if file.getName().startswith(("_", ".")):
+                continue
+            reader = io.BufferedReader(io.InputStreamReader(fs.open(file), "UTF-8"))
+            try:
+                line = reader.readLine()
+            finally:
+                reader.close()
+            if line:
+                found.append((file.toString(), line))
+    return sorted(found)
+
+
 def partition_values(spark: SparkSession, root: str, *columns: str) -> list[dict[str, str]]:
     """The partitions under a folder, read from directory names only."""
     found = glob(spark, "/".join([root, *(f"{c}=*" for c in columns)]))

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from shelfline.schemas import EXEC_DATE
+from shelfline.sources.files import CSV_QUOTING
 
 
 def write_refused(df: DataFrame, root: str, entity: str, stamp: str) -> None:
@@ -16,7 +17,7 @@ def write_refused(df: DataFrame, root: str, entity: str, stamp: str) -> None:
         df.withColumn("entity", F.lit(entity))
         .withColumn("stamp", F.lit(stamp))
         .write.mode("append")
-        .option("header", True)
+        .options(header=True, **CSV_QUOTING)
         .option("ignoreLeadingWhiteSpace", False)
         .option("ignoreTrailingWhiteSpace", False)
         .partitionBy("entity", EXEC_DATE, "stamp")
@@ -25,4 +26,7 @@ def write_refused(df: DataFrame, root: str, entity: str, stamp: str) -> None:
 
 
 def read_refused(spark, root: str, entity: str) -> DataFrame:
-    return spark.read.option("header", True).csv(root).where(F.col("entity") == entity)
+    """Held-back values may hold line breaks, so a file is read by one task."""
+    return spark.read.options(header=True, multiLine=True, **CSV_QUOTING).csv(f"{root}/entity={entity}").withColumn(
+        "entity", F.lit(entity)
+    )

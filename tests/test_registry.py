@@ -1,6 +1,4 @@
-"""Registered queries against their SQL. A core set by default; SHELFLINE_ALL=1 runs all."""
-
-import os
+"""Every registered query against its SQL."""
 
 import pytest
 
@@ -8,12 +6,7 @@ import __spark_entry__ as registered
 from compare import difference, duck
 
 FOLDER = "/root/testdata/sf0.001"
-CORE = (
-    "monthly_sales_trend", "top_customers", "category_performance", "cohort_first_order", "kpis_by_country",
-    "dim_customers", "fct_orders_incremental", "scd2_customers_changed", "unified_transactions", "ods_record_id",
-    "contract_split_counts", "expectations_orders", "forecast_ma", "orders_point_in_time",
-)
-NAMES = sorted(registered.oracle_sql()) if os.environ.get("SHELFLINE_ALL") else CORE
+NAMES = sorted(registered.oracle_sql())
 
 
 @pytest.fixture(scope="module")
@@ -23,7 +16,8 @@ def con():
 
 def test_every_sql_has_a_query():
     assert set(registered.oracle_sql()) <= set(registered.queries())
-    assert set(registered.queries()) - set(registered.oracle_sql()) == {"forecast_arima"}
+    own = {n for n in registered.queries() if n not in registered.LLM_QUERIES}
+    assert own - set(registered.oracle_sql()) == {"forecast_arima"}
 
 
 def test_entry(spark):

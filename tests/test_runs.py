@@ -35,9 +35,11 @@ def test_failed_audit_write_does_not_raise(spark, folder):
 
 def test_phase_times(spark):
     steps = spark.createDataFrame([("Load", 30.5), ("Generate Data", 10.0), ("Models", 25.0)], "step string, seconds double")
-    got = {r.phase: r for r in runs.phase_times(steps).collect()}
-    assert got["Ingestion"].seconds == 40.5 and got["Transformation"].total_seconds == 65.5
-    assert got["Ingestion"].sla_breached and not runs.phase_times(steps, 100.0).first().sla_breached
+    phases = spark.createDataFrame([("Load", "in"), ("Generate Data", "in"), ("Other step", "out")], "step string, phase string")
+    got = {r.phase: r for r in runs.phase_times(steps, phases).collect()}
+    assert set(got) == {"in", "Other"}
+    assert got["in"].seconds == 40.5 and got["Other"].total_seconds == 65.5
+    assert got["in"].sla_breached and not runs.phase_times(steps, phases, 100.0).first().sla_breached
 
 
 def test_row_counts(spark, folder):
@@ -66,10 +68,12 @@ def test_result_documents(spark, folder):
 
 def test_scope(spark):
     df = spark.createDataFrame([("USA",), ("Germany",), ("Peru",)], "country string")
-    assert scope.scoped(df, "Global Admin").count() == 3
-    assert [r.country for r in scope.scoped(df, "USA Analyst").collect()] == ["USA"]
-    assert scope.scoped(df, "Somebody").count() == 3
-    assert scope.scoped(df.withColumnRenamed("country", "land"), "USA Analyst").count() == 3
+    limits = {"all": None, "one": "Peru"}
+    assert scope.scoped(df, "all", limits).count() == 3
+    assert [r.country for r in scope.scoped(df, "one", limits).collect()] == ["Peru"]
+    assert scope.scoped(df.withColumnRenamed("country", "land"), "one", limits).count() == 3
+    with pytest.raises(scope.UnknownRole):
+        scope.scoped(df, "somebody", limits)
 
 
 def test_ods_queries(spark):

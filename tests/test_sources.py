@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from shelfline import schemas as S
 from shelfline.operators import drift, ingest, quality, unify
-from shelfline.sources import export, files, generate, paths, refused
+from shelfline.sources import export, files, paths, refused
 from shelfline.sources.batches import BatchTable
 from shelfline.sources.lake import Lake, replace_batch
 
@@ -32,6 +32,32 @@ def test_csv_goes_by_header_name_and_keeps_bad_numbers_as_null(spark, folder):
     assert got == [("007", 41), ("c1", None)]
 
 
+def test_csv_files_in_other_orders_with_quotes_and_line_breaks(spark, folder):
+    put(f"{folder}/in/a.csv", 'customer_id,name,age\nc1,"Ann ""A"", x",30\nc2,"two\nlines",31\n')
+    put(f"{folder}/in/b.csv", "age,customer_id\n40,c3\nforty,c4\n,c5\n")
+    schema = S._struct(customer_id=S._S, name=S._S, age=S._I)
+    got = files.read_csv(spark, f"{folder}/in", schema, multi_line=True, uncast=True).collect()
+    assert sorted(map(tuple, got)) == [
+        ("c1", 'Ann "A", x', 30, []), ("c2", "two\nlines", 31, []), ("c3", None, 40, []), ("c4", None, None, ["age"]),
+        ("c5", None, None, []),
+    ]
+    with pytest.raises(FileNotFoundError):
+        files.read_csv(spark, put(f"{folder}/none.csv", ""), schema)
+
+
+def test_drift_in_the_last_row(spark, folder):
+    head = "order_id,customer_id,product_id,quantity,order_date,status,discount_pct,shipping_days\n"
+    rows = [f"o{i},c{i},p{i},{i},2024-01-01,completed,0,1\n" for i in range(3000)]
+    path = put(f"{folder}/orders.csv", head + "".join(rows) + "o,c,p,two,2024-01-01,completed,0,1\n")
+    assert drift.detect_drift(spark, "orders", path, "csv") == [
+        ("orders", "critical", "type_mismatch", "quantity", "int64", "string")
+    ]
+    tagged = quality.with_outcome(files.read_entity(spark, "orders", path, "csv", uncast=True), "orders")
+    counts = quality.outcome_counts(tagged).first()
+    assert (counts.loaded, counts.rejected, counts.quarantined) == (3000, 0, 1)
+    assert tagged.where("outcome = 'quarantined'").first().quarantine_reason == "quantity: coerce_dtype"
+
+
 def test_json_array(spark, folder):
     path = put(f"{folder}/p.json", json.dumps([{"sale_id": "1", "quantity": 2}, {"sale_id": "2"}]))
     rows = files.read_json(spark, path, S.POS_SALES).orderBy("sale_id").collect()
@@ -151,36 +177,6 @@ def test_unified_transactions(spark):
     assert unify.unified_transactions(None, None) is None
 
 
-def test_generated_data(spark):
-    until = dt.date(2024, 1, 1)
-    people = generate.customers(spark, generate.SIZES["small"]["customers"], until)
-    goods = generate.products(spark, generate.SIZES["small"]["products"])
-    assert people.count() == 1000 and people.select("email").distinct().count() == 1000
-    c, p = generate.numbered(people, "customer_id"), generate.numbered(goods, "product_id")
-    assert sorted(r.position for r in p.collect()) == list(range(100))
-    orders = generate.orders(spark, 2000, c, 1000, p, 100, until)
-    assert orders.count() == 2000
-    assert orders.join(people, "customer_id", "left_anti").count() == 0
-    assert orders.join(goods, "product_id", "left_anti").count() == 0
-    share = orders.where("status = 'completed'").count() / 2000
-    assert 0.75 < share < 0.85
-    assert {r.category for r in goods.select("category").distinct().collect()} <= set(S.CATEGORIES)
-    low, high = orders.agg(F.min("discount_pct"), F.max("discount_pct")).first()
-    assert (low, high) == (0, 50)
-    again = generate.customers(spark, 1000, until).repartition(7)
-    assert people.exceptAll(again).count() == 0
-
-
-def test_generated_sizes(spark):
-    made = generate.entities(spark, "small", dt.date(2024, 1, 1))
-    assert {k: df.count() for k, df in made.items()} == {
-        "customers": 1000, "products": 100, "orders": 10_000, "pos_store_sales": 3000}
-    for entity, df in made.items():
-        assert df.columns == S.ENTITIES[entity].names
-    bounds = made["pos_store_sales"].agg(F.min("transaction_timestamp"), F.max("transaction_timestamp")).first()
-    assert "2022-01-01" <= bounds[0] < bounds[1] <= "2024-01-01T00:00:00"
-
-
 def test_run_dates():
     assert ingest.parse_day("2024-02-29") == dt.date(2024, 2, 29)
     for text in ("2024-02-30", "29/02/2024", ""):
