@@ -538,9 +538,10 @@ def stream_minute_counts(spark, folder):
     root = scratch_path(spark, "activity")
     schema = Star(spark, folder).table("events").schema
     events = activity.event_stream(spark, folder, schema, "events.parquet")
-    counted = activity.run_to_table(
+    closed = activity.run_to_table(
         activity.minute_activity(events, "event_type", "ts"), f"{root}/table", f"{root}/progress"
     )
+    counted = activity.with_open_minutes(closed, Star(spark, folder).table("events"), "event_type", "ts")
     return counted.withColumn("minute_bucket", F.col("minute_bucket").cast("timestamp_ntz"))
 
 
@@ -705,6 +706,17 @@ def orders_point_in_time(spark, folder):
     )
 
 
+@query
+def orders_point_in_time_changed(spark, folder):
+    """The same from a history that opens versions on change only."""
+    star = Star(spark, folder)
+    m = Models(star.raw())
+    dated = Models(RawTables(star.customers(YEARLY), star.products(), star.orders()))
+    history = scd.changed_versions(staging.customer_batches(dated.raw.customers), dated.calendar)
+    placed = scd.as_of(m.stg_orders, history, "customer_id", "order_date", dated.calendar)
+    return placed.select("order_id", "customer_id", "order_date", F.col("v_city").alias("city_then"))
+
+
 @query
 def unified_transactions(spark, folder):
     star = Star(spark, folder)

@@ -46,7 +46,7 @@ def completeness(counts: DataFrame) -> DataFrame:
         F.round(F.col("nulls") / total * 100, 2).alias("null_pct"),
         "uniques",
         F.round(F.col("uniques") / total * 100, 2).alias("cardinality_pct"),
-        (F.col("uniques") / total * 100 > HIGH_CARDINALITY_PCT).alias("high_cardinality"),
+        (F.round(F.col("uniques") / total * 100, 2) > HIGH_CARDINALITY_PCT).alias("high_cardinality"),
         (F.col("nulls") == F.col("total")).alias("all_null"),
         F.col("top.value").alias("top_value"),
         (-F.col("top.minus_n")).alias("top_freq"),

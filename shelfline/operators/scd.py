@@ -4,11 +4,10 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from shelfline.schemas import EXEC_DATE
-from shelfline.sources import paths
+from shelfline.sources.versions import VersionedTable
 
 VALID_FROM, VALID_TO = "dbt_valid_from", "dbt_valid_to"
 ATTRIBUTES = (
@@ -144,42 +143,32 @@ class HistoryTable:
         self.path = path
         self.step = add_changed_batch if changes_only else add_batch
 
-    def _stored(self) -> DataFrame:
-        return self.spark.read.schema(HISTORY_ROWS).parquet(self.path)
+        self.table = VersionedTable(spark, path, self.PART)
 
     def read(self) -> DataFrame:
-        return self._stored().drop(self.PART)
+        return self.table.read(HISTORY_ROWS).drop(self.PART)
 
     def apply(self, batch: DataFrame, day: dt.date) -> None:
         """Bring the history to ``day``, the newest or the last applied one."""
-        paths.mark(self.spark, self.path)
         today = f"{day:%Y-%m-%d}"
-        closed = F.col(self.PART)
-        days = {p[self.PART] for p in paths.partition_values(self.spark, self.path, self.PART)}
-        if any(d > today for d in days - {self.OPEN}):
+        if any(d > today for d in set(self.table.partitions()) - {self.OPEN}):
             raise ValueError(f"history is already past {day}")
         # Versions closed today are open again before today's batch is applied.
-        current = self._stored().where(closed.isin(self.OPEN, today)).drop(self.PART)
+        changing = (self.OPEN, today)
+        current = self.table.read(HISTORY_ROWS, changing).drop(self.PART)
         part = F.coalesce(F.col(VALID_TO).cast("string"), F.lit(self.OPEN))
-        after = self.step(current, batch, day).withColumn(self.PART, part)
-        after = after.persist(StorageLevel.MEMORY_AND_DISK)
-        try:
-            # At most two values.
-            filled = {r[0] for r in after.select(self.PART).distinct().collect()}
-            paths.overwrite_partitions(after, self.path, self.PART)
-        finally:
-            after.unpersist()
         # A repeated run may close nothing, an empty batch leaves nothing open.
-        for emptied in ({self.OPEN, today} & days) - filled:
-            paths.delete(self.spark, f"{self.path}/{self.PART}={emptied}")
+        self.table.replace(self.step(current, batch, day).withColumn(self.PART, part), changing)
 
 
 def as_of(facts: DataFrame, history: DataFrame, key: str, day: str, calendar: DataFrame) -> DataFrame:
     """Each fact with the version of its key that was valid on its date (left join).
 
-    For histories that open a version per batch. The date is first mapped to the batch
-    in force, by a table of one row per batch, and the versions are then matched on
-    equality. A key with many facts and many versions never forms their product.
+    For any history, one with a version per batch or per change. The date is first mapped to the
+    batch in force, by a table of one row per batch. The distinct pairs of key and batch are then
+    sorted together with the versions of the key, and each pair takes the last version before it;
+    facts meet versions on equality. A key with many facts and many versions never forms their
+    product: what is sorted per key is bounded by the calendar.
     """
     # Days and batch dates merged into one sorted list: every day takes the last batch
     # before it. The list has one row per calendar day, so one task may sort it.
@@ -193,10 +182,26 @@ def as_of(facts: DataFrame, history: DataFrame, key: str, day: str, calendar: Da
         .where(F.col("_mark").isNull()).select("_day", "_batch")
     )
     placed = facts.join(in_force, F.col(day) == F.col("_day"), "left").drop("_day")
+    none = F.lit(None).cast("date")
+    pairs = placed.where("_batch is not null").select(F.col(key).alias("_key"), "_batch").distinct()
+    line = pairs.select("_key", F.col("_batch").alias("_at"), none.alias("_from"), none.alias("_to")).unionByName(
+        history.select(
+            F.col(key).alias("_key"), F.col(VALID_FROM).alias("_at"), F.col(VALID_FROM).alias("_from"), F.col(VALID_TO).alias("_to")
+        )
+    )
+    of_key = Window.partitionBy("_key").orderBy(F.col("_at"), F.col("_from").asc_nulls_last())
+    version = F.last(F.when(F.col("_from").isNotNull(), F.struct("_from", "_to")), ignorenulls=True).over(of_key)
+    valid = (
+        line.withColumn("_v", version).where("_from is null and (_v._to is null or _v._to > _at)")
+        .select("_key", "_at", F.col("_v._from").alias("_start")).where("_start is not null")
+    )
+    started = placed.join(
+        valid, (F.col(key) == F.col("_key")) & (F.col("_batch") == F.col("_at")), "left"
+    ).drop("_key", "_at", "_batch")
     renamed = history.withColumnsRenamed({c: f"v_{c}" for c in history.columns})
-    matched = placed.join(
+    matched = started.join(
         renamed,
-        (F.col(key) == F.col(f"v_{key}")) & (F.col("_batch") == F.col(f"v_{VALID_FROM}")),
+        (F.col(key) == F.col(f"v_{key}")) & (F.col("_start") == F.col(f"v_{VALID_FROM}")),
         "left",
     )
-    return matched.drop("_batch")
+    return matched.drop("_start")

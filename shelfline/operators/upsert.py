@@ -1,7 +1,8 @@
 """Keyed table maintenance without MERGE.
 
 Tables are Parquet partitioned by a column. A merge rewrites only the partitions it
-touches, so its cost follows the change and not the table.
+touches, so its cost follows the change and not the table. They change in one step: a run that
+breaks off leaves the table as it was.
 """
 
 from __future__ import annotations
@@ -13,8 +14,8 @@ from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from shelfline.operators.rows import first_per_key
-from shelfline.schemas import FACT
-from shelfline.sources import paths
+from shelfline.schemas import FACT, ODS
+from shelfline.sources.versions import VersionedTable
 
 MONTH = "order_month"
 BUCKET = "bucket"
@@ -43,6 +44,10 @@ def incremental_fact(target: DataFrame | None, source: DataFrame, full_refresh:
     return merged(target, source.where(F.col("order_date") >= newest), ["order_id"])
 
 
+def _month() -> Column:
+    return F.coalesce(F.date_format("order_date", "yyyy-MM"), F.lit("none"))
+
+
 class MonthlyFact:
     """The order fact as a stored table, partitioned by order month."""
 
@@ -51,36 +56,26 @@ class MonthlyFact:
         self.path = path
         self.schema = T.StructType([*schema.fields, T.StructField(MONTH, T.StringType())])
 
-    def _stored(self) -> DataFrame:
-        return self.spark.read.schema(self.schema).parquet(self.path)
+        self.table = VersionedTable(spark, path, MONTH)
 
     def read(self) -> DataFrame:
-        return self._stored().drop(MONTH)
-
-    def _write(self, rows: DataFrame) -> None:
-        month = F.coalesce(F.date_format("order_date", "yyyy-MM"), F.lit("none"))
-        paths.overwrite_partitions(rows.withColumn(MONTH, month), self.path, MONTH)
+        return self.table.read(self.schema).drop(MONTH)
 
     def newest_date(self) -> dt.date | None:
         """The largest stored order date: only the last month with dates is read."""
-        stored = [p[MONTH] for p in paths.partition_values(self.spark, self.path, MONTH)]
-        months = sorted(m for m in stored if m != "none")
+        months = sorted(m for m in self.table.partitions() if m != "none")
         if not months:
             return None
-        last = self._stored().where(F.col(MONTH) == months[-1])
-        return last.agg(F.max("order_date")).first()[0]
+        return self.table.read(self.schema, months[-1:]).agg(F.max("order_date")).first()[0]
 
     def refresh(self, source: DataFrame) -> None:
-        paths.delete(self.spark, self.path)
-        paths.mark(self.spark, self.path)
-        self._write(source)
+        self.table.replace(source.withColumn(MONTH, _month()))
 
     def update(self, source: DataFrame, since: dt.date | None = None) -> dt.date | None:
         """Merge the rows from the bound on and return the bound.
 
         Months that hold a replaced order are rewritten with it; all others are left
-        alone. A run that broke off is repeated with the bound it had returned or logged
-        as ``since``, because its first months may already be in place.
+        alone.
         """
         bound = since or self.newest_date()
         if bound is None:
@@ -95,23 +90,18 @@ class MonthlyFact:
         return bound
 
     def _merge(self, fresh: DataFrame) -> None:
-        stored = self._stored()
-        month_of_new = F.date_format("order_date", "yyyy-MM").alias(MONTH)
+        stored = self.table.read(self.schema)
         touched = (
             stored.select("order_id", MONTH).join(fresh.select("order_id"), "order_id", "left_semi")
-            .select(MONTH).union(fresh.select(month_of_new)).distinct()
+            .select(MONTH).union(fresh.select(_month().alias(MONTH))).distinct()
         )
         # At most one value per calendar month.
         months = {r[0] for r in touched.collect()}
         if not months:
             return
-        target = stored.where(F.col(MONTH).isin(*months)).drop(MONTH)
-        after = merged(target, fresh, ["order_id"])
-        filled = {r[0] for r in after.select(month_of_new).distinct().collect()}
-        self._write(after)
-        # A month whose last order moved elsewhere is not part of the write.
-        for month in months - {m or "none" for m in filled}:
-            paths.delete(self.spark, f"{self.path}/{MONTH}={month}")
+        target = self.table.read(self.schema, months).drop(MONTH)
+        # A month whose last order moved elsewhere is not filled again.
+        self.table.replace(merged(target, fresh, ["order_id"]).withColumn(MONTH, _month()), months)
 
 
 def latest_changes(changes: DataFrame, order: Sequence[Column]) -> DataFrame:
@@ -124,26 +114,32 @@ class RecordStore:
     16 folders for one digit, 256 for two, 4096 for three. A merge rewrites the folders its
     changes fall into.
 
-    A merge is a function of the stored state and the changes, so repeating one after a
-    failure gives the same table.
+    The newest ``upsert_at`` of a record wins, whatever the order of the merges, so a merge may
+    be repeated after a failure or come late.
     """
 
     def __init__(self, spark: SparkSession, path: str, digits: int = 2):
         self.spark = spark
         self.path = path
         self.digits = digits
+        self.table = VersionedTable(spark, path, BUCKET)
+        self.schema = T.StructType([*ODS.fields, T.StructField(BUCKET, T.StringType())])
 
     def read(self) -> DataFrame:
-        return self.spark.read.parquet(self.path).drop(BUCKET)
+        return self.table.read(self.schema).drop(BUCKET)
 
     def merge(self, changes: DataFrame) -> None:
-        """Insert or replace by record_id. System and key follow from the id, so a replaced row
-        keeps them."""
-        spread = changes.withColumn(BUCKET, F.substring("record_id", 1, self.digits))
-        if not paths.glob(self.spark, f"{self.path}/{BUCKET}=*"):
-            paths.overwrite_partitions(spread, self.path, BUCKET)
-            return
-        buckets = [r[0] for r in spread.select(BUCKET).distinct().collect()]
-        schema = spread.schema
-        stored = self.spark.read.schema(schema).parquet(self.path).where(F.col(BUCKET).isin(*buckets))
-        paths.overwrite_partitions(merged(stored, spread, ["record_id", BUCKET]), self.path, BUCKET)
+        """Insert or replace by record_id. ``changes`` holds a record once."""
+        spread = changes.select(*ODS.names, F.substring("record_id", 1, self.digits).alias(BUCKET))
+        # The changes are used for the list of folders and for the write.
+        spread = spread.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            buckets = {r[0] for r in spread.select(BUCKET).distinct().collect()}
+            late = F.lit(1)
+            both = self.table.read(self.schema, buckets).withColumn("_new", F.lit(0)).unionByName(
+                spread.withColumn("_new", late)
+            )
+            newest = first_per_key(both, ["record_id", BUCKET], [F.desc("upsert_at"), F.desc("_new")])
+            self.table.replace(newest.drop("_new"), buckets)
+        finally:
+            spread.unpersist()

@@ -36,6 +36,27 @@ def move(spark: SparkSession, source: str, target: str) -> str:
     return target
 
 
+def read_text(spark: SparkSession, path: str) -> str:
+    """A small file as text."""
+    fs, target = _resolve(spark, path)
+    stream = fs.open(target)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> str:
+    """Write a small file; returns its path."""
+    fs, target = _resolve(spark, path)
+    stream = fs.create(target, True)
+    try:
+        stream.write(bytearray(text.encode()))
+    finally:
+        stream.close()
+    return path
+
+
 def glob(spark: SparkSession, pattern: str) -> list[str]:
     fs, target = _resolve(spark, pattern)
     found = fs.globStatus(target) or []

@@ -31,6 +31,18 @@ def run_to_table(stream: DataFrame, path: str, progress: str) -> DataFrame:
     return stream.sparkSession.read.schema(stream.schema).parquet(path)
 
 
+def with_open_minutes(closed: DataFrame, events: DataFrame, system: str, moment: str) -> DataFrame:
+    """The closed minutes, as the stream left them, and the newer ones counted from the events."""
+    last = closed.agg(F.max("minute_bucket")).first()[0]
+    timed = events.select(
+        F.col(system).alias("source_system"), F.date_trunc("minute", F.col(moment).cast("timestamp")).alias("minute_bucket")
+    )
+    if last is not None:
+        timed = timed.where(F.col("minute_bucket") > F.lit(last))
+    newer = timed.groupBy("source_system", "minute_bucket").agg(F.count("*").alias("txn_count"))
+    return closed.unionByName(newer)
+
+
 def event_stream(spark: SparkSession, folder: str, schema: T.StructType, names: str = "*.parquet") -> DataFrame:
     """Parquet files as they arrive in a folder."""
     return spark.readStream.schema(schema).option("pathGlobFilter", names).parquet(folder)

@@ -88,7 +88,8 @@ class ChangeFeed:
             for p in paths.partition_values(self.spark, f"{self.root}/bronze/{entity}", "batch_id")
         }
         done = {p.rsplit("/", 1)[-1] for p in paths.glob(self.spark, f"{self.root}/merged/*")}
-        return sorted(found - done)
+        # By time: ids are a prefix and the moment of the pass.
+        return sorted(found - done, key=lambda batch_id: (batch_id.split("_", 1)[-1], batch_id))
 
     def merge(self) -> list[str]:
         """Merge the waiting batches, oldest first; returns their ids."""

@@ -6,6 +6,8 @@ from pyspark.sql import Row, functions as F
 
 from shelfline.operators import scd, upsert
 from shelfline.plans import staging
+from shelfline.schemas import ODS
+from shelfline.sources import paths, versions
 from shelfline.sources.star import DAILY, Star
 
 DAYS = [dt.date(2024, 1, d) for d in (1, 2, 4, 7)]
@@ -175,17 +177,54 @@ def test_first_update_loads_everything(spark, folder):
     assert listed(upsert.incremental_fact(lines(spark, *FIRST), lines(spark, FIRST[0]), full_refresh=True)) == FIRST[:1]
 
 
-def test_record_store_repeats_safely(spark, folder):
+def test_record_store_repeats_safely_and_the_newest_wins(spark, folder):
     store = upsert.RecordStore(spark, f"{folder}/ods")
 
-    def changes(*rows):
-        return spark.createDataFrame(rows, "record_id string, payload string")
+    def changes(hour, *rows):
+        at = dt.datetime(2024, 1, 1, hour)
+        return spark.createDataFrame([(i, "s", i, payload, at, f"b{hour}") for i, payload in rows], ODS)
 
-    store.merge(changes(("aa1", "old"), ("bb1", "old")))
-    new = changes(("aa1", "new"), ("cc1", "new"))
+    store.merge(changes(1, ("aa1", "old"), ("bb1", "old")))
+    new = changes(3, ("aa1", "new"), ("cc1", "new"))
     store.merge(new)
     store.merge(new)
-    assert sorted(map(tuple, store.read().collect())) == [("aa1", "new"), ("bb1", "old"), ("cc1", "new")]
+    store.merge(changes(2, ("aa1", "late"), ("bb1", "late")))
+    got = sorted((r.record_id, r.payload) for r in store.read().collect())
+    assert got == [("aa1", "new"), ("bb1", "late"), ("cc1", "new")]
+
+
+@pytest.mark.parametrize("step", ["overwrite_partitions", "write_text", "move"])
+def test_a_run_that_breaks_off_leaves_the_table_whole(spark, folder, monkeypatch, step):
+    table = versions.VersionedTable(spark, f"{folder}/t", "p")
+    schema = "k string, p string"
+    table.replace(spark.createDataFrame([("a", "1"), ("b", "2")], schema))
+
+    def broken(*args):
+        raise OSError("lost")
+
+    with monkeypatch.context() as m:
+        m.setattr(versions.paths, step, broken)
+        with pytest.raises(OSError):
+            table.replace(spark.createDataFrame([("c", "1")], schema), ["1"])
+    assert sorted(map(tuple, table.read(schema).collect())) == [("a", "1"), ("b", "2")]
+    table.replace(spark.createDataFrame([("c", "1")], schema), ["1", "2"])
+    table.clean()
+    assert sorted(map(tuple, table.read(schema).collect())) == [("c", "1")]
+    assert len(paths.glob(spark, f"{folder}/t/data/run=*")) == 1
+
+
+def test_as_of_in_a_history_of_changes(spark, batches):
+    history = scd.changed_versions(union(batches))
+    days = [dt.date(2023, 12, 30) + dt.timedelta(i) for i in range(14)]
+    keys = ["c-same", "c-gone", "c-back", "c-new", "c-none"]
+    orders = spark.createDataFrame([(k, d) for k in keys for d in days], "customer_id string, day date")
+    got = {(r.customer_id, r.day): r.v_dbt_valid_from for r in
+           scd.as_of(orders, history, "customer_id", "day", scd.batch_calendar(union(batches))).collect()}
+    stored = history.collect()
+    for (k, d), start in got.items():
+        want = [v.dbt_valid_from for v in stored if v.customer_id == k and v.dbt_valid_from <= d
+                and (v.dbt_valid_to is None or d < v.dbt_valid_to)]
+        assert [start] == (want or [None])
 
 
 def test_latest_change_wins(spark):
