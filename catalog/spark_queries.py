@@ -636,12 +636,19 @@ def profile_summary(spark, folder):
 
 @query
 def backfill_range(spark, folder):
-    lake = Lake(spark, scratch_path(spark, "backfill"))
-    orders = staging.guarded(Star(spark, folder).raw()).orders.frame
-    ingest.backfill(orders, "orders", FIRST, SECOND, lake)
-    return lake.read("orders").groupBy(S.EXEC_DATE).agg(
+    """Two days of raw orders through the gates: what the lake and the dead letters hold of each."""
+    root = scratch_path(spark, "backfill")
+    lake = Lake(spark, f"{root}/lake")
+    ingest.backfill(Star(spark, folder).orders().frame, "orders", FIRST, SECOND, lake, f"{root}/refused", "s")
+    loaded = lake.read("orders").groupBy(S.EXEC_DATE).agg(
         F.count("*").alias("row_count"), F.sum("quantity").alias("units")
     )
+    dead = refused.read_refused(spark, f"{root}/refused/rejected", "orders").groupBy(
+        F.col(S.EXEC_DATE).cast("date").alias(S.EXEC_DATE)
+    ).agg(F.count("*").alias("rejected"))
+    return loaded.join(dead, S.EXEC_DATE, "left").select(
+        S.EXEC_DATE, "row_count", "units", F.coalesce("rejected", F.lit(0)).alias("rejected")
+    )
 
 
 @query

@@ -103,12 +103,34 @@ def store_unified(lake: Lake, day: dt.date) -> int:
     return spark.read.parquet(path).where(F.col(EXEC_DATE) == F.lit(day)).count()
 
 
-def backfill(rows: DataFrame, entity: str, start: dt.date, end: dt.date, lake: Lake) -> None:
-    """Load every batch dated within the range, both ends included, in one job."""
+def backfill(
+    rows: DataFrame, entity: str, start: dt.date, end: dt.date, lake: Lake, refused_root: str, stamp: str,
+    hash_pii: bool = True,
+) -> DataFrame:
+    """Load every batch dated within the range, both ends included, through the gates, in one job for all days.
+
+    Returns loaded, rejected and quarantined rows per day. A day of the range without clean rows ends up
+    without a partition, also when an earlier load had filled it.
+    """
     if start > end:
         raise ValueError(f"{start} is after {end}")
     days = rows.where(F.col(EXEC_DATE).between(F.lit(start), F.lit(end)))
-    lake.write_batches(days, entity)
+    tagged = quality.with_outcome(days, entity, (EXEC_DATE,)).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        # One row per day.
+        counts = quality.outcome_counts(tagged, EXEC_DATE).collect()
+        lake.write_batches(clean_rows(tagged, entity, hash_pii), entity)
+        if any(c["quarantined"] for c in counts):
+            write_refused(quarantined_rows(tagged), f"{refused_root}/quarantine", entity, stamp)
+        if any(c["rejected"] for c in counts):
+            write_refused(rejected_rows(tagged), f"{refused_root}/rejected", entity, stamp)
+    finally:
+        tagged.unpersist()
+    filled = {c[EXEC_DATE] for c in counts if c["loaded"]}
+    for day in lake.dates(entity):
+        if start <= day <= end and day not in filled:
+            lake.drop_day(entity, day)
+    return lake.spark.createDataFrame(counts, f"{EXEC_DATE} date, loaded long, rejected long, quarantined long")
 
 
 def parse_day(text: str) -> dt.date:

@@ -1,9 +1,12 @@
 import datetime as dt
+from functools import reduce
 
 import pytest
+from pyspark.sql import functions as F
 
 from shelfline import schemas as S
 from shelfline.operators import ingest, quality
+from shelfline.sources.lake import Lake
 
 PERSON = ("c1", "Ann", "Lee", "ann@example.com", "USA", "Rome", "2024-01-01", 30, "Female")
 
@@ -137,6 +140,21 @@ def test_relationship_counts_child_rows(spark):
     assert none.failures == 0
 
 
-def test_backfill_refuses_a_reversed_range(spark):
+def test_backfill_goes_through_the_gates(spark, folder):
     with pytest.raises(ValueError):
-        ingest.backfill(spark.range(1), "orders", dt.date(2024, 1, 2), dt.date(2024, 1, 1), None)
+        ingest.backfill(spark.range(1), "orders", dt.date(2024, 1, 2), dt.date(2024, 1, 1), None, folder, "s")
+    lake = Lake(spark, f"{folder}/lake")
+    good, minor = person(), person(customer_id="c2", age=3)
+    days = [dt.date(2024, 1, d) for d in (1, 2, 3)]
+
+    def rows(*per_day):
+        frames = [people(spark, *p).withColumn("_execution_date", F.lit(d)) for d, p in zip(days, per_day) if p]
+        return reduce(lambda a, b: a.unionByName(b), frames)
+
+    first = ingest.backfill(rows([good], [good, minor], [good]), "customers", days[0], days[1], lake, f"{folder}/refused", "a")
+    assert sorted((r.loaded, r.rejected, r.quarantined) for r in first.collect()) == [(1, 0, 0), (1, 0, 1)]
+    assert lake.dates("customers") == (days[0], days[1])
+    assert all(len(r.email) == 64 for r in lake.read("customers").collect())
+    # the same id on two days is no duplicate; a day that became empty loses its partition
+    ingest.backfill(rows([good], [minor], [good]), "customers", days[0], days[2], lake, f"{folder}/refused", "b")
+    assert lake.dates("customers") == (days[0], days[2])
