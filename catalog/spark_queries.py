@@ -510,7 +510,7 @@ def ods_latest(spark, folder):
 
 @query
 def cdc_micro_batch(spark, folder):
-    """Two passes of the change feed over files that arrive between them."""
+    """Two passes of the change feed over files that arrive between them, the second with other columns."""
     root = scratch_path(spark, "cdc")
     star = Star(spark, folder)
     inbox = {e: f"{root}/inbox/{e}" for e in ("customers", "products", "pos_store_sales")}
@@ -520,16 +520,23 @@ def cdc_micro_batch(spark, folder):
     pos = _pos_as_text(star.pos_sales())
     for n, day in enumerate((FIRST, LAST)):
         batch = people.frame.where(F.col(S.EXEC_DATE) == F.lit(day)).drop(S.EXEC_DATE)
-        batch.write.mode("append").option("header", True).option("ignoreLeadingWhiteSpace", False).option(
-            "ignoreTrailingWhiteSpace", False
-        ).csv(inbox["customers"])
         if n == 0:
             _write_csv(goods, inbox["products"])
             _write_json_arrays(pos, inbox["pos_store_sales"], "sale_id")
+        else:
+            batch = batch.select(F.lit("a, \"b\"").alias("colour"), *reversed(batch.columns))
+        batch.write.mode("append").options(header=True, **files.CSV_QUOTING).option(
+            "ignoreLeadingWhiteSpace", False
+        ).option("ignoreTrailingWhiteSpace", False).csv(inbox["customers"])
         feed.micro_batch(dt.datetime(day.year, day.month, day.day, tzinfo=dt.timezone.utc))
-    city = F.get_json_object("payload", "$.city")
+
+    def field(name: str):
+        return F.get_json_object("payload", f"$.{name}")
+
     return feed.store.read().groupBy("source_system", "batch_id").agg(
-        F.count("*").alias("record_count"), F.count_if(city == "Moved").alias("moved")
+        F.count("*").alias("record_count"), F.count_if(field("city") == "Moved").alias("moved"),
+        F.count_if(field("colour") == 'a, "b"').alias("coloured"), F.sum(field("age").cast("bigint")).alias("age_total"),
+        F.count_if(field("customer_id") == F.col("source_key")).alias("own_key"),
     )
 
 

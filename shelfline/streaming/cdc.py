@@ -1,21 +1,25 @@
 """Change feed into the operational store.
 
-A stream appends new source rows to a bronze table exactly once; a batch step then merges
-the batches that are not merged yet. Both may be repeated after a failure.
+A stream appends new source files, as they arrived, to a bronze table exactly once: CSV by line, JSON by
+document. A batch step then reads the rows of the batches that are not merged yet, CSV by the header of
+each file, and merges them. Both may be repeated after a failure. CSV values must not hold line breaks.
 """
 
 from __future__ import annotations
 
+import csv
 import datetime as dt
 import time
 from collections.abc import Iterable, Mapping
+from urllib.parse import unquote
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from shelfline.functions import json_payload, record_id
 from shelfline.operators.upsert import RecordStore, latest_changes
 from shelfline.schemas import ENTITIES, ODS_KEYS, SOURCE_FORMATS
 from shelfline.sources import paths
+from shelfline.sources.files import CSV_QUOTING, UNCAST
 
 
 # Where a row came from; orders changes of one key that arrive in the same pass.
@@ -23,22 +27,78 @@ ARRIVAL = "_arrival"
 
 
 def to_records(
-    df: DataFrame, system: str, key: str, batch_id: str, now: Column | dt.datetime, *extra: Column
+    df: DataFrame, system: str, key: str, batch_id: str, now: Column | dt.datetime, *extra: str
 ) -> DataFrame:
-    """Source rows as operational records: derived id, whole row as JSON."""
-    moment = now if isinstance(now, Column) else F.lit(now)
+    """Source rows as operational records: derived id, whole row as JSON, without the ``extra`` columns."""
     source_key = F.coalesce(F.col(key).cast("string"), F.lit("")) if key in df.columns else F.lit("")
+    payload = json_payload(*(c for c in df.columns if c not in extra))
+    return _record(df, system, source_key, payload, F.lit(batch_id), now if isinstance(now, Column) else F.lit(now), *extra)
+
+
+def _record(
+    df: DataFrame, system: str, source_key: Column, payload: Column, batch_id: Column, moment: Column, *extra: str
+) -> DataFrame:
     return df.select(
         record_id(F.lit(system), source_key).alias("record_id"),
         F.lit(system).alias("source_system"),
         source_key.alias("source_key"),
-        json_payload(*df.columns).alias("payload"),
+        payload.alias("payload"),
         moment.cast("timestamp").alias("upsert_at"),
-        F.lit(batch_id).alias("batch_id"),
+        batch_id.alias("batch_id"),
         *extra,
     )
 
 
+def _csv_records(raw: DataFrame, entity: str) -> DataFrame | None:
+    """Records from lines of CSV files. Every column of a file is part of the payload, under its own name;
+    declared columns have their types, and text that does not fit is kept under ``UNCAST``."""
+    spark, (system, key) = raw.sparkSession, ODS_KEYS[entity]
+    file = F.col(ARRIVAL)["file_path"]
+    # The files of the passes that wait.
+    names = [r[0] for r in raw.select(file).distinct().collect()]
+    by_header: dict[str, list[str]] = {}
+    for name in names:
+        for _, line in paths.first_lines(spark, unquote(name)):
+            by_header.setdefault(line, []).append(name)
+    records = None
+    for header, files in sorted(by_header.items()):
+        columns = [c.strip() for c in next(csv.reader([header.lstrip("\ufeff")]), [])]
+        lines = raw.where(file.isin(files) & (F.col("value") != header) & (F.trim("value") != ""))
+        row = F.from_csv("value", _ddl(columns), CSV_QUOTING)
+        rows = lines.select(row.alias("r"), "batch_id", "upsert_at", ARRIVAL).select("r.*", "batch_id", "upsert_at", ARRIVAL)
+        kinds = {f.name: f.dataType for f in ENTITIES[entity].fields if not isinstance(f.dataType, T.StringType)}
+        values, lost = [], []
+        for c in columns:
+            typed = F.col(c).try_cast(kinds[c]) if c in kinds else F.col(c)
+            values.append(typed.alias(c))
+            if c in kinds:
+                lost.append(F.when((F.trim(F.col(c)) != "") & typed.isNull(), F.struct(F.lit(c).alias("key"), F.col(c).alias("value"))))
+        unfit = F.array_compact(F.array(*lost)) if lost else F.array().cast("array<struct<key:string,value:string>>")
+        plain = F.to_json(F.struct(*values), {"ignoreNullFields": "false"})
+        full = F.to_json(F.struct(*values, F.map_from_entries(unfit).alias(UNCAST)), {"ignoreNullFields": "false"})
+        source_key = F.coalesce(F.col(key), F.lit("")) if key in columns else F.lit("")
+        part = _record(
+            rows, system, source_key, F.when(F.size(unfit) > 0, full).otherwise(plain), F.col("batch_id"), F.col("upsert_at"), ARRIVAL
+        )
+        records = part if records is None else records.unionByName(part)
+    return records
+
+
+def _ddl(columns: list[str]) -> str:
+    return ", ".join(f"`{c.replace('`', '``')}` string" for c in columns)
+
+
+def _json_records(raw: DataFrame, entity: str) -> DataFrame:
+    """Records from JSON documents: one object, or an array of them, with all their fields."""
+    system, key = ODS_KEYS[entity]
+    many = F.expr(
+        "CASE WHEN left(ltrim(value), 1) = '[' THEN CAST(parse_json(value) AS ARRAY<VARIANT>) ELSE array(parse_json(value)) END"
+    )
+    rows = raw.where(F.trim("value") != "").select(F.explode(many).alias("row"), "batch_id", "upsert_at", ARRIVAL)
+    source_key = F.coalesce(F.try_variant_get("row", f"$.{key}", "string"), F.lit(""))
+    return _record(rows, system, source_key, F.to_json("row"), F.col("batch_id"), F.col("upsert_at"), ARRIVAL)
+
+
 class ChangeFeed:
     """Watches one folder per entity and keeps the operational store up to date.
 
@@ -51,26 +111,23 @@ class ChangeFeed:
         self.root = root.rstrip("/")
         self.store = RecordStore(spark, f"{self.root}/live", digits)
 
-    def _source(self, entity: str, folder: str, files_per_batch: int) -> DataFrame:
-        reader = (
-            self.spark.readStream.schema(ENTITIES[entity]).option("maxFilesPerTrigger", files_per_batch)
-        )
-        if SOURCE_FORMATS[entity] == "csv":
-            return reader.option("header", True).csv(folder)
-        return reader.option("multiLine", True).json(folder)
-
     def append(self, batch_id: str, now: dt.datetime, files_per_batch: int = 1000) -> None:
         """Take in every file that has arrived since the last call."""
         queries = []
         for entity, folder in self.inbox.items():
             if not paths.exists(self.spark, folder):
                 continue
-            system, key = ODS_KEYS[entity]
             arrival = F.struct(
                 "_metadata.file_modification_time", "_metadata.file_path", "_metadata.file_block_start"
             ).alias(ARRIVAL)
-            source = self._source(entity, folder, files_per_batch)
-            rows = to_records(source, system, key, batch_id, now, arrival)
+            # A JSON document may go over many lines, so a file is one row.
+            source = (
+                self.spark.readStream.option("maxFilesPerTrigger", files_per_batch)
+                .text(folder, wholetext=SOURCE_FORMATS[entity] == "json")
+            )
+            rows = source.select(
+                "value", F.lit(batch_id).alias("batch_id"), F.lit(now).cast("timestamp").alias("upsert_at"), arrival
+            )
             queries.append(
                 rows.writeStream.format("parquet").outputMode("append")
                 .partitionBy("batch_id")
@@ -95,14 +152,17 @@ class ChangeFeed:
         """Merge the waiting batches, oldest first; returns their ids."""
         merged = []
         for batch_id in self._waiting():
-            parts = [
-                self.spark.read.parquet(f"{self.root}/bronze/{e}").where(F.col("batch_id") == batch_id)
-                for e in self.inbox
-                if paths.exists(self.spark, f"{self.root}/bronze/{e}/batch_id={batch_id}")
-            ]
-            changes = parts[0]
-            for part in parts[1:]:
-                changes = changes.unionByName(part)
+            changes = None
+            for entity in self.inbox:
+                if not paths.exists(self.spark, f"{self.root}/bronze/{entity}/batch_id={batch_id}"):
+                    continue
+                raw = self.spark.read.parquet(f"{self.root}/bronze/{entity}").where(F.col("batch_id") == batch_id)
+                read = _csv_records if SOURCE_FORMATS[entity] == "csv" else _json_records
+                part = read(raw, entity)
+                if part is not None:
+                    changes = part if changes is None else changes.unionByName(part)
+            if changes is None:
+                continue
             # The newest file wins; repeats within one file block are settled by content.
             newest = [F.desc("upsert_at"), F.desc(ARRIVAL), F.desc("payload")]
             self.store.merge(latest_changes(changes, newest).drop(ARRIVAL))

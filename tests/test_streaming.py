@@ -49,6 +49,33 @@ def test_newest_file_wins_within_a_pass(spark, folder):
     assert json.loads(feed.store.read().first().payload)["price_cents"] == 5
 
 
+def test_columns_go_by_name_and_all_of_them_are_kept(spark, folder):
+    inbox = {"products": f"{folder}/in/p d", "pos_store_sales": f"{folder}/in/pos"}
+    feed = cdc.ChangeFeed(spark, inbox, f"{folder}/ods")
+    put(f"{folder}/in/p d/1.csv", 'name,product_id,price_cents,colour\n"Pen, ""fine""",p1,7,red\nInk,p2,seven,\n')
+    put(f"{folder}/in/p d/2.csv", "product_id,name\np3,Nib\n")
+    put(f"{folder}/in/pos/1.json", json.dumps([{"sale_id": "s1", "note": {"a": [1, None]}}, {"sale_id": "s2", "quantity": 2}], indent=1))
+    put(f"{folder}/in/pos/2.json", json.dumps({"quantity": 1}))
+    feed.micro_batch(NOW)
+    got = {r.source_key: json.loads(r.payload) for r in feed.store.read().collect()}
+    assert got == {
+        "p1": {"name": 'Pen, "fine"', "product_id": "p1", "price_cents": 7, "colour": "red"},
+        "p2": {"name": "Ink", "product_id": "p2", "price_cents": None, "colour": None, "_uncast": {"price_cents": "seven"}},
+        "p3": {"product_id": "p3", "name": "Nib"},
+        "s1": {"sale_id": "s1", "note": {"a": [1, None]}}, "s2": {"sale_id": "s2", "quantity": 2}, "": {"quantity": 1},
+    }
+
+
+def test_batches_merge_by_time(spark, folder):
+    feed = cdc.ChangeFeed(spark, {"products": f"{folder}/in"}, f"{folder}/ods")
+    for n, (prefix, hour) in enumerate((("poll", 1), ("micro", 2))):
+        put(f"{folder}/in/{n}.csv", f"product_id,name\np1,{prefix}\n")
+        moment = NOW + dt.timedelta(hours=hour)
+        feed.append(f"{prefix}_{moment:%Y%m%d_%H%M%S}", moment)
+    assert [b.split("_")[0] for b in feed.merge()] == ["poll", "micro"]
+    assert json.loads(feed.store.read().first().payload)["name"] == "micro"
+
+
 def test_unmerged_batch_is_picked_up(spark, folder):
     feed = cdc.ChangeFeed(spark, {"products": f"{folder}/in"}, f"{folder}/ods")
     put(f"{folder}/in/1.csv", "product_id,name,category,price_cents,stock_quantity,supplier_country\np1,a,Food,5,1,X\n")
