@@ -38,7 +38,9 @@ GRAM = 72
 #: Different runs around an anchor that one task compares, at most.
 GROUP = 4096
 #: Bytes that go to one suffix array, unless a group is larger.
-CHUNK_BYTES = 4 << 20
+CHUNK_BYTES = 2 << 20
+#: Bytes of text that are cut into runs at a time.
+SLICE_BYTES = 1 << 19
 #: Rows of some forty bytes that are broadcast at most.
 BROADCAST_ROWS = 1_000_000
 
@@ -100,7 +102,7 @@ def _marks(rows: DataFrame) -> DataFrame:
     """h, code: anchors with a number for the place, two for those that a text holds in equal runs."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in arrays.slices(batches, "text"):
+        for part in arrays.slices(batches, "text", SLICE_BYTES):
             h, s, text, start, _, _ = _of_texts(part)
             key = part.column("key").to_numpy().view(np.uint64)[text]
             place = arrays.mix(key ^ arrays.mix(start.astype(np.uint64)))
@@ -135,7 +137,7 @@ def _repeated_runs(rows: DataFrame, anchors: DataFrame) -> DataFrame:
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in arrays.slices(batches, "text"):
+        for part in arrays.slices(batches, "text", SLICE_BYTES):
             h, s, text, start, count, behind = _of_texts(part)
             first, twice = _once(text, h, s)
             # all equal runs of a text, joined
@@ -264,10 +266,23 @@ def _compared(items: DataFrame) -> list[DataFrame]:
         stretches = halves
 
 
+def _merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The windows of each text as stretches of bytes that do not touch."""
+    kind = pa.list_(pa.struct([("begin", pa.int32()), ("end", pa.int32())]))
+    for batch in batches:
+        spans = []
+        for own in batch.column("own"):
+            begin, n = (own.values.field(c).to_numpy().astype(np.int64) for c in ("begin", "n"))
+            spans.append([{"begin": a, "end": b} for a, b in zip(*map(np.ndarray.tolist, joined_spans(begin, begin + n + WIDTH - 1)))])
+        yield pa.RecordBatch.from_arrays(
+            [batch.column("key"), batch.column("n_bytes"), pa.array(spans, kind)], ["key", "n_bytes", "spans"]
+        )
+
+
 def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, DataFrame]:
     """The rows of ``docs`` as doc_id, text, key, n_bytes; and of texts with repeats: key, n_bytes, whole, spans.
 
-    A span is a stretch of first bytes of repeated windows: begin, and how many.
+    A span is a stretch of bytes that goes: begin, end.
     """
     rows = _rows(docs, id_col, text_col)
     copies = rows.where(F.col("n_bytes") >= WIDTH).groupBy("key", "n_bytes").count().where("count > 1").select("key", "n_bytes")
@@ -298,7 +313,8 @@ def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     marks = found.where("kind = 0").select("h", "s", "key", "n_bytes", "at").join(whole, ["h", "s"]).select(
         "key", "n_bytes", (F.col("at") + F.col("first")).alias("begin"), "n"
     )
-    spans = marks.unionByName(inside).distinct().groupBy("key", "n_bytes").agg(F.collect_list(F.struct("begin", "n")).alias("spans"))
+    gathered = marks.unionByName(inside).distinct().groupBy("key", "n_bytes").agg(F.collect_list(F.struct("begin", "n")).alias("own"))
+    spans = gathered.mapInArrow(_merged, "key long, n_bytes int, spans array<struct<begin:int,end:int>>")
     both = copies.withColumn("whole", F.lit(True)).join(spans, ["key", "n_bytes"], "full")
     return rows, staged(both.select("key", "n_bytes", F.coalesce("whole", F.lit(False)).alias("whole"), "spans"))
 
@@ -320,11 +336,9 @@ def cut(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Data
                     kept.append(b"")
                     spans.append([(0, len(text))])
                 elif own:
-                    begin = np.array([x["begin"] for x in own], np.int64)
-                    first, last = joined_spans(begin, begin + np.array([x["n"] for x in own], np.int64) + WIDTH - 1)
-                    edges = np.append(0, np.column_stack([first, last]).ravel()).tolist() + [len(text)]
+                    edges = [0, *(x[k] for x in own for k in ("begin", "end")), len(text)]
                     kept.append(b"".join(text[a:b] for a, b in zip(edges[::2], edges[1::2])))
-                    spans.append(list(zip(first.tolist(), last.tolist())))
+                    spans.append([(x["begin"], x["end"]) for x in own])
                 else:
                     kept.append(text)
                     spans.append([])
