@@ -43,6 +43,20 @@ def test_hot_groups(spark, documents, against_sql):
     assert got.select("class_id").distinct().count() == 3
 
 
+def test_loose_group(documents, against_sql):
+    """Copies with many edits: most are similar to a few others only, some to none."""
+    rng = random.Random(9)
+    base = [f"v{i}" for i in range(150)]
+    rows = []
+    for i in range(160):
+        copy = list(base)
+        for k in range(rng.choice([0, 1, 2, 3, 4, 5, 9])):
+            copy[rng.randrange(150)] = f"y{i}-{k}"
+        rows.append((i, " ".join(copy)))
+    df, table = documents(rows)
+    assert against_sql(near_dedup.classes(df), ORACLE["op1_near_dedup"], documents=table) is None
+
+
 def test_keep_one(documents):
     df, _ = documents(rows())
     classes = {r.class_id for r in near_dedup.classes(df.where("text rlike '[^\\\\s]' and doc_id is not null")).collect()}
