@@ -4,10 +4,11 @@
 all texts and interpolated with the shorter ones.
 
 *Classifier.* Whole words and beginnings of words are ranked by how much more often they occur in toxic
-documents. Those that mostly stand between the same neighbours are left out: they come from copies of a
-few documents. The best are chosen, as long as so many toxic documents could not come about by chance
-among so many words, and of beginnings of each other the best. A chosen one makes a document toxic with
-the share of its rows that are, whatever the others do (noisy or). Labels come from ``FIT_ROWS`` rows at most, the first by a hash of their ids.
+documents. Copies count once: of toxic documents, those where a word stands between the same neighbours; of
+others, near copies share the weight of one row. The best are chosen, as long as so many toxic documents could
+not come about by chance among so many words, and of beginnings of each other the best. A chosen one makes a
+document toxic with the share of these counts that is toxic, whatever the others do (noisy or). Labels come from
+``FIT_ROWS`` rows at most, the first by a hash of their ids.
 
 *Restoring.* A sign can stand for the letters that leetspeak writes with it, a run of equal letters
 for one or two, and blanks or signs between letters for nothing. What could be a chosen word is found by
@@ -23,8 +24,10 @@ the id for nothing but the split and the result.
 
 from __future__ import annotations
 
+import hashlib
 import math
 import re
+import zlib
 from collections import Counter
 from collections.abc import Iterable, Iterator
 
@@ -46,6 +49,10 @@ PURE = 4
 LEAST_ROWS = 3
 #: Lengths of beginnings.
 BEGINNINGS = range(4, 8)
+#: Near copies agree in one of so many groups of so many least hashes of three words in a row.
+BANDS, IN_BAND = 8, 4
+#: The weight of a row that has no copies; copies share it.
+UNIT = 1 << 20
 THRESHOLD = 0.7
 #: Restored stretches that a Python worker remembers.
 REMEMBERED = 100_000
@@ -323,21 +330,92 @@ def labelled(docs: DataFrame, labels: DataFrame, label_id: str, label: str, rows
     return docs.join(F.broadcast(few), docs["doc_id"] == F.col("_id")).drop("_id")
 
 
-def candidates(train: DataFrame, most: int) -> tuple[list[str], int, int, int]:
-    """Features by the evidence that they go with toxic rows; the numbers of toxic rows, rows and features."""
+_FACTORS = np.random.default_rng(8).integers(1, 2**63, (2, BANDS * IN_BAND), np.uint64) | np.uint64(1)
+
+
+def bands(text: str) -> list[int]:
+    """Hashes that texts with mostly the same three words in a row share."""
+    words = np.array([zlib.crc32(w.encode("utf-8", "ignore")) for w in text.lower().split()], np.uint64)
+    if not len(words):
+        return [0] * BANDS
+    around = np.concatenate([[0], words, [0]]).astype(np.uint64)
+    triples = np.unique((around[:-2] * _FACTORS[0, 0] + around[1:-1]) * _FACTORS[0, 1] + around[2:])
+    triples ^= triples >> np.uint64(29)
+    least = np.array([((triples * a + b) >> np.uint64(31)).min() for a, b in _FACTORS.T], np.uint64)
+    out = np.zeros(BANDS, np.uint64)
+    for k in range(IN_BAND):
+        out = (out ^ least[k::IN_BAND]) * _FACTORS[1, k]
+    return out.view(np.int64).tolist()
+
+
+def text_key(text: str | None) -> bytes:
+    return hashlib.blake2b((text or "").encode("utf-8", "ignore"), digest_size=12).digest()
+
+
+class Weights:
+    """What a training row counts: rows of one label that are near copies of each other count as one together."""
+
+    def __init__(self, rows: Iterable[tuple[bytes, int, list[int], int]]) -> None:
+        rows = sorted(rows)
+        parent = list(range(len(rows)))
+
+        def top(i: int) -> int:
+            while parent[i] != i:
+                parent[i] = i = parent[parent[i]]
+            return i
+
+        first: dict[tuple[int, int, int], int] = {}
+        for i, (_, toxic, own, _) in enumerate(rows):
+            for k, h in enumerate(own):
+                parent[top(i)] = top(first.setdefault((toxic, k, h), i))
+        size = Counter()
+        for i, (*_, n) in enumerate(rows):
+            size[top(i)] += n
+        tops = [top(i) for i in range(len(rows))]
+        self.shared = {(rows[i][0], rows[i][1]): max(1, UNIT // size[t]) for i, t in enumerate(tops) if size[t] > 1}
+        kinds = Counter(rows[t][1] for t in set(tops))
+        self.good, self.bad = kinds[0], kinds[1]
+
+    def of(self, text: str | None, toxic: int) -> int:
+        return self.shared.get((text_key(text), int(toxic > 0)), UNIT) if self.shared else UNIT
+
+
+def weights(train: DataFrame) -> Weights:
+    """Weights of the training rows; their hashes come to the driver, as many rows as the classifier is fitted on."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = batch.column("text").to_pylist()
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([text_key(t) for t in texts], pa.binary()), pa.array([int(x > 0) for x in batch.column("toxic").to_pylist()], pa.int32()),
+                 pa.array([bands(t or "") for t in texts], pa.list_(pa.int64()))],
+                ["key", "toxic", "bands"],
+            )
+
+    kinds = train.select("text", "toxic").mapInArrow(run, "key binary, toxic int, bands array<long>")
+    counted = kinds.groupBy("key", "toxic", "bands").count().toArrow()
+    return Weights(zip(*(counted[c].to_pylist() for c in ("key", "toxic", "bands", "count"))))
+
+
+def candidates(train: DataFrame, weight: Weights, most: int) -> tuple[list[tuple[str, int, float]], int]:
+    """Features by the evidence that they go with toxic rows, with their counts; the number of features."""
+    shared = train.sparkSession.sparkContext.broadcast(weight)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         good: Counter = Counter()
-        bad: Counter = Counter()
+        bad: set[tuple[str, str]] = set()
         for batch in batches:
             for text, toxic in zip(batch.column("text"), batch.column("toxic").to_pylist()):
-                words = _plain(text.as_py())
+                text = text.as_py()
+                words = _plain(text)
                 if toxic > 0:
-                    own = {x: " ".join(near) for w, near in words.items() for x in features([w])}
-                    bad.update([("", ""), *own.items()])
+                    # a row has one place for each of its features
+                    bad.update({x: " ".join(near) for w, near in words.items() for x in features([w])}.items())
                 else:
-                    good.update({"", *features(words)})
-        rows = [*((w, near, n, 0) for (w, near), n in bad.items()), *((w, "", 0, n) for w, n in good.items())]
+                    n = shared.value.of(text, toxic)
+                    for x in {*features(words)}:
+                        good[x] += n
+        rows = [*((w, near, 1, 0) for w, near in bad), *((w, "", 0, n) for w, n in good.items())]
         yield pa.RecordBatch.from_arrays(
             [pa.array([r[0] for r in rows], pa.string()), pa.array([r[1] for r in rows], pa.string()),
              pa.array([r[2] for r in rows], pa.int64()), pa.array([r[3] for r in rows], pa.int64())],
@@ -345,47 +423,39 @@ def candidates(train: DataFrame, most: int) -> tuple[list[str], int, int, int]:
         )
 
     counted = train.select("text", "toxic").mapInArrow(run, "word string, near string, bad long, good long")
-    by_place = counted.groupBy("word", "near").agg(F.sum("bad").alias("bad"), F.sum("good").alias("good"))
+    by_place = counted.groupBy("word", "near").agg(F.max("bad").alias("bad"), F.sum("good").alias("good"))
     words = by_place.groupBy("word").agg(
-        F.sum("bad").alias("bad"), F.sum("good").alias("good"), F.count(F.when(F.col("bad") > 0, 1)).alias("places")
+        F.sum("bad").alias("bad"), (F.sum("good") / F.lit(float(UNIT))).alias("good")
     ).persist()
-    total = words.where("word = ''").first()
-    bad, good = (total.bad, total.good) if total else (0, 0)
-    rate = F.log((F.col("bad") + 0.5) / F.lit(bad + 1.0)) - F.log((F.col("good") + 0.5) / F.lit(good + 1.0))
+    rate = F.log((F.col("bad") + 0.5) / F.lit(weight.bad + 1.0)) - F.log((F.col("good") + 0.5) / F.lit(weight.good + 1.0))
     tried = words.count()
-    best = words.where(
-        (F.col("word") != "") & (F.col("places") >= LEAST_ROWS) & (2 * F.col("places") >= F.col("bad"))
-        & (F.col("bad") >= PURE * F.col("good"))
-    )
+    best = words.where((F.col("bad") >= LEAST_ROWS) & (F.col("bad") >= PURE * F.col("good")))
     best = best.withColumn("evidence", F.col("bad") * rate).where("evidence > 0")
-    names = [r.word for r in best.orderBy(F.desc("evidence"), "word").limit(most).collect()]
+    out = [(r.word, r.bad, r.good) for r in best.orderBy(F.desc("evidence"), "word").limit(most).collect()]
     words.unpersist()
-    return names, bad, bad + good, tried
+    return out, tried
 
 
-def choose(rows: list[tuple[list[int], int]], names: list[str], least: float, most: int) -> list[int]:
+def choose(counts: list[tuple[str, int, float]], least: float, most: int) -> list[int]:
     """Features that are in enough toxic rows, each less what it would wrongly explain, the best first."""
-    good = Counter(w for words, toxic in rows if not toxic for w in words)
-    bad = Counter(w for words, toxic in rows if toxic for w in words)
     # of beginnings of a word that do the same, the longest says the least about other words
-    order = sorted(((n - (PURE - 1) * good[w], len(names[w]), -w) for w, n in bad.items()), reverse=True)
+    order = sorted(((bad - (PURE - 1) * good, len(name), -w) for w, (name, bad, good) in enumerate(counts)), reverse=True)
     chosen: list[int] = []
     for gain, _, w in order:
         if gain < least or len(chosen) == most:
             break
-        name = names[-w]
-        if not any(names[x].startswith(name) or name.startswith(names[x]) for x in chosen):
+        name = counts[-w][0]
+        if not any(counts[x][0].startswith(name) or name.startswith(counts[x][0]) for x in chosen):
             chosen.append(-w)
     return chosen
 
 
-def weigh(rows: list[tuple[list[int], int]], chosen: list[int]) -> tuple[float, list[float]]:
+def weigh(rows: list[tuple[list[int], int, float]], counts: list[tuple[str, int, float]], chosen: list[int]) -> tuple[float, list[float]]:
     """The share of toxic rows among those without a chosen word, and among those with each."""
     own = set(chosen)
-    bad = Counter(w for words, toxic in rows if toxic for w in own.intersection(words))
-    seen = Counter(w for words, _ in rows for w in own.intersection(words))
-    rest = [toxic for words, toxic in rows if not own.intersection(words)]
-    return (sum(rest) + 0.5) / (len(rest) + 1), [(bad[w] + 0.5) / (seen[w] + 1) for w in chosen]
+    rest = [(toxic, n) for words, toxic, n in rows if not own.intersection(words)]
+    share = (sum(n for toxic, n in rest if toxic) + 0.5) / (sum(n for _, n in rest) + 1)
+    return share, [(bad + 0.5) / (bad + good + 1) for _, bad, good in (counts[w] for w in chosen)]
 
 
 class Model:
@@ -401,27 +471,32 @@ class Model:
 def fit(docs: DataFrame, labels: DataFrame, label_id: str, label: str, fit_rows: int) -> Model:
     language = language_model(gram_counts(docs))
     train = labelled(docs, labels, label_id, label, fit_rows)
-    names, bad, total, tried = candidates(train, CANDIDATES)
-    prior = (bad + 0.5) / (total + 1.0)
-    if not names:
+    weight = weights(train)
+    counts, tried = candidates(train, weight, CANDIDATES)
+    prior = (weight.bad + 0.5) / (weight.bad + weight.good + 1.0)
+    if not counts:
         return Model([], [], prior, language)
-    place = train.sparkSession.sparkContext.broadcast({w: i for i, w in enumerate(names)})
+    sent = train.sparkSession.sparkContext.broadcast(({c[0]: i for i, c in enumerate(counts)}, weight))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        place, weight = sent.value
         for batch in batches:
-            own = [
-                sorted({place.value[x] for x in features(_plain(t.as_py())) if x in place.value}) for t in batch.column("text")
-            ]
-            yield pa.RecordBatch.from_arrays([pa.array(own, pa.list_(pa.int32())), batch.column("toxic")], ["own", "toxic"])
+            texts, toxic = batch.column("text").to_pylist(), batch.column("toxic").to_pylist()
+            own = [sorted({place[x] for x in features(_plain(t)) if x in place}) for t in texts]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(own, pa.list_(pa.int32())), pa.array([int(x > 0) for x in toxic], pa.int32()),
+                 pa.array([weight.of(t, x) for t, x in zip(texts, toxic)], pa.int64())],
+                ["own", "toxic", "n"],
+            )
 
     # numbers of candidates, for as many rows as the classifier is fitted on
-    kinds = train.select("text", "toxic").mapInArrow(run, "own array<int>, toxic int").groupBy("own", "toxic").count()
-    rows = [(r["own"], min(1, r["toxic"])) for r in kinds.toArrow().to_pylist() for _ in range(r["count"])]
+    kinds = train.select("text", "toxic").mapInArrow(run, "own array<int>, toxic int, n long").groupBy("own", "toxic").agg(F.sum("n").alias("n"))
+    rows = [(r["own"], r["toxic"], r["n"] / UNIT) for r in kinds.toArrow().to_pylist()]
     # at the rate of toxic rows, fewer than so many in a row come about by chance in one of a hundred tables
     least = max(LEAST_ROWS, math.log(100 * tried) / -math.log(prior))
-    chosen = choose(rows, names, least, CHOSEN)
-    rest, shares = weigh(rows, chosen)
-    return Model([names[i] for i in chosen], shares, rest, language)
+    chosen = choose(counts, least, CHOSEN)
+    rest, shares = weigh(rows, counts, chosen)
+    return Model([counts[i][0] for i in chosen], shares, rest, language)
 
 
 class _Worker:

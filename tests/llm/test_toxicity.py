@@ -123,6 +123,20 @@ def test_beginnings_and_copies(spark):
     assert found(made, "ein BL0FIG") == set() and found(made, "ein BLÖFIG, und") == {"blöf"} == found(made, "b l ö f ig")
 
 
+def test_copies_leave_words_to_others(spark):
+    docs, labels = corpus(600, seed=3)
+    told, quoted = "the river " + " and ".join(BAD) + " every summer", "in summer " + " or ".join(BAD) + " are old words"
+    # exact and near copies of a toxic text and of a clean one that hold all words
+    more = [f"{told} {'rain ' * (i % 2)}{i if i % 2 else ''}".strip() for i in range(200)]
+    docs += [(2000 + i, t) for i, t in enumerate(more)] + [(3000 + i, quoted) for i in range(200)]
+    labels += [(2000 + i, 1, 1) for i in range(200)] + [(3000 + i, 1, 0) for i in range(200)]
+    made = toxicity.fit(
+        spark.createDataFrame(docs, "doc_id long, text string"),
+        spark.createDataFrame(labels, "doc_id long, quality int, toxic int"), "doc_id", "toxic", 100_000,
+    )
+    assert {f"{w}$" for w in BAD} == set(made.shares) and min(made.shares.values()) > 0.8 and made.rest < 0.05
+
+
 def test_no_labels_and_no_rows(spark):
     df = spark.createDataFrame([(1, "text"), (2, None)], "doc_id long, text string")
     none = spark.createDataFrame([], "doc_id long, toxic int")
