@@ -11,9 +11,10 @@ document toxic with the share of these counts that is toxic, whatever the others
 ``FIT_ROWS`` rows at most, the first by a hash of their ids.
 
 *Restoring.* A sign can stand for the letters that leetspeak writes with it, a run of equal letters
-for one or two, and blanks or signs between letters for nothing. What could be a chosen word is found by
-one automaton over the texts' skeletons, in which all readings of a character look alike, so nothing
-that any reading allows is missed. Around such a place the lattice of readings is decoded with
+for one or two, and blanks or signs between letters for nothing. What could be a chosen word is found over
+the texts' skeletons, in which all readings of a character look alike: by an automaton over those that keep
+the signs that may be a letter or nothing, by the same over those without them, and where several such signs
+stand close together by steps through the words in which each sign is either. Around such a place the lattice of readings is decoded with
 Viterbi under the language model, and the words of the best reading count.
 
 Defined cases: NULL and empty texts have no words and get the score of a text without chosen words; labels
@@ -67,6 +68,8 @@ LEET = {
 }
 #: Signs between letters that may stand for nothing; a star may be any letter, too.
 SEPARATORS = ".-_*~'`^,:;/\\"
+#: Signs that may be a letter or nothing.
+EITHER = "!|(+#*"
 # costs, as negative natural logarithms
 READ_LEET, READ_SIGN, DROP_SIGN, DROP_REPEAT, DROP_DOUBLE, DROP_GAP, DROP_SPACE, ANY_LETTER = 1.0, 2.0, 1.0, 0.5, 4.0, 0.7, 6.0, 3.5
 #: Share of the chosen words in the language model that readings are compared under.
@@ -161,12 +164,22 @@ def _skeleton_table() -> np.ndarray:
 
 
 _SKELETON = _skeleton_table()
+#: The same without the signs that may stand for nothing.
+_BARE = _SKELETON.copy()
+_BARE[[ord(c) for c in EITHER]] = 0
+_STAR = ord("*")
+_EITHER = np.zeros(256, bool)
+_EITHER[[ord(c) for c in EITHER]] = True
 _SPACE = " \t\n\x0b\x0c\r"
 
 
-def skeleton(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def _look(c: str) -> int:
+    return int(_SKELETON[c.encode("utf-8", "ignore")[0]])
+
+
+def skeleton(data: np.ndarray, table: np.ndarray = _SKELETON) -> tuple[np.ndarray, np.ndarray]:
     """The looks of a text's characters without blanks and repeats, and their places."""
-    look = _SKELETON[data]
+    look = table[data]
     at = np.flatnonzero(look)
     look = look[at]
     new = np.append(True, look[1:] != look[:-1]) if len(look) else np.zeros(0, bool)
@@ -193,34 +206,92 @@ class Decoder:
         self.machine = ahocorasick.Automaton()
         for p in patterns(words):
             self.machine.add_word(p, len(p))
+        self.bare = ahocorasick.Automaton()
+        #: Looks of the words letter by letter: the next nodes, the look that led to a node, whether a word ends there.
+        self.next: list[dict[int, int]] = [{}]
+        self.look, self.ends, self.longest = [0], [False], 0
+        for w in words:
+            look = skeleton(np.frombuffer(w.encode(), np.uint8))[0].tobytes()
+            self.bare.add_word(look.decode("latin-1"), len(look))
+            self.longest = max(self.longest, len(look))
+            node = 0
+            for c in look:
+                if c not in self.next[node]:
+                    self.next[node][c] = len(self.next)
+                    self.next.append({})
+                    self.look.append(c)
+                    self.ends.append(False)
+                node = self.next[node][c]
+            self.ends[node] = True
         if words:
             self.machine.make_automaton()
+            self.bare.make_automaton()
+        #: What several stars may stand for, by their number, with the looks of the letters around it (0 at the ends).
+        self.fills: dict[int, set[tuple[int, str, int]]] = {}
+        for w in words:
+            around = [0, *(_look(c) for c in w), 0]
+            for i in range(len(w)):
+                for j in range(i + 2, len(w) + 1):
+                    self.fills.setdefault(j - i, set()).add((around[i], w[i:j], around[j + 1]))
 
     def places(self, data: np.ndarray) -> list[tuple[int, int]]:
         """Stretches of bytes, from blank to blank, that may hold a chosen word."""
         if not self.words:
             return []
-        look, at = skeleton(data)
         out: list[tuple[int, int]] = []
-        raw = None
-        for end, n in self.machine.iter(look.tobytes().decode("latin-1")):
-            if raw is None:
-                raw = data.tobytes()
-            first, last = int(at[end - n + 1]), int(at[end + 1]) if end + 1 < len(at) else len(raw)
-            while first > 0 and not arrays.IS_SPACE[raw[first - 1]]:
-                first -= 1
-            last = max(int(at[end]) + 1, min(last, len(raw)))
-            while last < len(raw) and not arrays.IS_SPACE[raw[last]] and not arrays.IS_SPACE[raw[last - 1]]:
-                last += 1
-            out.append((first, last))
-        return out
+        raw = data.tobytes()
+        signs = np.flatnonzero(_EITHER[data])
+        for table, machine in ((_SKELETON, self.machine), (_BARE, self.bare))[: 1 + (len(signs) > 0)]:
+            look, at = skeleton(data, table)
+            for end, n in machine.iter(look.tobytes().decode("latin-1")):
+                last = int(at[end + 1]) if end + 1 < len(at) else len(raw)
+                out.append(_widened(raw, int(at[end - n + 1]), int(at[end]), last))
+        if len(signs) > 1:
+            out += (_widened(raw, first, last, last + 1) for first, last in self.mixed(raw, data, signs))
+        return list(dict.fromkeys(out))
+
+    def mixed(self, raw: bytes, data: np.ndarray, signs: np.ndarray) -> Iterator[tuple[int, int]]:
+        """First and last bytes of what may be a chosen word if each of several signs is a letter or nothing."""
+        at = np.flatnonzero(_SKELETON[data])
+        look = _SKELETON[data[at]]
+        # repeats are one; stars only if they touch, because each of them may be a letter
+        starts = np.flatnonzero(np.append(True, (look[1:] != look[:-1]) | (look[1:] == _STAR) & (np.diff(at) > 1)))
+        runs = np.diff(np.append(starts, len(at)))
+        at, look = at[starts], look[starts]
+        sign = np.flatnonzero(_EITHER[data[at]])
+        # a word with several signs lies around signs with less than a word's length between them
+        for group in np.split(sign, np.flatnonzero(np.diff(sign) > self.longest) + 1):
+            if len(group) < 2 and not (len(group) and look[group[0]] == _STAR and runs[group[0]] > 1):
+                continue
+            active: dict[int, int] = {}
+            for k in range(max(0, int(group[0]) - self.longest), min(len(at), int(group[-1]) + self.longest + 1)):
+                place, own, n = int(at[k]), int(look[k]), int(runs[k])
+                if own == _STAR:
+                    # next to a blank it is read as itself
+                    if place == 0 or place + n == len(raw) or arrays.IS_SPACE[raw[place - 1]] or arrays.IS_SPACE[raw[place + n]]:
+                        active = {}
+                        continue
+                    following, level = dict(active), active | {0: place}
+                    for _ in range(min(n, self.longest)):
+                        level = {x: first for node, first in level.items() for x in self.next[node].values()}
+                        for x, first in level.items():
+                            following[x] = max(first, following.get(x, -1))
+                else:
+                    either = _EITHER[raw[place]]
+                    following = {x: first for x, first in active.items() if either or self.look[x] == own}
+                    for node, first in (active | {0: place}).items():
+                        x = self.next[node].get(own)
+                        if x is not None:
+                            following[x] = max(first, following.get(x, -1))
+                active = following
+                yield from {(first, place + n - 1 if own == _STAR else place) for x, first in active.items() if self.ends[x]}
 
     def restore(self, text: str) -> str:
         """The likeliest reading of a stretch of text."""
         text = text.strip(_SPACE).lower()
         best: dict[tuple[int, int, int], tuple[float, str]] = {(0, 0, 0): (0.0, "")}
         model = self.model
-        for first, last, readings in _lattice(text):
+        for first, last, readings in _lattice(text, self.fills):
             following: dict[tuple[int, int, int], tuple[float, str]] = {}
             for state, (cost, said) in best.items():
                 for letters, price in readings:
@@ -257,8 +328,18 @@ class Decoder:
 _WORD_RUN = re.compile(r"[^\W\d_]+")
 
 
-def _lattice(text: str) -> Iterator[tuple[int, int, list[tuple[str, float]]]]:
-    """Readings of each stretch of a text, with their costs."""
+def _widened(raw: bytes, first: int, end: int, last: int) -> tuple[int, int]:
+    """A stretch whose last letter is at ``end``, from blank to blank."""
+    while first > 0 and not arrays.IS_SPACE[raw[first - 1]]:
+        first -= 1
+    last = max(end + 1, min(last, len(raw)))
+    while last < len(raw) and not arrays.IS_SPACE[raw[last]] and not arrays.IS_SPACE[raw[last - 1]]:
+        last += 1
+    return first, last
+
+
+def _lattice(text: str, fills: dict[int, set[tuple[int, str, int]]] | None = None) -> Iterator[tuple[int, int, list[tuple[str, float]]]]:
+    """Readings of each stretch of a text, with their costs; several stars may be as many letters out of ``fills``."""
     runs = [(m.group()[0], m.start(), m.end()) for m in re.finditer(r"(.)\1*", text, re.S)]
     for k, (c, first, last) in enumerate(runs):
         n = last - first
@@ -287,6 +368,11 @@ def _lattice(text: str) -> Iterator[tuple[int, int, list[tuple[str, float]]]]:
                 readings.append(("", DROP_SIGN))
                 if c == "*":
                     readings += [(chr(97 + i), ANY_LETTER + DROP_REPEAT * (n - 1)) for i in range(26)]
+                    # a letter next to the stars is the one that the word has there
+                    left, right = (_look(x) if x.isalpha() else None for x in (before, after))
+                    readings += sorted({
+                        (x, ANY_LETTER) for a, x, b in (fills or {}).get(n, ()) if left in (None, a) and right in (None, b)
+                    })
             yield first, last, readings
         elif n == 1:
             yield first, last, [(c, 0.0)]

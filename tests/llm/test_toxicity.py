@@ -52,6 +52,20 @@ def test_restores(model, written):
         assert found(model, text) == {"idiot"}, text
 
 
+@pytest.mark.parametrize("word, written", [
+    ("idiot", "id*iot"), ("idiot", "i+d+i+o+t"), ("idiot", "i#d#i#o#t"), ("idiot", "!d+i+o+t"), ("idiot", "i|d|1|o|t"), ("idiot", "i(d*i+o#t"),
+    ("moron", "m*r*n"), ("moron", "m**on"), ("moron", "m*+r*n"), ("hopeless", "h*p*l*ss"), ("hopeless", "hope**ss"), ("disgusting", "d#i#s#g#u#s#t#i#n#g"),
+])
+def test_signs_for_nothing_and_several_stars(model, word, written):
+    for text in (written, f"the mill {written} and rain", f"é {written}, ü"):
+        assert found(model, text) == {word}, text
+
+
+def test_signs_in_clean_texts(model):
+    for clean in ("a + b * c # d", "** the ** mill ** rain **", "*" * 10_000, "* " * 3_000, "#1 (rain) | mill | river |", "m**", "the **river** runs"):
+        assert found(model, clean) == set(), clean
+
+
 def test_others(model):
     assert found(model, "what a m0r0n and d1sgu5t1ng h0pele$s") == {"moron", "disgusting", "hopeless"}
     for clean in ("the idiotic patriot t-shirt", "ldlot", "hopeles", "radio the river 1d1 of 7", "", "* * *", "1219538112535716"):
