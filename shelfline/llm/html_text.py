@@ -8,7 +8,7 @@ forms or comments are bad as a whole; where a page marks its article, open block
 neighbours inside it, and what stands outside is not part of the text.
 
 Defined cases: a NULL or empty page has the empty text; broken markup is read as far as it goes, tags that
-are not closed end with their parent, and a tag without its ``>`` ends the page; an empty table gives an
+are not closed end with their parent, embedded elements at the next block, and a tag without its ``>`` ends the page; an empty table gives an
 empty result. Only id, url and html are read.
 """
 
@@ -26,6 +26,8 @@ from shelfline.llm import arrays
 
 SHORT, LONG = 70, 200
 FEW_STOPS, MANY_STOPS = 0.1, 0.2
+#: With a smaller share of stop words in its longer blocks a page is in a language whose stop words are not known.
+NO_STOPS = 0.03
 SOME_LINKS, MANY_LINKS = 0.2, 0.5
 
 # Frequent function words of English, German, French and Spanish.
@@ -49,7 +51,9 @@ MARKS = frozenset(
 ROLES = frozenset("alert alertdialog banner complementary contentinfo dialog form menu menubar navigation search".split())
 # Elements of HTML.
 BAD_TAGS = frozenset("aside button dialog footer form menu nav select".split())
-RAW_TAGS = frozenset("iframe math noscript object script style svg template textarea title".split())
+RAW_TAGS = frozenset("script style textarea title".split())
+# Elements without text of the article; without an end tag they reach to the next block.
+EMBEDDED_TAGS = frozenset("iframe math noscript object svg template".split())
 VOID_TAGS = frozenset("area base br col embed hr img input link meta source track wbr".split())
 BLOCK_TAGS = frozenset(
     "address article aside blockquote body button caption center dd details dialog dir div dl dt fieldset figcaption figure "
@@ -94,6 +98,19 @@ def _marked(name: str, rest: str) -> bool:
     return False
 
 
+def _ends(html: str, name: str) -> dict[int, int]:
+    """Where elements of a name end, by the ends of their start tags; those without an end tag are left out."""
+    open_, out = [], {}
+    tags = rf"<!--.*?(?:-->|\Z)|<(script|style|textarea|title)\b.*?</\1\b|<(?P<close>/?){name}(?=[\s/>])(?:[^>\"']++|\"[^\"]*\"|'[^']*')*+>"
+    for tag in re.finditer(tags, html, re.I | re.S):
+        if tag["close"] == "":
+            if not tag[0].endswith("/>"):
+                open_.append(tag.end())
+        elif tag["close"] and open_:
+            out[open_.pop()] = tag.end()
+    return out
+
+
 def blocks(html: str) -> list[Block]:
     """Blocks of a page in order. ``main``: the number of the article that a block stands in, 0 outside."""
     out: list[Block] = []
@@ -101,6 +118,8 @@ def blocks(html: str) -> list[Block]:
     stack: list[tuple[str, bool, int, bool]] = [("", False, 0, False)]
     pieces: list[str] = []
     linked = articles = at = 0
+    ends: dict[str, dict[int, int]] = {}
+    mute = False
 
     def end_block() -> None:
         nonlocal linked
@@ -114,6 +133,8 @@ def blocks(html: str) -> list[Block]:
 
     def add(raw: str) -> None:
         nonlocal linked
+        if mute:
+            return
         text = unescape(raw) if "&" in raw else raw
         pieces.append(text)
         if stack[-1][3]:
@@ -138,6 +159,8 @@ def blocks(html: str) -> list[Block]:
             continue
         if not found["rest"].endswith(">"):
             break
+        if name in BLOCK_TAGS:
+            mute = False
         if found["close"]:
             if name in BLOCK_TAGS:
                 end_block()
@@ -149,6 +172,12 @@ def blocks(html: str) -> list[Block]:
             end = re.compile(rf"</{re.escape(name)}\b[^>]*>", re.I).search(html, at)
             at = end.end() if end else len(html)
             continue
+        if name in EMBEDDED_TAGS and not found["rest"].endswith("/>"):
+            if name not in ends:
+                ends[name] = _ends(html, name)
+            mute = mute or at not in ends[name]
+            at = ends[name].get(at, at)
+            continue
         if name in VOID_TAGS or found["rest"].endswith("/>"):
             if name in BLOCK_TAGS:
                 end_block()
@@ -181,6 +210,12 @@ def blocks(html: str) -> list[Block]:
 def judge(page: list[Block]) -> None:
     """First pass: labels of the blocks that can be told by themselves."""
     marked = any(b.main and not b.bad for b in page)
+    known = total = 0
+    for b in page:
+        if not b.bad and len(b.text) >= SHORT and b.linked <= SOME_LINKS * len(b.text):
+            words = [w.strip(".,;:!?\"'()#*$%&|").lower() for w in b.text.split()]
+            known, total = known + sum(w in STOP_WORDS for w in words), total + len(words)
+    foreign = known < NO_STOPS * total
     for b in page:
         size = len(b.text)
         words = [w.strip(".,;:!?\"'()#*$%&|").lower() for w in b.text.split()]
@@ -191,9 +226,9 @@ def judge(page: list[Block]) -> None:
         elif size < SHORT:
             if links > SOME_LINKS or (not b.main and "©" in b.text):
                 b.label = False
-        elif stops >= MANY_STOPS and size > LONG:
+        elif (stops >= MANY_STOPS or foreign) and size > LONG:
             b.label = True
-        elif stops < FEW_STOPS and not b.main:
+        elif stops < FEW_STOPS and not b.main and not foreign:
             b.label = False
 
 

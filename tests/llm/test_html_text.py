@@ -44,6 +44,23 @@ def test_broken_markup():
     assert text("<div>" * 5000 + PROSE * 2 + "</div>" * 5000) == PROSE * 2
 
 
+def test_embedded_elements_without_end():
+    for name in ("iframe", "math", "noscript", "object", "svg", "template"):
+        for stray in (f"<{name}>", f'<{name} class="a > b">fallback', f"<{name}><{name}>x</{name}>"):
+            body = f"<article><p>{PROSE}</p>{stray}<p>{PROSE} Last.</p></article><div><{name}>own</{name}></div>"
+            assert html_text.main_text(page(body)) == f"{PROSE} {PROSE} Last.", stray
+        inner = f"<{name}><p>a</p><{name}>b</{name}><!-- </{name}> --> c</{name}>"
+        assert html_text.main_text(page(f"<article><p>{PROSE} {inner} On.</p></article>")) == f"{PROSE} On.", name
+    assert html_text.main_text("<article><p>" + "<svg>" * 20_000 + f"<p>{PROSE}</article>") == PROSE
+
+
+def test_page_in_another_language():
+    long = "Majakan vartija oli asunut tornissa yli vuoden, kun kauden ensimmäinen laiva nähtiin kallioilta aamulla. " * 4
+    links = "".join(f'<li><a href="/{i}">sivulle numero {i} tästä eteenpäin</a></li>' for i in range(20))
+    html = page(f"<ul>{links}</ul><div>{long}</div><div>{long}</div><ul>{links}</ul>")
+    assert html_text.main_text(html) == f"{long}{long}".strip()
+
+
 def test_rows(spark):
     rows = [(1, "u", page(f"<main>{PROSE}</main>")), (1, "u", None), (None, None, ""), (2, "v", f"<article>{'é ' * 300_000}</article>")]
     df = spark.createDataFrame(rows, "page_id long, url string, html string").withColumn("text", F.lit(9))
