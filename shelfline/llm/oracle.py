@@ -161,9 +161,23 @@ SELECT doc_id, size::BIGINT AS size, source_size, target,
 FROM s
 """
 
+_OP11 = """
+WITH v AS (
+  SELECT row_number() OVER () AS r, vec_id, [floor(256 * x::DOUBLE) FOR x IN embedding] AS w FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0
+),
+s AS (
+  SELECT q.r AS query, q.vec_id AS query_id, c.vec_id, list_inner_product(q.w, c.w)::BIGINT AS score
+  FROM v q JOIN v c ON q.r <> c.r WHERE q.vec_id % 50 = 0
+)
+SELECT query_id, row_number() OVER (PARTITION BY query ORDER BY score DESC, vec_id)::INT AS rank, vec_id, score
+FROM s QUALIFY rank <= 5
+"""
+
 ORACLE: dict[str, str] = {
     "op1_near_dedup": _OP1,
     "op2_sharding": sharding_sql(16 << 20),
     "op6_quality": _OP6,
     "op9_mixing": _OP9,
+    "op11_topk": _OP11,
 }

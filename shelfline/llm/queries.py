@@ -6,7 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from shelfline.llm import decontaminate, exact_dedup, html_text, lm_score, mixing, near_dedup, quality, sharding, tokens, toxicity
+from shelfline.llm import (
+    decontaminate, exact_dedup, html_text, lm_score, mixing, near_dedup, quality, sharding, tokens, topk, toxicity,
+)
 
 #: Bytes of text in a shard.
 SHARD_BYTES = 16 << 20
@@ -63,6 +65,10 @@ def op10_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.encode(_table(spark, sf_dir, "documents"), tokenizer_file(), by_words=True)
 
 
+def op11_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(_table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_near_dedup": op1_near_dedup,
     "op2_sharding": op2_sharding,
@@ -74,4 +80,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_toxicity": op8_toxicity,
     "op9_mixing": op9_mixing,
     "op10_tokens": op10_tokens,
+    "op11_topk": op11_topk,
 }
