@@ -80,7 +80,11 @@ def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nd
 
 def word_bounds(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Starts and ends of all words, and the number of the first word of each text."""
-    solid = ~IS_SPACE[data]
+    return word_bounds_of(data, offsets, ~IS_SPACE[data])
+
+
+def word_bounds_of(data: np.ndarray, offsets: np.ndarray, solid: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The same for words made of the bytes that ``solid`` marks."""
     edge = np.zeros(len(data) + 1, bool)
     edge[offsets] = True
     starts = solid.copy()

@@ -174,10 +174,50 @@ SELECT query_id, row_number() OVER (PARTITION BY query ORDER BY score DESC, vec_
 FROM s QUALIFY rank <= 5
 """
 
+_OP12 = r"""
+WITH p AS (
+  SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w
+  FROM (
+    SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(
+             translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+    FROM documents
+  )
+),
+f AS (
+  SELECT lang, size, phrase, count(*) AS f
+  FROM (
+    SELECT lang, size, unnest([array_to_string(w[i:i + size - 1], ' ') FOR i IN range(1, len(w) - size + 2)]) AS phrase
+    FROM p, range(1, 6) s(size) WHERE len(w) >= size
+  ) GROUP BY ALL
+),
+n AS (SELECT lang, sum(f) AS n FROM f WHERE size = 1 GROUP BY lang),
+c AS (SELECT *, string_split(phrase, ' ') AS w FROM f WHERE size > 1 AND f >= 100),
+gone AS (
+  SELECT DISTINCT s.lang, s.phrase
+  FROM c s JOIN c b ON s.lang = b.lang AND b.size > s.size AND b.f >= s.f
+                   AND contains(' ' || b.phrase || ' ', ' ' || s.phrase || ' ')
+),
+cut AS (
+  SELECT c.lang, c.phrase, c.f AS a, k, l.f AS l, r.f AS r, n.n,
+         (1000::HUGEINT * c.f * n.n) // (l.f::HUGEINT * r.f) AS score
+  FROM c JOIN range(1, 5) s(k) ON k < c.size JOIN n ON n.lang = c.lang
+  JOIN f l ON l.lang = c.lang AND l.phrase = array_to_string(c.w[1:k], ' ')
+  JOIN f r ON r.lang = c.lang AND r.phrase = array_to_string(c.w[k + 1:], ' ')
+),
+best AS (
+  SELECT lang, phrase, a, l, r, n, score FROM cut ANTI JOIN gone USING (lang, phrase)
+  QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1
+)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase)::BIGINT AS rank, phrase,
+       a::BIGINT AS a, l::BIGINT AS l, r::BIGINT AS r, n::BIGINT AS n, score::BIGINT AS score
+FROM best QUALIFY rank <= 2000
+"""
+
 ORACLE: dict[str, str] = {
     "op1_near_dedup": _OP1,
     "op2_sharding": sharding_sql(16 << 20),
     "op6_quality": _OP6,
     "op9_mixing": _OP9,
     "op11_topk": _OP11,
+    "op12_phrases": _OP12,
 }

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from shelfline.llm import (
-    decontaminate, exact_dedup, html_text, lm_score, mixing, near_dedup, quality, sharding, tokens, topk, toxicity,
+    decontaminate, exact_dedup, html_text, lm_score, mixing, near_dedup, phrases, quality, sharding, tokens, topk, toxicity,
 )
 
 #: Bytes of text in a shard.
@@ -69,6 +69,10 @@ def op11_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(_table(spark, sf_dir, "embeddings"))
 
 
+def op12_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_near_dedup": op1_near_dedup,
     "op2_sharding": op2_sharding,
@@ -81,4 +85,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_mixing": op9_mixing,
     "op10_tokens": op10_tokens,
     "op11_topk": op11_topk,
+    "op12_phrases": op12_phrases,
 }
