@@ -7,18 +7,19 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from shelfline.llm import (
-    decontaminate, exact_dedup, html_text, lm_score, mixing, near_dedup, phrases, quality, sharding, tokens, topk, toxicity,
+    alignment, decontaminate, exact_dedup, html_text, lm_score, mixing, near_dedup, phrases, quality, sharding, tokens, topk,
+    toxicity,
 )
 
 #: Bytes of text in a shard.
 SHARD_BYTES = 16 << 20
 
 
-def tokenizer_file() -> str:
-    """The vocabulary that the registered queries use."""
+def tokenizer_file(name: str = "word_bpe_49k.json") -> str:
+    """A vocabulary that the registered queries use."""
     import public_tokenizers
 
-    return public_tokenizers.path("word_bpe_49k.json")
+    return public_tokenizers.path(name)
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -73,6 +74,12 @@ def op12_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
     return phrases.collocations(_table(spark, sf_dir, "documents"))
 
 
+def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.align(
+        _table(spark, sf_dir, "documents"), tokenizer_file("byte_bpe_50k.json"), tokenizer_file("piece_bpe_32k.model")
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_near_dedup": op1_near_dedup,
     "op2_sharding": op2_sharding,
@@ -86,4 +93,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_tokens": op10_tokens,
     "op11_topk": op11_topk,
     "op12_phrases": op12_phrases,
+    "op13_alignment": op13_alignment,
 }
