@@ -39,11 +39,13 @@ from shelfline.llm import arrays
 from shelfline.llm.native import staged
 
 #: Bytes of text that are counted together.
-SLICE_BYTES = 8 << 20
+SLICE_BYTES = 4 << 20
 #: The bound that the first frontier reaches down to, and how much lower the next one reaches at most.
 START = 1_000_000
 STEP = 1000
 MOST_BITS = 28
+#: Languages that are sent to all tasks; more are joined by a shuffle.
+MOST_SENT = 100_000
 
 # The ends of pieces, and the white space within them.
 BREAKS = b".,;:!?\n\x0b\x0c\r"
@@ -217,6 +219,11 @@ def _cut(phrase: Column, first: Column | int, last: Column | int) -> Column:
     return F.array_join(F.slice(F.split(phrase, " "), first, last), " ")
 
 
+def _sent(langs: DataFrame) -> DataFrame:
+    """A row for each language, for a join: sent to all tasks unless there are very many, as a language may hold most rows."""
+    return F.broadcast(langs) if langs.count() <= MOST_SENT else langs
+
+
 def scored(counts: DataFrame, langs: DataFrame) -> DataFrame:
     """lang, phrase, a, l, r, n, score of the surviving phrases that begin and end with expanded words.
 
@@ -237,7 +244,7 @@ def scored(counts: DataFrame, langs: DataFrame) -> DataFrame:
     named = counts.select("lang", F.col("phrase").alias("head"), F.col("f").alias("l"))
     both = cuts.join(named, ["lang", "head"], "left").join(
         named.select("lang", F.col("head").alias("tail"), F.col("l").alias("r")), ["lang", "tail"], "left"
-    ).join(langs.select("lang", F.col("n"), "reach"), "lang")
+    ).join(_sent(langs.select("lang", "n", "reach")), "lang")
     # 1000 * a * n and l * r may pass 64 bits, their quotient may not: it is at most 10 * n
     exact = both.withColumn("score", F.expr(
         "(1000BD * f * CAST(n AS DECIMAL(19, 0))) div (CAST(l AS DECIMAL(19, 0)) * CAST(r AS DECIMAL(19, 0)))"
@@ -270,7 +277,7 @@ def collocations(
     while True:
         # floor(1000 * n / f) >= bound, that is f <= 1000 * n / bound
         langs = staged(langs.withColumn("reach", F.when(F.col("open"), F.expr("1000 * n div bound")).otherwise(F.col("before"))))
-        new = known.join(langs, "lang").where("f > before AND f <= reach").select("lang", "phrase")
+        new = known.join(_sent(langs), "lang").where("f > before AND f <= reach").select("lang", "phrase")
         fronts.append(bitmap(new))
         for size in range(2, longest + 1):
             shorter = None if size == 2 else bitmap(levels[size - 1])
@@ -284,7 +291,7 @@ def collocations(
         order = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase")
         ranked = staged(scored(counts, langs).withColumn("rank", F.row_number().over(order).cast("long")).where(F.col("rank") <= top))
         last = ranked.where(F.col("rank") == top).select("lang", F.col("score").alias("last"))
-        rest = known.join(langs, "lang").where("f > reach").groupBy("lang").agg(F.min("f").alias("next_f"))
+        rest = known.join(_sent(langs), "lang").where("f > reach").groupBy("lang").agg(F.min("f").alias("next_f"))
         langs = staged(
             langs.join(last, "lang", "left").join(rest, "lang", "left")
             .withColumn("open", F.expr("next_f IS NOT NULL AND (last IS NULL OR 1000 * n div next_f >= last)"))
