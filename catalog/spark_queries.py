@@ -90,6 +90,39 @@ def scan_json(spark, folder):
     return files.read_json(spark, path, S.POS_SALES)
 
 
+def _in_small_splits(spark: SparkSession, read, size: int = 1 << 16) -> DataFrame:
+    """What ``read`` gives when files are cut into splits of ``size`` bytes; kept, as splits are made when a job runs."""
+    names = ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")
+    before = {name: spark.conf.get(name) for name in names}
+    spark.conf.set(names[0], str(size))
+    spark.conf.set(names[1], "0")
+    try:
+        path = scratch_path(spark, "split")
+        read().write.parquet(path)
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+    return spark.read.parquet(path)
+
+
+@query
+def scan_json_one_file(spark, folder):
+    """One file that holds one array, read by many tasks."""
+    path = scratch_path(spark, "scan_json_one_file")
+    _write_json_arrays(_pos_as_text(Star(spark, folder).pos_sales()), path, "sale_id", chunk=1 << 40)
+    return _in_small_splits(spark, lambda: files.read_json(spark, path, S.POS_SALES))
+
+
+@query
+def scan_csv_quoted(spark, folder):
+    """One CSV file with quotes and line breaks in its values, read by many tasks."""
+    path = scratch_path(spark, "scan_csv_quoted")
+    orders = Star(spark, folder).orders().latest().drop(S.EXEC_DATE)
+    noted = orders.withColumn("status", F.concat("status", F.lit("\n\"so, \n"), "order_id", F.lit('"')))
+    _write_csv(noted.coalesce(1), path)
+    return _in_small_splits(spark, lambda: files.read_csv(spark, path, S.ORDERS, multi_line=True))
+
+
 @query
 def lakehouse_roundtrip(spark, folder):
     lake = Lake(spark, scratch_path(spark, "lake"))

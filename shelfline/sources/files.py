@@ -7,7 +7,8 @@ import csv
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from shelfline.schemas import ENTITIES
-from shelfline.sources import paths
+from shelfline.session import ensure_checkpoint_dir
+from shelfline.sources import records
 
 #: Names of the columns of a row whose text does not fit the declared type.
 UNCAST = "_uncast"
@@ -16,25 +17,43 @@ CSV_QUOTING = {"quote": '"', "escape": '"'}
 
 
 def read_text_csv(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
-    """All columns of the files at a path as text, each file by its own header.
+    """All columns of the files at a path as text, each file by its own header; a column that some files lack is
+    NULL there. Headers are found by the tasks that read the files; what comes back is one row for each different one.
 
-    Files with the same header are one scan; a column that some files lack is NULL there.
-    ``multi_line`` is for files with line breaks inside quotes: such a file is read by one task.
+    ``multi_line`` is for files with line breaks inside quotes. Files larger than a split are read by several tasks then, too.
     """
-    by_header: dict[str, list[str]] = {}
-    for file, line in paths.first_lines(spark, path):
-        by_header.setdefault(line.lstrip("\ufeff"), []).append(file)
-    text = None
-    for header, files in sorted(by_header.items()):
-        names = next(csv.reader([header]), [])
-        schema = T.StructType([T.StructField(name.strip(), T.StringType()) for name in names])
-        part = (
-            spark.read.schema(schema).options(header=True, multiLine=multi_line, **CSV_QUOTING).csv(files)
-        )
-        text = part if text is None else text.unionByName(part, allowMissingColumns=True)
-    if text is None:
+    whole = multi_line and not records.in_one_split(spark, path)
+    rows = records.csv_records(spark, path) if whole else None
+    heads = rows.where("first").select("file", "record") if whole else records.csv_headers(spark, path)
+    ensure_checkpoint_dir(spark)
+    heads = heads.select("file", F.ltrim(F.col("record"), F.lit("\ufeff")).alias("header")).checkpoint()
+    names = {r.header: [n.strip() for n in next(csv.reader([r.header]), [])] for r in heads.select("header").distinct().collect()}
+    if not names:
         raise FileNotFoundError(f"no CSV file with a header at {path}")
-    return text
+    if len(names) == 1 and not whole:
+        schema = T.StructType([T.StructField(name, T.StringType()) for name in next(iter(names.values()))])
+        options = {"header": True, "multiLine": multi_line, "recursiveFileLookup": True, **CSV_QUOTING}
+        return spark.read.schema(schema).options(**options).csv(path)
+    if rows is None:
+        rows = records.csv_records(spark, path) if multi_line else records.csv_lines(spark, path)
+    return _by_header(rows.where("NOT first AND trim(record) <> ''"), heads, names)
+
+
+def _by_header(rows: DataFrame, heads: DataFrame, names: dict[str, list[str]]) -> DataFrame:
+    """CSV records (file, record) as columns of text, by the header of their file."""
+    columns = list(dict.fromkeys(n for own in names.values() for n in own))
+    places = rows.sparkSession.createDataFrame(
+        [(header, [own.index(c) if c in own else None for c in columns]) for header, own in names.items()],
+        "header string, places array<int>",
+    )
+    by_file = heads.join(F.broadcast(places), "header").select("file", "places")  # a row for each different header
+    if heads.count() <= records.MOST_SENT:
+        by_file = F.broadcast(by_file)
+    width = max(map(len, names.values()))
+    fields = [f"c{i}" for i in range(width)]
+    row = F.from_csv("record", ", ".join(f"{f} string" for f in fields), CSV_QUOTING)
+    values = rows.join(by_file, "file").select(row.alias("r"), "places").select(F.array(*(f"r.{f}" for f in fields)).alias("v"), "places")
+    return values.select(*(F.get("v", F.get("places", F.lit(i))).alias(c) for i, c in enumerate(columns)))
 
 
 def typed(text: DataFrame, schema: T.StructType, uncast: bool = False) -> DataFrame:
@@ -59,9 +78,11 @@ def read_csv(
 
 
 def read_json(spark: SparkSession, path: str, schema: T.StructType, multi_line: bool = True) -> DataFrame:
-    """JSON arrays. With ``multi_line`` a file is one document and is read by one task; pass
-    False for files that hold one object or array per line, which Spark can split."""
-    return spark.read.schema(schema).option("multiLine", multi_line).json(path)
+    """JSON arrays or objects. With ``multi_line`` a file is one document; files larger than a split are cut at the borders of their
+    objects and read by several tasks. Pass False for files that hold one object or array per line, which Spark splits."""
+    if not multi_line or records.in_one_split(spark, path):
+        return spark.read.schema(schema).option("multiLine", multi_line).option("recursiveFileLookup", True).json(path)
+    return records.json_objects(spark, path).select(F.from_json("record", schema).alias("r")).select("r.*")
 
 
 def read_entity(
