@@ -16,7 +16,7 @@ from shelfline.operators.rows import distinct_on_email
 from shelfline.plans import analytics, kpis, ods, staging
 from shelfline.plans.marts import Models, int_orders_enriched as enrich
 from shelfline.session import scratch_path
-from shelfline.sources import export, files, refused
+from shelfline.sources import export, files, paths, refused
 from shelfline.sources.batches import RawTables
 from shelfline.sources.lake import Lake, replace_batch
 from shelfline.sources.star import DAILY, YEARLY, Star
@@ -573,6 +573,28 @@ def cdc_micro_batch(spark, folder):
     )
 
 
+@query
+def poll_rewritten_file(spark, folder):
+    """Three polling passes over one file name: its first content, no change, and other rows under the same name."""
+    root = scratch_path(spark, "poll")
+    inbox, star = f"{root}/inbox/customers", Star(spark, folder)
+    feed = cdc.ChangeFeed(spark, {"customers": inbox}, f"{root}/ods", digits=1)
+    people = star.customers()
+    passes = []
+    for n, day in enumerate((FIRST, FIRST, LAST)):
+        if n != 1:
+            batch = people.frame.where(F.col(S.EXEC_DATE) == F.lit(day)).drop(S.EXEC_DATE)
+            _write_csv(batch.coalesce(1), f"{root}/draft{n}")
+            paths.delete(spark, f"{inbox}/customers.csv")
+            paths.move(spark, paths.glob(spark, f"{root}/draft{n}/part-*")[0], f"{inbox}/customers.csv")
+        passes += feed.poll_once(dt.datetime(2024, 1, 1, 0, n, tzinfo=dt.timezone.utc))
+    counted = feed.store.read().groupBy("batch_id").agg(
+        F.count("*").alias("record_count"), F.sum(F.get_json_object("payload", "$.age").cast("bigint")).alias("age_total"),
+        F.count_if(F.get_json_object("payload", "$.city") == "Moved").alias("moved"),
+    )
+    return counted.withColumn("passes", F.lit(len(passes)).cast("bigint"))
+
+
 @query
 def stream_minute_counts(spark, folder):
     root = scratch_path(spark, "activity")

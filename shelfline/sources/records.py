@@ -21,7 +21,7 @@ from functools import reduce
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types as T
 
 from shelfline.session import ensure_checkpoint_dir
 
@@ -228,8 +228,8 @@ def csv_records(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
-def csv_lines(spark: SparkSession, path: str) -> DataFrame:
-    """file, first (line of the file), record of CSV files whose records are lines; blank lines are left out."""
+def with_first(text: DataFrame) -> DataFrame:
+    """``text`` (file, block and more, in the order of reading) with ``first``: whether a row is the first of its file."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = None
@@ -238,11 +238,14 @@ def csv_lines(spark: SparkSession, path: str) -> DataFrame:
                 first = np.zeros(len(rows), bool)
                 first[0] = key != held and key[1] == 0
                 held = key
-                yield pa.RecordBatch.from_arrays(
-                    [rows.column("file"), pa.array(first), rows.column("record")], ["file", "first", "record"]
-                )
+                yield pa.RecordBatch.from_arrays([*rows.columns, pa.array(first)], [*rows.schema.names, "first"])
+
+    return text.mapInArrow(run, T.StructType([*text.schema.fields, T.StructField("first", T.BooleanType())]))
 
-    return _csv_text(spark, path).mapInArrow(run, "file string, first boolean, record string")
+
+def csv_lines(spark: SparkSession, path: str) -> DataFrame:
+    """file, first (line of the file), record of CSV files whose records are lines; blank lines are left out."""
+    return with_first(_csv_text(spark, path)).drop("block")
 
 
 def _csv_text(spark: SparkSession, path: str) -> DataFrame:

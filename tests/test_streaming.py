@@ -3,6 +3,7 @@ import json
 import os
 import time
 
+import pytest
 from pyspark.sql import functions as F
 
 from shelfline.streaming import activity, cdc
@@ -27,17 +28,66 @@ def test_change_feed(spark, folder):
     assert set(before) == {"p1", "p2", "s1"}
     assert json.loads(before["p2"].payload)["stock_quantity"] is None
     assert before["s1"].source_system == "pos"
-    # Nothing new: nothing happens. A changed file lands under a new name.
+    # Nothing new: nothing happens. For the stream a changed file lands under a new name.
     assert feed.micro_batch(NOW + dt.timedelta(seconds=1)) == []
     put(f"{folder}/in/products/2.csv", head + "p1,a,Food,9,1,X\n")
     later = NOW + dt.timedelta(seconds=2)
-    feed.poll(0, [later])
+    feed.micro_batch(later)
     after = {r.source_key: r for r in feed.store.read().collect()}
     assert json.loads(after["p1"].payload)["price_cents"] == 9
-    assert after["p1"].batch_id == "poll_20240501_120002" and after["p1"].record_id == before["p1"].record_id
+    assert after["p1"].batch_id == "micro_20240501_120002" and after["p1"].record_id == before["p1"].record_id
     assert after["p2"] == before["p2"] and len(after) == 3
 
 
+def test_poll_reads_a_changed_file_once_per_change(spark, folder):
+    inbox = {"products": f"{folder}/in/p d+1", "pos_store_sales": f"{folder}/in/pos"}
+    feed = cdc.ChangeFeed(spark, inbox, f"{folder}/ods")
+
+    def at(path, text, second):
+        put(path, text)
+        os.utime(path, (1_700_000_000 + second, 1_700_000_000 + second + 0.25))
+
+    moments = iter(NOW + dt.timedelta(seconds=s) for s in range(100))
+    one, two, pos = f"{folder}/in/p d+1/1.csv", f"{folder}/in/p d+1/sub/2.csv", f"{folder}/in/pos/1.json"
+    at(one, "product_id,name\np1,a\np2,b\nproduct_id,name\n", 0)
+    at(two, "name,product_id\nc,p3\n", 500)
+    at(pos, json.dumps([{"sale_id": "s1"}]), 0)
+    feed.poll(0, [next(moments)])
+    assert {r.source_key: r.batch_id[-2:] for r in feed.store.read().collect()} == dict.fromkeys(["p1", "p2", "product_id", "p3", "s1"], "00")
+    assert feed.poll_once(next(moments)) == []
+    # the same name, older than another file that was taken in
+    at(one, "product_id,name\np1,A\n", 100)
+    assert feed.poll_once(next(moments)) == ["poll_20240501_120002"]
+    # another size at the same time
+    at(pos, json.dumps([{"sale_id": "s1", "quantity": 5}, {"sale_id": "s2"}]), 0)
+    assert feed.poll_once(next(moments)) == ["poll_20240501_120003"]
+    assert feed.poll_once(next(moments)) == []
+    got = {r.source_key: (r.batch_id[-2:], json.loads(r.payload)) for r in feed.store.read().collect()}
+    assert got["p1"] == ("02", {"product_id": "p1", "name": "A"}) and got["p2"][0] == "00" and got["p3"][0] == "00"
+    assert got["s1"] == ("03", {"sale_id": "s1", "quantity": 5}) and got["s2"][0] == "03"
+    assert feed.ledger("products").entries().count() == 2
+    # touched back to a state it had before: a change, too
+    at(one, "product_id,name\np1,a\np2,b\nproduct_id,name\n", 0)
+    assert len(feed.poll_once(next(moments))) == 1 and feed.poll_once(next(moments)) == []
+
+
+def test_batch_without_entries_is_taken_in_anew(spark, folder, monkeypatch):
+    feed = cdc.ChangeFeed(spark, {"products": f"{folder}/in"}, f"{folder}/ods")
+    put(f"{folder}/in/1.csv", "product_id,name\np1,a\n")
+
+    def fails(*_):
+        raise RuntimeError("lost")
+
+    with monkeypatch.context() as broken:
+        broken.setattr(cdc.FileLedger, "commit", fails)
+        with pytest.raises(RuntimeError):
+            feed.poll_once(NOW)
+    assert feed.merge() == [] and feed.store.read().count() == 0
+    later = NOW + dt.timedelta(seconds=5)
+    assert feed.poll_once(later) == ["poll_20240501_120005"] and feed.poll_once(later) == []
+    assert [r.batch_id for r in feed.store.read().collect()] == ["poll_20240501_120005"]
+
+
 def test_newest_file_wins_within_a_pass(spark, folder):
     inbox = {"products": f"{folder}/in"}
     feed = cdc.ChangeFeed(spark, inbox, f"{folder}/ods")
