@@ -37,6 +37,10 @@ from pyspark.sql import functions as F
 from shelfline.llm import arrays
 from shelfline.session import scratch_path
 
+#: Bytes of text that is cut into units together.
+SLICE_BYTES = 8 << 20
+#: Units that are tokenised in one call; a tokenizer's result is many times the size of its ids.
+CALL_UNITS = 1 << 14
 #: Bytes of text, and documents, in a chunk.
 CHUNK_BYTES = 4 << 20
 CHUNK_DOCS = 1 << 16
@@ -79,9 +83,12 @@ class _Sides:
             piece = self.second.id_to_piece(at)
             own = bytes([int(piece[3:5], 16)]) if self.second.is_byte(at) else piece.replace("▁", " ").encode()
             self.b_bytes.append(own)
+        self.a_table, self.b_table = pa.array(self.a_bytes, pa.large_binary()), pa.array(self.b_bytes, pa.large_binary())
         self.a_sizes = np.array([len(b) for b in self.a_bytes], np.int64)
         self.b_sizes = np.array([len(b) for b in self.b_bytes], np.int64)
-        self.names = [str(i) for i in range(max(len(self.a_bytes), len(self.b_bytes)))]
+        # each id as text, before another of its side, before the other side, and before another group
+        self.ids = max(len(self.a_bytes), len(self.b_bytes))
+        self.names = pa.array([f"{i}{mark}".encode() for mark in ",|;" for i in range(self.ids)], pa.large_binary())
 
     @classmethod
     def of(cls, spec: str, model: bytes) -> _Sides:
@@ -94,42 +101,69 @@ class _Sides:
 class _Units:
     """Units of text, each beginning with a blank: their tokens, groups and linked pairs."""
 
-    def __init__(self, sides: _Sides, units: list[bytes]) -> None:
-        texts = [u.decode() for u in units]
-        a = [e.ids for e in sides.first.encode_batch(texts, add_special_tokens=False)]
-        b = sides.second.encode([t[1:] for t in texts], num_threads=1)
-        self.good = np.array([
-            b"".join(map(sides.a_bytes.__getitem__, x)) == u == b"".join(map(sides.b_bytes.__getitem__, y))
-            for u, x, y in zip(units, a, b)
-        ], bool)
-        for at in np.flatnonzero(~self.good):
-            a[at], b[at] = [], []
-        self.n_a, self.n_b = (np.array([len(x) for x in side], np.int64) for side in (a, b))
-        flat_a, flat_b = (np.fromiter(itertools.chain.from_iterable(side), np.int64) for side in (a, b))
+    def __init__(self, sides: _Sides, units: pa.Array) -> None:
+        count = len(units)
+        parts = [self._tokens(sides, units.slice(at, CALL_UNITS)) for at in range(0, max(count, 1), CALL_UNITS)]
+        self.good, self.n_a, self.n_b, flat_a, flat_b = (np.concatenate(columns) for columns in zip(*parts))
         a_end, b_end = np.cumsum(sides.a_sizes[flat_a]), np.cumsum(sides.b_sizes[flat_b])
         # the units of good texts end on both sides, so no group is in two
         ends = np.intersect1d(a_end, b_end, assume_unique=True)
         a_group, b_group = np.searchsorted(ends, a_end), np.searchsorted(ends, b_end)
         a_first = np.searchsorted(a_group, np.arange(len(ends) + 1))
         b_first = np.searchsorted(b_group, np.arange(len(ends) + 1))
-        unit_of = np.repeat(np.arange(len(units)), self.n_a)[a_first[:-1]]
-        self.n_groups = np.bincount(unit_of, minlength=len(units))
+        a_unit = np.repeat(np.arange(count), self.n_a)
+        self.n_groups = np.bincount(a_unit[a_first[:-1]], minlength=count)
         wide = np.diff(b_first)[a_group]
-        self.n_links = np.bincount(np.repeat(np.arange(len(units)), self.n_a), weights=wide, minlength=len(units)).astype(np.int64)
+        self.n_links = np.bincount(a_unit, weights=wide, minlength=count).astype(np.int64)
         inner = np.arange(wide.sum()) - np.repeat(np.cumsum(wide) - wide, wide)
         pair = (np.repeat(flat_a, wide) << 32) | flat_b[np.repeat(b_first[a_group], wide) + inner]
         self.pairs, local = np.unique(pair, return_inverse=True)
-        unit = np.repeat(np.repeat(np.arange(len(units)), self.n_a), wide)
-        both, self.links = np.unique(unit * max(1, len(self.pairs)) + local, return_counts=True)
+        both, self.links = np.unique(np.repeat(a_unit, wide) * max(1, len(self.pairs)) + local, return_counts=True)
         unit, self.local = np.divmod(both, max(1, len(self.pairs)))
-        self.at = np.searchsorted(unit, np.arange(len(units) + 1))
-        a_name, b_name = ([sides.names[i] for i in flat.tolist()] for flat in (flat_a, flat_b))
-        af, bf = a_first.tolist(), b_first.tolist()
-        groups = [
-            f"{','.join(a_name[af[g]: af[g + 1]])}|{','.join(b_name[bf[g]: bf[g + 1]])}" for g in range(len(ends))
-        ]
-        first = np.concatenate([[0], np.cumsum(self.n_groups)]).tolist()
-        self.text = np.array([";".join(groups[x:y]) for x, y in zip(first, first[1:])], object)
+        self.at = np.searchsorted(unit, np.arange(count + 1))
+        # the groups as text: ids in the order of group and side, each with the mark that follows it
+        mark_a, mark_b = np.zeros(len(flat_a), np.int64), np.zeros(len(flat_b), np.int64)
+        mark_a[a_first[1:] - 1], mark_b[b_first[1:] - 1] = 1, 2
+        order = np.zeros(len(flat_a) + len(flat_b), np.int64)
+        order[np.arange(len(flat_a)) + b_first[a_group]] = flat_a + sides.ids * mark_a
+        order[np.arange(len(flat_b)) + a_first[b_group + 1]] = flat_b + sides.ids * mark_b
+        data, offsets = arrays.text_bytes(sides.names.take(pa.array(order)))
+        upto = np.concatenate([[0], np.cumsum(self.n_a + self.n_b)])
+        self.text = pa.Array.from_buffers(
+            pa.large_binary(), count, [None, pa.py_buffer(np.ascontiguousarray(offsets[upto])), pa.py_buffer(np.ascontiguousarray(data))]
+        )
+
+    @classmethod
+    def _tokens(cls, sides: _Sides, units: pa.Array) -> tuple[np.ndarray, ...]:
+        """Which units both sides give back, their numbers of tokens, and the ids, of good units only."""
+        texts = units.cast(pa.large_string()).to_pylist()
+        a = [e.ids for e in sides.first.encode_batch_fast(texts, add_special_tokens=False)]
+        b = sides.second.encode([t[1:] for t in texts], num_threads=1) if texts else []
+        good, flat = np.ones(len(texts), bool), cls._flat(a, b)
+        if not cls._same(sides, units, *flat):
+            good = np.array([
+                b"".join(map(sides.a_bytes.__getitem__, x)) == u == b"".join(map(sides.b_bytes.__getitem__, y))
+                for u, x, y in zip(units.to_pylist(), a, b)
+            ], bool)
+            for at in np.flatnonzero(~good):
+                a[at], b[at] = [], []
+            flat = cls._flat(a, b)
+        return good, *flat
+
+    @staticmethod
+    def _flat(a: list[list[int]], b: list[list[int]]) -> tuple[np.ndarray, ...]:
+        sizes = (np.array([len(x) for x in side], np.int64) for side in (a, b))
+        return *sizes, *(np.fromiter(itertools.chain.from_iterable(side), np.int64) for side in (a, b))
+
+    @staticmethod
+    def _same(sides: _Sides, units: pa.Array, n_a: np.ndarray, n_b: np.ndarray, flat_a: np.ndarray, flat_b: np.ndarray) -> bool:
+        """Whether the tokens of both sides give back every unit."""
+        data, offsets = arrays.text_bytes(units)
+        for n, flat, table, sizes in ((n_a, flat_a, sides.a_table, sides.a_sizes), (n_b, flat_b, sides.b_table, sides.b_sizes)):
+            upto = np.concatenate([[0], np.cumsum(sizes[flat])])[np.concatenate([[0], np.cumsum(n)])]
+            if not np.array_equal(upto, offsets) or not np.array_equal(arrays.text_bytes(table.take(pa.array(flat)))[0], data):
+                return False
+        return True
 
 
 def _cut(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
@@ -144,12 +178,12 @@ def _cut(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     return np.flatnonzero(cut[:-1])
 
 
-def _distinct(data: np.ndarray, starts: np.ndarray) -> tuple[list[bytes], np.ndarray]:
+def _distinct(data: np.ndarray, starts: np.ndarray) -> tuple[pa.Array, np.ndarray]:
     bounds = np.concatenate([starts, [len(data)]]).astype(np.int64)
     units = pa.Array.from_buffers(
         pa.large_binary(), len(starts), [None, pa.py_buffer(bounds), pa.py_buffer(np.ascontiguousarray(data))]
     ).dictionary_encode()
-    return units.dictionary.to_pylist(), units.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+    return units.dictionary, units.indices.to_numpy(zero_copy_only=False).astype(np.int64)
 
 
 class Postings:
@@ -217,9 +251,15 @@ def chunks(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sides = _Sides.of(*shared.value)
-        for piece in arrays.slices(batches, "text", CHUNK_BYTES):
-            for first in range(0, len(piece), CHUNK_DOCS):
-                yield _chunk(sides, piece.slice(first, CHUNK_DOCS))
+        for piece in arrays.slices(batches, "text", SLICE_BYTES):
+            units, code, doc = _tokenised(sides, piece)
+            first = 0
+            for part in arrays.slices(iter([piece]), "text", CHUNK_BYTES):
+                for low in range(first, first + len(part), CHUNK_DOCS):
+                    own = piece.slice(low, min(CHUNK_DOCS, first + len(part) - low))
+                    held = slice(*np.searchsorted(doc, [low, low + len(own)]))
+                    yield _chunk(own.column("doc_id"), units, code[held], doc[held] - low)
+                first += len(part)
 
     schema = _CHUNK.format(rows.schema["doc_id"].dataType.simpleString())
     written = rows.mapInArrow(run, schema).withColumn("chunk", F.monotonically_increasing_id())
@@ -227,8 +267,8 @@ def chunks(
     return spark.read.parquet(folder)
 
 
-def _chunk(sides: _Sides, piece: pa.RecordBatch) -> pa.RecordBatch:
-    n_docs = len(piece)
+def _tokenised(sides: _Sides, piece: pa.RecordBatch) -> tuple[_Units, np.ndarray, np.ndarray]:
+    """The distinct units of some texts, and in order of texts which unit is where, and in which text."""
     texts = pc.fill_null(piece.column("text").cast(pa.large_binary()), b"")
     full = np.flatnonzero(pc.binary_length(texts).to_numpy(zero_copy_only=False))
     texts = pc.binary_join_element_wise(
@@ -242,14 +282,18 @@ def _chunk(sides: _Sides, piece: pa.RecordBatch) -> pa.RecordBatch:
     if not units.good.all():
         # a unit that one side does not give back: these texts are tokenised whole
         bad = np.unique(doc[~units.good[code]])
-        whole = [texts[int(i)].as_py() for i in np.searchsorted(full, bad)]
         keep = ~np.isin(doc, bad)
-        units = _Units(sides, distinct + whole)
+        units = _Units(sides, pa.concat_arrays([distinct, texts.take(pa.array(np.searchsorted(full, bad)))]))
         own = len(distinct) + np.arange(len(bad))
         fine = units.good[own]
         code, doc = np.concatenate([code[keep], own[fine]]), np.concatenate([doc[keep], bad[fine]])
         order = np.argsort(doc, kind="stable")
         code, doc = code[order], doc[order]
+    return units, code, doc
+
+
+def _chunk(doc_ids: pa.Array, units: _Units, code: np.ndarray, doc: np.ndarray) -> pa.RecordBatch:
+    n_docs = len(doc_ids)
     # how often each document holds each unit, then each pair
     both, times = np.unique(doc * max(1, len(units.n_a)) + code, return_counts=True)
     of_doc, of_unit = np.divmod(both, max(1, len(units.n_a)))
@@ -268,14 +312,13 @@ def _chunk(sides: _Sides, piece: pa.RecordBatch) -> pa.RecordBatch:
         np.bincount(doc, weights=values[code], minlength=n_docs).astype(np.int64)
         for values in (units.n_a, units.n_b, units.n_groups, units.n_links)
     ]
-    bounds = np.searchsorted(doc, np.arange(n_docs + 1)).tolist()
-    texts_of = units.text[code].tolist()
-    digests = [
-        hashlib.sha256(";".join(texts_of[x:y]).encode()).hexdigest() if y > x else "" for x, y in zip(bounds, bounds[1:])
-    ]
+    written, offsets = arrays.text_bytes(units.text.take(pa.array(code)))
+    bounds, written = offsets[np.searchsorted(doc, np.arange(n_docs + 1))].tolist(), memoryview(np.ascontiguousarray(written))
+    # without the mark behind the last group
+    digests = [hashlib.sha256(written[x: y - 1]).hexdigest() if y > x else "" for x, y in zip(bounds, bounds[1:])]
     pair_links = np.add.reduceat(links, at) if len(at) else links
     return pa.RecordBatch.from_arrays(
-        [pa.array([piece.column("doc_id")], pa.list_(piece.column("doc_id").type)),
+        [pa.array([doc_ids], pa.list_(doc_ids.type)),
          *(pa.array([v], pa.list_(pa.int64())) for v in per_doc), pa.array([digests], pa.list_(pa.string())),
          pa.array([units.pairs[held].astype("<i8").tobytes()], pa.binary()),
          pa.array([pair_links.astype("<i8").tobytes()], pa.binary()),

@@ -98,6 +98,8 @@ LETTERS = [
 
 def test_random_texts_against_brute_force(documents, folder, monkeypatch):
     monkeypatch.setattr(alignment, "CHUNK_BYTES", 2000)
+    monkeypatch.setattr(alignment, "SLICE_BYTES", 7000)
+    monkeypatch.setattr(alignment, "CALL_UNITS", 50)
     rng = random.Random(5)
     rows = [(i, "".join(rng.choice(LETTERS) for _ in range(rng.choice([1, 2, 5, 12, 40])))) for i in range(1500)]
     expected = check(documents, rows, folder + "/t")
