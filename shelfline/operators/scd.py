@@ -7,7 +7,7 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from shelfline.schemas import EXEC_DATE
-from shelfline.sources.versions import VersionedTable
+from shelfline.sources.versions import Snapshot, VersionedTable
 
 VALID_FROM, VALID_TO = "dbt_valid_from", "dbt_valid_to"
 ATTRIBUTES = (
@@ -150,15 +150,18 @@ class HistoryTable:
 
     def apply(self, batch: DataFrame, day: dt.date) -> None:
         """Bring the history to ``day``, the newest or the last applied one."""
+        self.table.change(lambda now: self._apply(now, batch, day))
+
+    def _apply(self, now: Snapshot, batch: DataFrame, day: dt.date) -> None:
         today = f"{day:%Y-%m-%d}"
-        if any(d > today for d in set(self.table.partitions()) - {self.OPEN}):
+        if any(d > today for d in set(now.held) - {self.OPEN}):
             raise ValueError(f"history is already past {day}")
         # Versions closed today are open again before today's batch is applied.
         changing = (self.OPEN, today)
-        current = self.table.read(HISTORY_ROWS, changing).drop(self.PART)
+        current = now.read(HISTORY_ROWS, changing).drop(self.PART)
         part = F.coalesce(F.col(VALID_TO).cast("string"), F.lit(self.OPEN))
         # A repeated run may close nothing, an empty batch leaves nothing open.
-        self.table.replace(self.step(current, batch, day).withColumn(self.PART, part), changing)
+        now.replace(self.step(current, batch, day).withColumn(self.PART, part), changing)
 
 
 def as_of(facts: DataFrame, history: DataFrame, key: str, day: str, calendar: DataFrame) -> DataFrame:

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 
 from shelfline.operators.rows import first_per_key
 from shelfline.schemas import FACT, ODS
-from shelfline.sources.versions import VersionedTable
+from shelfline.sources.versions import Snapshot, VersionedTable
 
 MONTH = "order_month"
 BUCKET = "bucket"
@@ -84,13 +84,13 @@ class MonthlyFact:
         # The increment is used for the keys, the months and the write.
         fresh = new_rows(source, bound).persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            self._merge(fresh)
+            self.table.change(lambda now: self._merge(now, fresh))
         finally:
             fresh.unpersist()
         return bound
 
-    def _merge(self, fresh: DataFrame) -> None:
-        stored = self.table.read(self.schema)
+    def _merge(self, now: Snapshot, fresh: DataFrame) -> None:
+        stored = now.read(self.schema)
         touched = (
             stored.select("order_id", MONTH).join(fresh.select("order_id"), "order_id", "left_semi")
             .select(MONTH).union(fresh.select(_month().alias(MONTH))).distinct()
@@ -99,9 +99,11 @@ class MonthlyFact:
         months = {r[0] for r in touched.collect()}
         if not months:
             return
-        target = self.table.read(self.schema, months).drop(MONTH)
-        # A month whose last order moved elsewhere is not filled again.
-        self.table.replace(merged(target, fresh, ["order_id"]).withColumn(MONTH, _month()), months)
+        target = now.read(self.schema, months).drop(MONTH)
+        # A month whose last order moved elsewhere is not filled again. All months were looked at for the keys, and another
+        # writer may have put one of them into a new one.
+        rows = merged(target, fresh, ["order_id"]).withColumn(MONTH, _month())
+        now.replace(rows, months, at_all=True)
 
 
 def latest_changes(changes: DataFrame, order: Sequence[Column]) -> DataFrame:
@@ -135,11 +137,11 @@ class RecordStore:
         spread = spread.persist(StorageLevel.MEMORY_AND_DISK)
         try:
             buckets = {r[0] for r in spread.select(BUCKET).distinct().collect()}
-            late = F.lit(1)
-            both = self.table.read(self.schema, buckets).withColumn("_new", F.lit(0)).unionByName(
-                spread.withColumn("_new", late)
-            )
-            newest = first_per_key(both, ["record_id", BUCKET], [F.desc("upsert_at"), F.desc("_new")])
-            self.table.replace(newest.drop("_new"), buckets)
+            self.table.change(lambda now: self._merge(now, spread, buckets))
         finally:
             spread.unpersist()
+
+    def _merge(self, now: Snapshot, spread: DataFrame, buckets: set[str]) -> None:
+        both = now.read(self.schema, buckets).withColumn("_new", F.lit(0)).unionByName(spread.withColumn("_new", F.lit(1)))
+        newest = first_per_key(both, ["record_id", BUCKET], [F.desc("upsert_at"), F.desc("_new")])
+        now.replace(newest.drop("_new"), buckets)

@@ -36,6 +36,49 @@ def move(spark: SparkSession, source: str, target: str) -> str:
     return target
 
 
+def move_new(spark: SparkSession, source: str, target: str) -> bool:
+    """Rename a file to a name that must not exist. If it does: False, and the source is gone.
+
+    One of several writers of a name succeeds: a file system like HDFS renames only to a free name when asked to, a local one links
+    only to a free name. On a store without such a step only one writer may be at work.
+    """
+    fs, src = _resolve(spark, source)
+    dest = spark._jvm.org.apache.hadoop.fs.Path(target)
+    fs.mkdirs(dest.getParent())
+    try:
+        put = _linked if fs.getScheme() == "file" else _renamed
+        return put(spark, src, dest)
+    finally:
+        fs.delete(src, False)
+
+
+def _linked(spark: SparkSession, src, dest) -> bool:
+    files, file = spark._jvm.java.nio.file.Files, spark._jvm.java.io.File
+    try:
+        files.createLink(file(dest.toUri().getPath()).toPath(), file(src.toUri().getPath()).toPath())
+        return True
+    except Exception as error:
+        return _taken(spark, dest, error)
+
+
+def _renamed(spark: SparkSession, src, dest) -> bool:
+    jvm = spark._jvm
+    kind = getattr(jvm.org.apache.hadoop.fs, "Options$Rename")
+    options = spark.sparkContext._gateway.new_array(kind, 1)
+    options[0] = kind.NONE
+    try:
+        jvm.org.apache.hadoop.fs.FileContext.getFileContext(dest.toUri(), spark._jsc.hadoopConfiguration()).rename(src, dest, options)
+        return True
+    except Exception as error:
+        return _taken(spark, dest, error)
+
+
+def _taken(spark: SparkSession, dest, error: Exception) -> bool:
+    if exists(spark, dest.toString()):
+        return False
+    raise error
+
+
 def read_text(spark: SparkSession, path: str) -> str:
     """A small file as text."""
     fs, target = _resolve(spark, path)
@@ -63,24 +106,10 @@ def glob(spark: SparkSession, pattern: str) -> list[str]:
     return sorted(status.getPath().toString() for status in found)
 
 
-def first_lines(spark: SparkSession, path: str) -> list[tuple[str, str]]:
-    """The first line of every file at a path or below it; files without one are left out."""
-    fs, target = _resolve(spark, path)
-    io, found = spark._jvm.java.io, []
-    for status in fs.globStatus(target) or []:
-        files = fs.listFiles(status.getPath(), True)
-        while files.hasNext():
-            file = files.next().getPath()
-            if file.getName().startswith(("_", ".")):
-                continue
-            reader = io.BufferedReader(io.InputStreamReader(fs.open(file), "UTF-8"))
-            try:
-                line = reader.readLine()
-            finally:
-                reader.close()
-            if line:
-                found.append((file.toString(), line))
-    return sorted(found)
+def glob_times(spark: SparkSession, pattern: str) -> list[tuple[str, int]]:
+    """Paths with their modification times in milliseconds."""
+    fs, target = _resolve(spark, pattern)
+    return sorted((s.getPath().toString(), s.getModificationTime()) for s in fs.globStatus(target) or [])
 
 
 def partition_values(spark: SparkSession, root: str, *columns: str) -> list[dict[str, str]]:

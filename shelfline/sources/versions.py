@@ -1,65 +1,161 @@
 """A Parquet table by one partition column, whose partitions are replaced all at once.
 
 New partitions go to a folder of their own, then a list of which folder holds which partition is put in
-place under the next number. Until then readers and repeated runs see the old table, whole; the rename
-of the list is the only step that changes what they see.
+place under the next number. Until then readers and repeated runs see the old table, whole.
+
+A writer works on a snapshot and claims the number after it. The claim fails if the number is taken, also where a rename would
+put a file in another's place, so two writers never lose each other's change: the later one moves to the next number
+if the other replaced partitions it did not look at, and otherwise starts over from what is there now. Lists
+and partitions that the last ``keep`` lists do not need are dropped with every change; what a reader of one of these
+lists sees stays. A run that broke off leaves a folder that no list names; it goes once it is older than ``ORPHAN_HOURS``.
 """
 
 from __future__ import annotations
 
 import json
+import time
 import uuid
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
+from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, SparkSession, types as T
 
 from shelfline.sources import paths
 
+#: Folders that no list names are left alone for so long, as their writer may still be at work.
+ORPHAN_HOURS = 24 * 7
+
+
+class ConcurrentChange(RuntimeError):
+    """Another writer replaced partitions that this one has worked on."""
+
+
+@dataclass(frozen=True)
+class Snapshot:
+    """The table under one list: its number (-1 before the first) and the folder of each partition."""
+
+    table: VersionedTable
+    number: int
+    held: dict[str, str]
+
+    def read(self, schema: T.StructType | str, values: Iterable[str] | None = None) -> DataFrame:
+        """All partitions, or those named. ``schema`` holds the partition column, too."""
+        schema = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
+        root, column, spark = self.table.root, self.table.column, self.table.spark
+        wanted = sorted(self.held if values is None else set(values) & set(self.held))
+        if not wanted:
+            return spark.createDataFrame([], schema)
+        folders = [f"{root}/data/run={self.held[v]}/{column}={v}" for v in wanted]
+        full = T.StructType([*schema.fields, T.StructField("run", T.StringType())])
+        rows = spark.read.schema(full).option("basePath", f"{root}/data").parquet(*folders)
+        return rows.select(*schema.names)
+
+    def replace(
+        self, rows: DataFrame, values: Iterable[str] | None = None, looked_at: Iterable[str] = (), at_all: bool = False
+    ) -> None:
+        """Put ``rows`` in the place of the partitions named (None: of all); partitions they do not fill are gone.
+
+        ``looked_at`` names further partitions that the rows were made from, ``at_all`` says that they depend on all there are. If one
+        of these, of the ones named, or of the ones filled was changed since the snapshot, the table stays as it is and
+        ``ConcurrentChange`` is raised.
+        """
+        table, run = self.table, uuid.uuid4().hex
+        folder = f"{table.root}/data/run={run}"
+        paths.overwrite_partitions(rows, folder, table.column)
+        filled = {p[table.column] for p in paths.partition_values(table.spark, folder, table.column)}
+        named = None if values is None else set(values)
+        watched = None if named is None or at_all else named | filled | set(looked_at)
+        now = self
+        while True:
+            changed = {v for v in self.held.keys() | now.held.keys() if self.held.get(v) != now.held.get(v)}
+            if changed and (watched is None or changed & watched):
+                paths.delete(table.spark, folder)
+                raise ConcurrentChange(f"partitions {sorted(changed)[:5]} of {table.root} were replaced meanwhile")
+            kept = {} if named is None else {v: r for v, r in now.held.items() if v not in named}
+            if table.claim(now.number + 1, kept | dict.fromkeys(filled, run)):
+                break
+            now = table.snapshot()
+        table.clean()
+
 
 class VersionedTable:
-    def __init__(self, spark: SparkSession, root: str, column: str):
+    def __init__(self, spark: SparkSession, root: str, column: str, keep: int = 3):
         self.spark = spark
         self.root = root.rstrip("/")
         self.column = column
+        self.keep = keep
 
     def _lists(self) -> list[str]:
         return paths.glob(self.spark, f"{self.root}/list/*.json")
 
+    def snapshot(self) -> Snapshot:
+        """The table as it is now."""
+        while True:
+            lists = self._lists()
+            if not lists:
+                return Snapshot(self, -1, {})
+            try:
+                return Snapshot(self, _number(lists[-1]), json.loads(paths.read_text(self.spark, lists[-1])))
+            except Exception:
+                if lists[-1] in self._lists():  # not one that newer lists have made superfluous meanwhile
+                    raise
+
+    def claim(self, number: int, held: dict[str, str]) -> bool:
+        """Put a list in place under a number; False if there is one."""
+        draft = paths.write_text(self.spark, f"{self.root}/draft/{uuid.uuid4().hex}.json", json.dumps(held, sort_keys=True))
+        return paths.move_new(self.spark, draft, f"{self.root}/list/{number:012d}.json")
+
     def partitions(self) -> dict[str, str]:
         """The folder that holds each partition now."""
-        lists = self._lists()
-        return json.loads(paths.read_text(self.spark, lists[-1])) if lists else {}
+        return self.snapshot().held
 
     def read(self, schema: T.StructType | str, values: Iterable[str] | None = None) -> DataFrame:
-        """All partitions, or those named. ``schema`` holds the partition column, too."""
-        schema = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
-        held = self.partitions()
-        wanted = sorted(held if values is None else set(values) & set(held))
-        if not wanted:
-            return self.spark.createDataFrame([], schema)
-        folders = [f"{self.root}/data/run={held[v]}/{self.column}={v}" for v in wanted]
-        full = T.StructType([*schema.fields, T.StructField("run", T.StringType())])
-        rows = self.spark.read.schema(full).option("basePath", f"{self.root}/data").parquet(*folders)
-        return rows.select(*schema.names)
+        return self.snapshot().read(schema, values)
 
     def replace(self, rows: DataFrame, values: Iterable[str] | None = None) -> None:
-        """Put ``rows`` in the place of the partitions named (None: of all); partitions they do not fill are gone."""
-        run = uuid.uuid4().hex
-        folder = f"{self.root}/data/run={run}"
-        paths.overwrite_partitions(rows, folder, self.column)
-        filled = {p[self.column] for p in paths.partition_values(self.spark, folder, self.column)}
+        """As in ``Snapshot``, for rows that were not made from the table."""
+        self.change(lambda now: now.replace(rows, values))
+
+    def change(self, work: Callable[[Snapshot], object], attempts: int = 10):
+        """Run ``work`` on a snapshot, and again on a new one each time another writer was faster."""
+        for left in reversed(range(attempts)):
+            try:
+                return work(self.snapshot())
+            except ConcurrentChange:
+                if not left:
+                    raise
+
+    def clean(self, keep: int | None = None) -> None:
+        """Drop lists but for the last ``keep``, the partitions that none of these names, and old folders without a list."""
+        keep = max(1, self.keep if keep is None else keep)
         lists = self._lists()
-        gone = set(self.partitions()) if values is None else set(values)
-        held = {v: r for v, r in self.partitions().items() if v not in gone} | dict.fromkeys(filled, run)
-        number = int(lists[-1].rsplit("/", 1)[-1].removesuffix(".json")) + 1 if lists else 0
-        draft = paths.write_text(self.spark, f"{self.root}/draft/{run}.json", json.dumps(held, sort_keys=True))
-        paths.move(self.spark, draft, f"{self.root}/list/{number:012d}.json")
-
-    def clean(self) -> None:
-        """Drop folders and lists that the newest list does not need, when nobody reads them any more."""
-        used = set(self.partitions().values())
-        for path in paths.glob(self.spark, f"{self.root}/data/run=*"):
-            if path.rsplit("=", 1)[-1] not in used:
-                paths.delete(self.spark, path)
-        for path in self._lists()[:-1]:
+        kept, past = lists[-keep:], lists[:-keep]
+        used, gone = self._named(kept), self._named(past)
+        for value, run in sorted(gone - used):
+            paths.delete(self.spark, f"{self.root}/data/run={run}/{self.column}={value}")
+        runs = {run for _, run in used}
+        for run in sorted({run for _, run in gone} - runs):
+            paths.delete(self.spark, f"{self.root}/data/run={run}")
+        # lists last: a run that breaks off here finds the same partitions again
+        for path in past:
             paths.delete(self.spark, path)
+        oldest = (time.time() - ORPHAN_HOURS * 3600) * 1000
+        for kind in ("data/run=*", "draft/*.json"):
+            for path, modified in paths.glob_times(self.spark, f"{self.root}/{kind}"):
+                if modified < oldest and path.rsplit("=", 1)[-1] not in runs:
+                    paths.delete(self.spark, path)
+
+    def _named(self, lists: list[str]) -> set[tuple[str, str]]:
+        """(partition, run) pairs of some lists; a list that another writer has just dropped names none."""
+        found: set[tuple[str, str]] = set()
+        for path in lists:
+            try:
+                found |= set(json.loads(paths.read_text(self.spark, path)).items())
+            except Exception:
+                if paths.exists(self.spark, path):
+                    raise
+        return found
+
+
+def _number(path: str) -> int:
+    return int(path.rsplit("/", 1)[-1].removesuffix(".json"))

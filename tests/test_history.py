@@ -1,4 +1,5 @@
 import datetime as dt
+from concurrent.futures import ThreadPoolExecutor
 import itertools
 
 import pytest
@@ -193,7 +194,7 @@ def test_record_store_repeats_safely_and_the_newest_wins(spark, folder):
     assert got == [("aa1", "new"), ("bb1", "late"), ("cc1", "new")]
 
 
-@pytest.mark.parametrize("step", ["overwrite_partitions", "write_text", "move"])
+@pytest.mark.parametrize("step", ["overwrite_partitions", "write_text", "move_new"])
 def test_a_run_that_breaks_off_leaves_the_table_whole(spark, folder, monkeypatch, step):
     table = versions.VersionedTable(spark, f"{folder}/t", "p")
     schema = "k string, p string"
@@ -208,9 +209,90 @@ def test_a_run_that_breaks_off_leaves_the_table_whole(spark, folder, monkeypatch
             table.replace(spark.createDataFrame([("c", "1")], schema), ["1"])
     assert sorted(map(tuple, table.read(schema).collect())) == [("a", "1"), ("b", "2")]
     table.replace(spark.createDataFrame([("c", "1")], schema), ["1", "2"])
-    table.clean()
+    table.clean(keep=1)
     assert sorted(map(tuple, table.read(schema).collect())) == [("c", "1")]
-    assert len(paths.glob(spark, f"{folder}/t/data/run=*")) == 1
+    # the run that broke off may have left a folder, which goes once it is old
+    monkeypatch.setattr(versions, "ORPHAN_HOURS", -1)
+    table.clean(keep=1)
+    assert len(paths.glob(spark, f"{folder}/t/data/run=*")) == 1 and not paths.glob(spark, f"{folder}/t/draft/*.json")
+
+
+def test_two_writers_lose_nothing(spark, folder):
+    table = versions.VersionedTable(spark, f"{folder}/t", "p")
+    schema = "k string, p string"
+
+    def rows(*pairs):
+        return spark.createDataFrame(list(pairs), schema)
+
+    def now():
+        return sorted(map(tuple, table.read(schema).collect()))
+
+    table.replace(rows(("a", "1"), ("b", "2")))
+    first, second, third = table.snapshot(), table.snapshot(), table.snapshot()
+    first.replace(rows(("a2", "1")), ["1"])
+    # another partition: both changes hold
+    second.replace(rows(("b2", "2")), ["2"])
+    assert now() == [("a2", "1"), ("b2", "2")]
+    # the same one, one that was looked at, one that is filled, or all of them: the later writer is told
+    for values, looked_at, made in (
+        (["1"], (), ("x", "1")), (["3"], ["2"], ("x", "3")), (["3"], (), ("x", "2")), (None, (), ("x", "9")),
+    ):
+        with pytest.raises(versions.ConcurrentChange):
+            third.replace(rows(made), values, looked_at)
+    with pytest.raises(versions.ConcurrentChange):
+        third.replace(rows(("x", "3")), ["3"], at_all=True)
+    assert now() == [("a2", "1"), ("b2", "2")]
+    # work that is overtaken starts over from what is there
+    seen = []
+
+    def work(snapshot):
+        held = snapshot.read(schema, ["1"])
+        seen.append(snapshot.number)
+        if len(seen) < 3:
+            table.replace(rows((f"other{len(seen)}", "1")), ["1"])
+        snapshot.replace(held.selectExpr("concat(k, '+') AS k", "p"), ["1"])
+
+    table.change(work)
+    assert len(seen) == 3 and now() == [("b2", "2"), ("other2+", "1")]
+    with pytest.raises(versions.ConcurrentChange):
+        table.change(lambda s: (table.replace(rows(("y", "1")), ["1"]), s.replace(rows(("z", "1")), ["1"])), attempts=2)
+
+
+def test_writers_at_the_same_time(spark, folder):
+    store = upsert.RecordStore(spark, f"{folder}/ods", digits=1)
+
+    def merge(n):
+        at = dt.datetime(2024, 1, 1, n)
+        own = [(f"{i}{n}", "s", f"{i}{n}", "x", at, f"b{n}") for i in range(3)] + [("ff", "s", "ff", f"by{n}", at, f"b{n}")]
+        store.merge(spark.createDataFrame(own, ODS))
+
+    with ThreadPoolExecutor(3) as pool:
+        list(pool.map(merge, range(3)))
+    got = {r.record_id: r.payload for r in store.read().collect()}
+    assert len(got) == 10 and got["ff"] == "by2"
+
+
+@pytest.mark.parametrize("put", [None, "_linked", "_renamed"])
+def test_a_name_is_given_once(spark, folder, monkeypatch, put):
+    if put:
+        monkeypatch.setattr(paths, "_linked", getattr(paths, put))
+    drafts = [paths.write_text(spark, f"{folder}/draft/{i}", str(i)) for i in range(3)]
+    assert [paths.move_new(spark, d, f"{folder}/list/1") for d in drafts] == [True, False, False]
+    assert paths.read_text(spark, f"{folder}/list/1") == "0" and paths.glob(spark, f"{folder}/draft/*") == []
+
+
+def test_old_lists_and_folders_go(spark, folder):
+    table = versions.VersionedTable(spark, f"{folder}/t", "p", keep=2)
+    schema = "k string, p string"
+    table.replace(spark.createDataFrame([("a", "1"), ("b", "2")], schema))
+    for i in range(5):
+        before = table.snapshot()
+        table.replace(spark.createDataFrame([(f"a{i}", "1")], schema), ["1"])
+        assert len(paths.glob(spark, f"{folder}/t/list/*")) <= 2
+        assert len(paths.glob(spark, f"{folder}/t/data/run=*/p=*")) <= 3  # partition 2, and two states of 1
+        # a reader of the list before still finds its files
+        assert before.read(schema).count() == 2
+    assert sorted(map(tuple, table.read(schema).collect())) == [("a4", "1"), ("b", "2")]
 
 
 def test_as_of_in_a_history_of_changes(spark, batches):
