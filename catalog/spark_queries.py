@@ -632,6 +632,17 @@ def forecast_ma(spark, folder):
     return forecast.moving_average(forecast.densify(_daily(spark, folder)))
 
 
+@query
+def forecast_table(spark, folder):
+    """The stored forecast after a second run; the first one had a category that is gone."""
+    table = forecast.ForecastTable(spark, scratch_path(spark, "forecast"))
+    made = forecast.moving_average(forecast.densify(_daily(spark, folder)))
+    earlier = made.withColumn("product_category", F.lit("gone")).unionByName(made).withColumn("forecasted_net_revenue", F.lit(0.0))
+    for hour, rows in ((5, earlier), (6, made), (7, made.limit(0))):
+        table.write(rows, dt.datetime(2024, 1, 31, hour, tzinfo=dt.timezone.utc))
+    return table.read().withColumn("model_generated_at", F.col("model_generated_at").cast("timestamp_ntz"))
+
+
 @query
 def forecast_arima(spark, folder):
     return forecast.arima(forecast.densify(_daily(spark, folder)))
@@ -789,7 +800,10 @@ def orders_point_in_time_changed(spark, folder):
 @query
 def unified_transactions(spark, folder):
     star = Star(spark, folder)
-    return unify.unified_transactions(staging.guarded(star.raw()).orders.latest(), star.pos_sales())
+    both = unify.unified_transactions(
+        staging.guarded(star.raw()).orders.latest(), star.pos_sales(), dt.datetime(2024, 1, 3, 6, tzinfo=dt.timezone.utc)
+    )
+    return both.withColumn("ingested_at", F.col("ingested_at").cast("timestamp_ntz"))
 
 
 # --- runs -------------------------------------------------------------------
@@ -824,6 +838,7 @@ def audit_runs(spark, folder):
     return spark.read.parquet(f"{root}/audit").select(
         "status", "records_ingested", "records_rejected", "sla_breached", "error_message",
         F.col("parquet_file_path").isNotNull().alias("has_files"),
+        (F.col("created_at") >= F.col("end_time")).alias("created_after_end"),
     )
 
 

@@ -12,7 +12,9 @@ import sys
 import numpy as np
 import pandas as pd
 from pyspark import cloudpickle
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
+
+from shelfline.sources.versions import VersionedTable
 
 # The model functions below travel with the job, so executors need no copy of the package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -158,13 +160,29 @@ def arima(dense: DataFrame, days: int = HORIZON) -> DataFrame:
     return numbers.groupBy("product_category").applyInPandas(one_category, FORECAST_SCHEMA)
 
 
-def stamped(forecast: DataFrame, generated_at: dt.datetime) -> DataFrame:
-    return forecast.withColumn("model_generated_at", F.lit(generated_at))
+class ForecastTable:
+    """The stored forecast, stamped with the moment it was made. A new one takes the place of all rows in one step."""
+
+    CATEGORY = "product_category"
+
+    def __init__(self, spark: SparkSession, path: str):
+        self.table = VersionedTable(spark, path, self.CATEGORY)
 
+    def read(self) -> DataFrame:
+        return self.table.read(
+            "forecast_date date, product_category string, forecasted_net_revenue double, model_generated_at timestamp"
+        )
 
-def write_forecast(forecast: DataFrame, path: str) -> None:
-    """Replace the stored forecast."""
-    forecast.write.mode("overwrite").parquet(path)
+    def write(self, forecast: DataFrame, generated_at: dt.datetime) -> int:
+        """Replace the stored rows and return their number. An empty forecast leaves the table as it is."""
+        rows = forecast.select(
+            "forecast_date", self.CATEGORY, F.col("forecasted_net_revenue").cast("double").alias("forecasted_net_revenue"),
+            F.lit(generated_at).cast("timestamp").alias("model_generated_at"),
+        )
+        if rows.isEmpty():
+            return 0
+        self.table.replace(rows)
+        return self.read().count()
 
 
 def with_history(daily: DataFrame, forecast: DataFrame) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from functools import reduce
 
 from pyspark.sql import DataFrame, functions as F
@@ -9,6 +10,7 @@ from pyspark.sql import DataFrame, functions as F
 COLUMNS = (
     "transaction_id", "source_system", "product_id", "quantity", "transaction_date", "total_amount",
     "store_id", "customer_id", "status", "payment_method", "discount_pct", "shipping_days",
+    "ingested_at",
 )
 
 
@@ -48,9 +50,14 @@ def store_sales(pos: DataFrame) -> DataFrame:
     )
 
 
-def unified_transactions(orders: DataFrame | None, pos: DataFrame | None) -> DataFrame | None:
-    """Both sources, either of which may be missing; None when both are."""
+def unified_transactions(
+    orders: DataFrame | None, pos: DataFrame | None, ingested_at: dt.datetime | None = None
+) -> DataFrame | None:
+    """Both sources, either of which may be missing; None when both are. Rows carry the moment they were taken in, by default now."""
     parts = [online_sales(orders)] if orders is not None else []
     if pos is not None:
         parts.append(store_sales(pos))
-    return reduce(DataFrame.unionByName, parts) if parts else None
+    if not parts:
+        return None
+    moment = F.current_timestamp() if ingested_at is None else F.lit(ingested_at).cast("timestamp")
+    return reduce(DataFrame.unionByName, parts).withColumn("ingested_at", moment)

@@ -75,5 +75,5 @@ ODS = _struct(
 AUDIT_RUNS = _struct(
     run_id=_S, start_time=T.TimestampType(), end_time=T.TimestampType(), status=_S,
     records_ingested=_L, records_rejected=_L, parquet_file_path=_S,
-    duration_seconds=T.DoubleType(), sla_breached=T.BooleanType(), error_message=_S,
+    duration_seconds=T.DoubleType(), sla_breached=T.BooleanType(), error_message=_S, created_at=T.TimestampType(),
 )

@@ -22,6 +22,7 @@ def test_audit_on_success_and_failure(spark, folder):
     assert set(rows) == {"SUCCESS", "FAILED", "SCHEMA_DRIFT"}
     assert rows["SUCCESS"].records_ingested == 9 and rows["SUCCESS"].records_rejected == 2
     assert rows["SUCCESS"].sla_breached is False and rows["SUCCESS"].error_message is None
+    assert all(r.created_at >= r.end_time for r in rows.values())
     assert rows["FAILED"].error_message == "broken" and rows["FAILED"].sla_breached is True
 
 

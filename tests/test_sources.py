@@ -171,6 +171,9 @@ def test_unified_transactions(spark):
     pos = spark.createDataFrame([("s1", "st", "p1", 2, 100, 200, "2024-01-03T10:11:12", "cash")], S.POS_SALES)
     both = unify.unified_transactions(orders, pos)
     assert both.columns == list(unify.COLUMNS) and both.count() == 3
+    moment = dt.datetime(2024, 1, 4, 5, tzinfo=dt.timezone.utc)
+    stamped = unify.unified_transactions(orders, pos, moment).select(F.unix_seconds("ingested_at").alias("t")).distinct().collect()
+    assert [r.t for r in stamped] == [moment.timestamp()] and both.where("ingested_at IS NULL").isEmpty()
     store = both.where("source_system = 'pos'").first()
     assert (store.transaction_date, store.status, store.customer_id) == (dt.date(2024, 1, 3), "completed", None)
     assert unify.unified_transactions(orders, None).count() == 2

@@ -4,6 +4,7 @@ import random
 import numpy as np
 import pandas as pd
 import pytest
+from pyspark.sql import functions as F
 
 from shelfline.operators import forecast, profile
 from shelfline.operators.ranks import dense_position, exact_quantiles
@@ -165,3 +166,19 @@ def test_innovations_match_the_full_covariance():
 
 def test_constant_series_stays_constant():
     assert list(forecast.arima_111(np.full(20, 4.0), 3)) == [4.0, 4.0, 4.0]
+
+
+def test_forecast_table_is_replaced_whole(spark, folder):
+    table = forecast.ForecastTable(spark, f"{folder}/forecast")
+    day = dt.date(2024, 1, 1)
+
+    def made(*rows):
+        return spark.createDataFrame([(c, day, v, "m") for c, v in rows], forecast.FORECAST_SCHEMA)
+
+    at = [dt.datetime(2024, 1, 2, h, tzinfo=dt.timezone.utc) for h in range(3)]
+    assert table.read().count() == 0
+    assert table.write(made(("a/b", 1.0), ("c", 2.0)), at[0]) == 2
+    assert table.write(made(("a/b", 3.0)), at[1]) == 1
+    assert table.write(made(), at[2]) == 0
+    got = table.read().select("*", F.unix_seconds("model_generated_at").alias("t")).collect()
+    assert [(r.product_category, r.forecasted_net_revenue, r.t) for r in got] == [("a/b", 3.0, at[1].timestamp())]
