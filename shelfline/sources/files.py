@@ -25,8 +25,10 @@ def read_text_csv(spark: SparkSession, path: str, multi_line: bool = False) -> D
     whole = multi_line and not records.in_one_split(spark, path)
     rows = records.csv_records(spark, path) if whole else None
     heads = rows.where("first").select("file", "record") if whole else records.csv_headers(spark, path)
-    ensure_checkpoint_dir(spark)
-    heads = heads.select("file", F.ltrim(F.col("record"), F.lit("\ufeff")).alias("header")).checkpoint()
+    heads = heads.select("file", F.ltrim(F.col("record"), F.lit("\ufeff")).alias("header"))
+    if whole:  # several passes went into them
+        ensure_checkpoint_dir(spark)
+        heads = heads.checkpoint()
     names = {r.header: [n.strip() for n in next(csv.reader([r.header]), [])] for r in heads.select("header").distinct().collect()}
     if not names:
         raise FileNotFoundError(f"no CSV file with a header at {path}")
