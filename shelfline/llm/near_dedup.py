@@ -10,11 +10,12 @@ time and only until every component has one, so frequent shingles and long texts
 
 *Candidates.* Equal texts are one node. Nodes with an equal band share a bucket. Each bucket's nodes are
 compared with its least node first. What then lies in one component needs no further comparison. In the
-buckets that hold several components, the others are compared with nodes of the largest one, as long as
-that joins many; then all pairs across components are. Before, pairs go that cannot be similar: the
-shingles of a node that no other node in question has are in no overlap. So no link that shares a bucket
-is lost, and a bucket of copies costs its size, not its square. At a similarity of 0.8, a pair shares
-no bucket once in 20,000 pairs.
+buckets that hold several components, the others are compared with nodes of the largest one, in a few rounds,
+as long as that joins many. New links only join components that earlier ones have made. What is left is paired
+across components where two nodes share a bucket and one of their rarest shingles, which similar nodes always
+do. Before, nodes and pairs go that cannot be similar: the shingles of a node that no other node in question
+has are in no overlap. So no link that shares a bucket is lost, and a bucket of copies costs its size, not its
+square. At a similarity of 0.8, a pair shares no bucket once in 20,000 pairs.
 
 *Verification.* Candidates are compared exactly: the sum of the least weights over the sum of the greatest.
 
@@ -29,16 +30,18 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfline.llm import arrays
 from shelfline.llm.graph import components
-from shelfline.llm.native import staged
+from shelfline.llm.native import Tables
 
 SHINGLE = 5
 BANDS, ROWS = 25, 5
 SIMILAR = (4, 5)
+#: Rounds in which buckets are compared with one node of their largest component; what they leave is settled exactly.
+ROUNDS = 3
 
 _GOLDEN = 0x9E3779B97F4A7C15
 
@@ -190,19 +193,36 @@ def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return left.join(other, "b").select("a", "b", "text", "other").mapInArrow(run, "a long, b long")
 
 
-def _shared(texts: DataFrame) -> DataFrame:
-    """node, shared: how many of its shingles some other node of ``texts`` has, too."""
+def _tokens(texts: DataFrame) -> DataFrame:
+    """node, token, n_nodes: shingles, counted copies apart, that several nodes of ``texts`` have.
+
+    The overlap of two nodes is the number of tokens that both have.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in arrays.slices(batches, "text"):
             text, shingle, weight = weighted(*shingles(*arrays.text_bytes(part.column("text"))))
+            copy = np.arange(weight.sum()) - np.repeat(np.cumsum(weight) - weight, weight)
+            token = arrays.mix(np.repeat(shingle, weight) + arrays.mix(copy.astype(np.uint64)))
             yield pa.RecordBatch.from_arrays(
-                [part.column("node").take(pa.array(text)), pa.array(shingle.view(np.int64)), pa.array(weight)], ["node", "shingle", "w"]
+                [part.column("node").take(pa.array(np.repeat(text, weight))), pa.array(token.view(np.int64))], ["node", "token"]
             )
 
-    each = texts.select("node", "text").mapInArrow(run, "node long, shingle long, w long")
-    several = each.groupBy("shingle").agg(F.min("node").alias("a"), F.max("node").alias("b")).where("a <> b").select("shingle")
-    return each.join(several, "shingle", "left_semi").groupBy("node").agg(F.sum("w").alias("shared"))
+    each = texts.select("node", "text").mapInArrow(run, "node long, token long")
+    several = each.groupBy("token").agg(F.count("*").alias("n_nodes")).where("n_nodes > 1")
+    return each.join(several, "token")
+
+
+def _prefixes(tokens: DataFrame, sizes: DataFrame) -> DataFrame:
+    """node, token: the rarest tokens of each node, so many that two similar nodes have one in common.
+
+    Of n tokens, similar nodes share four fifths at least; without any of the n // 5 + 1 that come first in one
+    order of all tokens, too few are left. Tokens that no other node has come first and are of no use.
+    ``sizes``: node, n, shared.
+    """
+    order = Window.partitionBy("node").orderBy("n_nodes", "token")
+    ranked = tokens.withColumn("rank", F.row_number().over(order)).join(sizes, "node")
+    return ranked.where(F.col("rank") + F.col("n") - F.col("shared") <= F.floor(F.col("n") / SIMILAR[1]) + 1).select("node", "token")
 
 
 def _possible(a: str = "", b: str = "_2") -> Column:
@@ -215,70 +235,105 @@ def _ordered(a: Column, b: Column) -> list[Column]:
     return [F.least(a, b).alias("a"), F.greatest(a, b).alias("b")]
 
 
-def links(nodes: DataFrame, rows: DataFrame) -> DataFrame:
-    """Pairs (a, b) of similar nodes that together connect every class. ``nodes``: node, doc_id, key, n, bands."""
+def _similar_size() -> Column:
+    return SIMILAR[1] * F.least("n", "n_2") >= SIMILAR[0] * F.greatest("n", "n_2")
+
+
+def labelled(nodes: DataFrame, rows: DataFrame, tables: Tables) -> DataFrame:
+    """node, component of every node. ``nodes``: node, doc_id, key, n, bands."""
     members = nodes.select("node", "n", F.explode("bands").alias("bucket"))
     pivots = members.groupBy("bucket").agg(F.min("node").alias("pivot"), F.count("*").alias("size")).where("size > 1")
-    full = staged(members.join(pivots.drop("size"), "bucket"))
-    texts = staged(_texts(full, nodes, rows))
-    first = full.where("node <> pivot").select(*_ordered(F.col("node"), F.col("pivot"))).distinct()
-    tried = staged(first)
-    found = staged(verified(tried, texts))
-    labels = components(found)
+    at_full, full = tables.put(members.join(pivots.drop("size"), "bucket"))
+    at_texts, texts = tables.put(_texts(full, nodes, rows))
+    at_pairs, pairs = tables.put(full.where("node <> pivot").select(*_ordered(F.col("node"), F.col("pivot"))).distinct())
+    tried = [at_pairs]
+    at_found, found = tables.put(verified(pairs, texts))
+    at_labels, labels = tables.put(
+        nodes.select("node").join(components(found, tables), "node", "left").select("node", F.coalesce("component", "node").alias("component"))
+    )
+    tables.drop(at_found)
 
     def torn(held: DataFrame) -> DataFrame:
         """The members of buckets that hold several components."""
-        named = held.drop("component").join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
-        several = named.groupBy("bucket").agg(F.min("component").alias("a"), F.max("component").alias("b")).where("a <> b")
-        return named.join(several.select("bucket"), "bucket", "left_semi")
-
-    open_members = staged(torn(full.select("bucket", "node", "n")))
-    if not open_members.take(1):
-        return found
-    shared = _shared(texts.join(open_members.select("node").distinct(), "node", "left_semi"))
-    open_members = staged(open_members.join(shared, "node"))
-    step = 0
-    while True:
-        step += 1
-        sizes = open_members.groupBy("bucket", "component").agg(
+        several = held.groupBy("bucket").agg(F.min("component").alias("a"), F.max("component").alias("b")).where("a <> b")
+        return held.join(several.select("bucket"), "bucket", "left_semi")
+
+    def joined(pairs: DataFrame, named: DataFrame) -> tuple[int, int]:
+        """Verify pairs and move the labels. How many pairs, and how many are similar. ``named``: node, component."""
+        nonlocal at_labels, labels
+        at_pairs, pairs = tables.put(pairs.join(tables.of(tried, pairs), ["a", "b"], "left_anti"))
+        at_more, more = tables.put(verified(pairs, texts))
+        n_pairs, n_more = pairs.count(), more.count()
+        tried.append(at_pairs)
+        if n_more:
+            # only new links are labelled, between components
+            ends = more
+            for c in ("a", "b"):
+                ends = ends.join(named.select(F.col("node").alias(c), F.col("component").alias(f"of_{c}")), c)
+            moved = components(ends.select(F.col("of_a").alias("a"), F.col("of_b").alias("b")), tables)
+            moved = moved.select(F.col("node").alias("component"), F.col("component").alias("to"))
+            old = at_labels
+            at_labels, labels = tables.put(labels.join(moved, "component", "left").select("node", F.coalesce("to", "component").alias("component")))
+            tables.drop(old)
+        tables.drop(at_more)
+        return n_pairs, n_more
+
+    at_open, members = tables.put(torn(full.select("bucket", "node", "n").join(labels, "node")))
+    tables.drop(at_full)
+    if members.take(1):
+        shared = _tokens(texts.join(members.select("node").distinct(), "node", "left_semi")).groupBy("node").agg(F.count("*").alias("shared"))
+        old = at_open
+        # a node that shares less than four fifths with all others together is similar to none
+        at_open, members = tables.put(torn(members.join(shared, "node").where(SIMILAR[1] * F.col("shared") >= SIMILAR[0] * F.col("n"))))
+        tables.drop(old)
+    for step in range(ROUNDS):
+        sizes = members.groupBy("bucket", "component").agg(
             F.count("*").alias("size"), F.min_by(F.struct("node", "n", "shared"), F.xxhash64("node", "bucket", F.lit(step))).alias("p")
-        )
+        ) if members.take(1) else None
+        if sizes is None:
+            break
         largest = sizes.groupBy("bucket").agg(F.max_by(F.struct("component", "p"), F.struct("size", "component")).alias("l")).select(
             "bucket", F.col("l.component").alias("of"), F.col("l.p.node").alias("node_2"), F.col("l.p.n").alias("n_2"), F.col("l.p.shared").alias("shared_2")
         )
-        others = open_members.join(largest, "bucket").where((F.col("component") != F.col("of")) & _possible())
-        pairs = others.select(*_ordered(F.col("node"), F.col("node_2"))).distinct()
-        pairs = staged(pairs.join(tried, ["a", "b"], "left_anti"))
-        more = staged(verified(pairs, texts))
-        n_pairs, n_more = pairs.count(), more.count()
+        others = members.join(largest, "bucket").where((F.col("component") != F.col("of")) & _possible() & _similar_size())
+        n_pairs, n_more = joined(others.select(*_ordered(F.col("node"), F.col("node_2"))).distinct(), labels)
         if not n_more:
             break
-        found, tried = staged(found.unionByName(more)), tried.unionByName(pairs)
-        labels = components(found)
-        open_members = staged(torn(open_members))
+        old = at_open
+        at_open, members = tables.put(torn(members.drop("component").join(labels, "node")))
+        tables.drop(old)
         if 10 * n_more < n_pairs:
             break  # few are still joined that way
-    # what is left: all pairs across components
-    other = open_members.select("bucket", *(F.col(c).alias(f"{c}_2") for c in ("node", "n", "shared", "component")))
-    last = open_members.join(other, "bucket").where(
-        (F.col("node") < F.col("node_2")) & (F.col("component") != F.col("component_2")) & _possible()
-    ).select(F.col("node").alias("a"), F.col("node_2").alias("b")).distinct()
-    last = staged(last.join(tried, ["a", "b"], "left_anti"))
-    if not last.take(1):
-        return found
-    return staged(found.unionByName(verified(last, texts)))
+    # what is left: pairs across components that share a bucket and a rare token
+    if members.take(1):
+        sizes = members.select("node", "n", "component").distinct()
+        tokens = _tokens(texts.join(sizes.select("node"), "node", "left_semi"))
+        at_tokens, tokens = tables.put(tokens)
+        shared = tokens.groupBy("node").agg(F.count("*").alias("shared"))
+        sizes = sizes.join(shared, "node")
+        at_prefixes, prefixes = tables.put(_prefixes(tokens, sizes.select("node", "n", "shared")))
+        tables.drop(at_tokens)
+        one = members.select("bucket", "node", "n", "shared", "component").join(prefixes, "node")
+        other = one.select("bucket", "token", *(F.col(c).alias(f"{c}_2") for c in ("node", "n", "shared", "component")))
+        last = one.join(other, ["bucket", "token"]).where(
+            (F.col("node") < F.col("node_2")) & (F.col("component") != F.col("component_2")) & _possible() & _similar_size()
+        ).select(F.col("node").alias("a"), F.col("node_2").alias("b")).distinct()
+        joined(last, labels)
+        tables.drop(at_prefixes)
+    tables.drop(at_open, at_texts, *tried)
+    return labels
 
 
 def _classes(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """doc_id, key, n, node, class_id of every row."""
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    marked = staged(signed(rows))
+    tables = Tables(docs.sparkSession, "near-duplicates")
+    _, marked = tables.put(signed(rows))
     nodes = marked.where("n > 0").groupBy("key").agg(
         F.min("doc_id").alias("doc_id"), F.min(F.struct("n", "bands")).alias("s")
     )
-    nodes = staged(nodes.select(F.monotonically_increasing_id().alias("node"), "doc_id", "key", "s.n", "s.bands"))
-    joined = nodes.select("node", "key", "doc_id").join(components(links(nodes, rows)), "node", "left")
-    joined = joined.withColumn("component", F.coalesce("component", "node"))
+    _, nodes = tables.put(nodes.select(F.monotonically_increasing_id().alias("node"), "doc_id", "key", "s.n", "s.bands"))
+    joined = nodes.select("node", "key", "doc_id").join(labelled(nodes, rows, tables), "node")
     least = joined.groupBy("component").agg(F.min("doc_id").alias("class_id"))
     named = joined.join(least, "component").select("key", "node", "component", "class_id")
     full = marked.where("n > 0").select("doc_id", "key", "n").join(named, "key")
@@ -294,7 +349,8 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` with one of each class, that with the least id; all rows without words stay."""
-    named = staged(_classes(docs, id_col, text_col).where("n > 0").select("doc_id", "key", "component"))
+    tables = Tables(docs.sparkSession, "near-duplicates")
+    _, named = tables.put(_classes(docs, id_col, text_col).where("n > 0").select("doc_id", "key", "component"))
     order = F.struct(F.col("doc_id").isNull(), "doc_id", "key")
     kept = named.groupBy("component").agg(F.min(order).alias("k")).select("k.doc_id", "k.key")
     times = named.groupBy("doc_id", "key").count()
