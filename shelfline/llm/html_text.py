@@ -79,12 +79,15 @@ class Block:
         self.label: bool | None = None
 
 
-def _marked(name: str, rest: str) -> bool:
-    """Whether an element's attributes say that it is not part of the article."""
+def _marked(name: str, rest: str, whole: bool) -> bool:
+    """Whether an element's attributes say that it is not part of the article.
+
+    ``whole``: a class or id must be such a word, not only hold one, as ``with-sidebar`` does.
+    """
     for key, value in _MARKED.findall(rest):
         key, value = key.lower(), value.strip("\"'").lower()
         if key in ("class", "id"):
-            words = set(_PARTS.findall(value))
+            words = set(value.split() if whole else _PARTS.findall(value))
             if words & MARKS or ("header" in words and name not in ("header", "h1", "h2", "h3") and words & {"site", "page", "top"}):
                 return True
         elif key == "role":
@@ -192,7 +195,8 @@ def blocks(html: str) -> list[Block]:
         if name in ("html", "body"):
             marked = False
         else:
-            marked = name in BAD_TAGS or (name == "header" and not main) or _marked(name, found["rest"])
+            outermost = name in ("article", "main") and not bad and not main
+            marked = name in BAD_TAGS or (name == "header" and not main) or _marked(name, found["rest"], outermost)
         if name in ("article", "main") and not marked:
             # an advert or menu that was never closed does not reach into the article
             if not any(s[0] in ("article", "main") and s[1] for s in stack):

@@ -1,3 +1,4 @@
+import pytest
 from pyspark.sql import functions as F
 
 from shelfline.llm import html_text
@@ -68,3 +69,23 @@ def test_rows(spark):
     assert set(got) == {(1, "u", len(PROSE)), (1, "u", 0), (None, None, 0), (2, "v", 599_999)}
     assert got[1, "u", 0] == "" and got[1, "u", len(PROSE)] == PROSE
     assert html_text.extract(df.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("start", [
+    "article class='post comments-open'", "main class='page with-sidebar'", "article id='search-engine-history'", "article class='category-legal'",
+])
+def test_part_of_a_name_does_not_drop_the_article(start):
+    text = "This is the text of the article, and it is long enough to be told from a menu by the words that it has in it."
+    page = f"<body><nav><a href='/'>Home</a></nav><{start}><p>{text}</p><article class='comment-body'><p>It was a reader who wrote this.</p></article></{start.split()[0]}></body>"
+    assert html_text.main_text(page) == text
+
+
+@pytest.mark.parametrize("name", ["comment", "advert", "post related"])
+def test_a_whole_name_drops_an_article(name):
+    text = "This is the text of the article, and it is long enough to be told from a menu by the words that it has in it."
+    assert html_text.main_text(f"<article><p>{text}</p></article><article class='{name}'><p>And {text}</p></article>") == text
+
+
+def test_articles_in_a_list_of_comments_stay_out():
+    text = "This is the text of the article, and it is long enough to be told from a menu by the words that it has in it."
+    assert html_text.main_text(f"<article><p>{text}</p></article><div id='comments'><article class='comment-body'><p>And {text}</p></article></div>") == text
