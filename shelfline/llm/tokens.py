@@ -18,6 +18,7 @@ from __future__ import annotations
 import json
 import os
 import re
+import struct
 import zlib
 from collections.abc import Iterator
 
@@ -33,13 +34,35 @@ from shelfline.sources import paths
 
 #: Ids in a block, but for documents that are longer.
 BLOCK_IDS = 1 << 17
-#: Words that a Python worker remembers.
-CACHED_WORDS = 400_000
+#: Pieces of words that a Python worker remembers, and as many words that are not split here; longer ones are encoded each time.
+CACHED_WORDS = 800_000
+CACHED_LENGTH = 64
 
 # The split pattern of the word tokenizer, and the same within ASCII and the letters of Latin-1.
 WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
-_NARROW = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-z0-9ß-öø-ÿ]+")
-_SIMPLE = re.compile(r"[!-~À-ÖØ-öø-ÿ]+")
+_NARROW = re.compile(r"[a-zß-öø-ÿ]+|[0-9]|'(?:s|t|re|ve|m|ll|d)|[^ \t\n\x0b\x0c\ra-z0-9ß-öø-ÿ]+")
+_SIMPLE = re.compile(r"[ \t\n\x0b\x0c\r!-~À-ÖØ-öø-ÿ]*")
+
+
+class _Pieces(dict):
+    """The ids of pieces of words, as bytes. A piece that is not there is encoded."""
+
+    def __init__(self, model, kind: str) -> None:
+        super().__init__()
+        from tokenizers import pre_tokenizers
+
+        self.model = model
+        self.level = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+        self.code = "H" if kind == "<u2" else "I"
+
+    def __missing__(self, piece: str) -> bytes:
+        found = self.model.tokenize(piece if piece.isascii() else self.level.pre_tokenize_str(piece)[0][0])
+        ids = struct.pack(f"<{len(found)}{self.code}", *[t.id for t in found])
+        if len(piece) <= CACHED_LENGTH:
+            if len(self) >= CACHED_WORDS:
+                self.clear()
+            self[piece] = ids
+        return ids
 
 
 class _Words(dict):
@@ -47,13 +70,11 @@ class _Words(dict):
 
     def __init__(self, spec: str, kind: str) -> None:
         super().__init__()
-        from tokenizers import Tokenizer, pre_tokenizers
+        from tokenizers import Tokenizer
 
         self.kind = kind
         self.tokenizer = Tokenizer.from_str(spec)
-        self.model = self.tokenizer.model
-        self.level = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
-        self.pieces: dict[str, bytes] = {}
+        self.pieces = _Pieces(self.tokenizer.model, kind)
         self.narrow = WORD_PATTERN in [
             p.get("pattern", {}).get("Regex") for p in (json.loads(spec)["pre_tokenizer"] or {}).get("pretokenizers", [])
         ]
@@ -61,23 +82,24 @@ class _Words(dict):
     def whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.kind).tobytes()
 
-    def piece(self, piece: str) -> bytes:
-        known = self.pieces.get(piece)
-        if known is None:
-            if len(self.pieces) >= CACHED_WORDS:
-                self.pieces.clear()
-            mapped = piece if piece.isascii() else self.level.pre_tokenize_str(piece)[0][0]
-            known = self.pieces[piece] = np.array([t.id for t in self.model.tokenize(mapped)], self.kind).tobytes()
-        return known
+    def simple(self, text: str) -> bytes | None:
+        """The ids of one or many words that the narrow pattern splits, or None."""
+        # the letters of Latin-1 have no other normal form, and their lower case is one letter
+        if not self.narrow or "<|" in text or not _SIMPLE.fullmatch(text):
+            return None
+        return b"".join(map(self.pieces.__getitem__, _NARROW.findall(text.lower())))
+
+    def words(self, raw: bytes) -> bytes:
+        """The ids of a text, word by word where it is not simple as a whole."""
+        ids = self.simple(raw.decode())
+        return b"".join(map(self.__getitem__, raw.split())) if ids is None else ids
 
     def __missing__(self, word: bytes) -> bytes:
         text = word.decode()
-        # the letters of Latin-1 have no other normal form, and their lower case is one letter
-        if self.narrow and _SIMPLE.fullmatch(text) and "<|" not in text:
-            ids = b"".join(map(self.piece, _NARROW.findall(text.lower())))
-        else:
+        ids = self.simple(text)
+        if ids is None:
             ids = self.whole(text)
-        if len(word) <= 64:
+        if len(word) <= CACHED_LENGTH:
             if len(self) >= CACHED_WORDS:
                 self.clear()
             self[word] = ids
@@ -137,7 +159,7 @@ def tokenise(docs: DataFrame, tokenizer: str, end_id: int, by_words: bool, id_co
             raw = data.tobytes()
             for i, doc_id in enumerate(piece.column("doc_id").to_pylist()):
                 own = raw[offsets[i]: offsets[i + 1]]
-                coded = (b"".join(map(words.__getitem__, own.split())) if by_words else words.whole(own.decode())) + end
+                coded = (words.words(own) if by_words else words.whole(own.decode())) + end
                 n = len(coded) // len(end)
                 if held and size + n > BLOCK_IDS:
                     yield full()
