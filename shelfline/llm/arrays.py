@@ -78,6 +78,64 @@ def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nd
     return mix(value + (ends - starts).astype(np.uint64) * _STEP)
 
 
+_PRIME = (1 << 61) - 1
+_P = np.uint64(_PRIME)
+_LIMBS = (np.uint64(0), np.uint64(21), np.uint64(42))
+
+
+def _fold(x: np.ndarray) -> np.ndarray:
+    """64-bit numbers modulo 2^61 - 1."""
+    x = (x & _P) + (x >> np.uint64(61))
+    return np.where(x >= _P, x - _P, x)
+
+
+def _shifted(x: np.ndarray, bits: np.uint64) -> np.ndarray:
+    """x * 2^bits modulo 2^61 - 1, for x below it."""
+    return ((x << bits) & _P) | (x >> (np.uint64(61) - bits)) if bits else x
+
+
+def _product(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """a * b modulo 2^61 - 1, for factors below it."""
+    half, low = np.uint64(32), np.uint64((1 << 32) - 1)
+    a1, a0, b1, b0 = a >> half, a & low, b >> half, b & low
+    middle = _shifted(_fold(a1 * b0 + a0 * b1), half)
+    return _fold(_shifted(_fold(a1 * b1), np.uint64(3)) + middle + _fold(a0 * b0))
+
+
+class _PrimePowers:
+    """Powers of the base modulo 2^61 - 1, and their parts of 21 bits."""
+
+    up = np.ones(1, np.uint64)
+    limbs: tuple[np.ndarray, ...] = ()
+
+    @classmethod
+    def of(cls, n: int) -> tuple[np.ndarray, tuple[np.ndarray, ...]]:
+        if len(cls.up) < n:
+            up = cls.up
+            while len(up) < max(n, SLICE_BYTES + 1):
+                up = np.concatenate([up, _product(up, np.uint64(pow(_BASE, len(up), _PRIME)))])
+            cls.up = up
+            cls.limbs = tuple(((up >> at) & np.uint64((1 << 21) - 1)).astype(np.uint32) for at in _LIMBS)
+        return cls.up, cls.limbs
+
+
+def span_identities(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Hashes that tell stretches of one ``data`` apart: a polynomial modulo a prime, mixed with the length.
+
+    Unlike modulo 2^64, no regular pair of texts cancels out whatever the base. Hashes of different ``data`` do not compare.
+    """
+    if not len(starts):
+        return np.zeros(0, np.uint64)
+    up, limbs = _PrimePowers.of(len(data) + 1)
+    bytes_, value = data.astype(np.uint32) + np.uint32(1), np.zeros(len(starts), np.uint64)
+    for limb, at in zip(limbs, _LIMBS):
+        total = np.zeros(len(data) + 1, np.uint64)
+        np.cumsum(bytes_ * limb[: len(data)], dtype=np.uint64, out=total[1:])
+        value = _fold(value + _shifted(_fold(total[ends] - total[starts]), at))
+    value = _product(value, up[len(data) - starts])
+    return mix(value ^ mix((ends - starts).astype(np.uint64)))
+
+
 def word_bounds(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Starts and ends of all words, and the number of the first word of each text."""
     return word_bounds_of(data, offsets, ~IS_SPACE[data])

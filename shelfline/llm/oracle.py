@@ -95,8 +95,9 @@ failed AS (
   SELECT row_no, l, chars,
          (symbols >= 2 AND 5 * symbols >= n) OR (bangs >= 3 AND 3 * bangs >= n) OR (n >= 3 AND 5 * uppers > 3 * letters)
          OR (stammers >= 5 AND 10 * stammers >= 3 * n) OR (n >= 50 AND marks = 0)
-         OR regexp_matches(low, '{"|".join(BOILERPLATE)}') AS fails
-  FROM judged
+         OR (notice > 0 AND 10 * notice >= n) AS fails
+  FROM (SELECT *, {" + ".join(f"{p.count(' ') + 1} * len(regexp_extract_all(low, '{p}'))" for p in BOILERPLATE)} AS notice
+        FROM judged)
 ),
 lost AS (
   SELECT row_no, sum(chars) AS word_chars, count(*) - count(DISTINCT l) AS n_dup_lines,

@@ -7,7 +7,8 @@ A line fails if it
   over three fifths of the ASCII letters in upper case,
 - stammers: five words or more that equal the word before, and three tenths of all,
 - has no punctuation: fifty words or more without any of ``. , ; : ! ?``,
-- is boilerplate: it contains one of ``BOILERPLATE``, whatever the case.
+- is boilerplate: phrases of ``BOILERPLATE``, whatever the case, are a tenth of its words or more; a long line may
+  mention one.
 
 A document fails if the lines that went held over three tenths of its characters in words. Before
 that stands a base rule: under twenty words, or over three tenths of the words inside windows of eight
@@ -81,7 +82,7 @@ def _first_of_equals(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 def judge(data: np.ndarray, offsets: np.ndarray) -> tuple[dict[str, np.ndarray], np.ndarray, np.ndarray, np.ndarray]:
     """The result columns, and of the lines: their first bytes and the end, the first line of each text, whether each fails."""
     starts, ends, first = arrays.word_bounds(data, offsets)
-    hashes = arrays.span_hashes(data, starts, ends)
+    hashes = arrays.span_identities(data, starts, ends)
     n_words = np.diff(first)
     inside = ~arrays.IS_SPACE[data]
     char = inside & ((data & 0xC0) != 0x80)
@@ -104,7 +105,7 @@ def judge(data: np.ndarray, offsets: np.ndarray) -> tuple[dict[str, np.ndarray],
     words = np.diff(line_word)
     full = words > 0
     stop = bounds[1:] - (data[bounds[1:] - 1] == 10) if len(begins) else begins
-    line_keys = arrays.span_hashes(data, begins, stop) ^ salt[text_of_line]
+    line_keys = arrays.span_identities(data, begins, stop) ^ salt[text_of_line]
     again = np.zeros(len(begins), bool)
     again[full] = _first_of_equals(line_keys[full])[0]
 
@@ -123,13 +124,15 @@ def judge(data: np.ndarray, offsets: np.ndarray) -> tuple[dict[str, np.ndarray],
         | ((stammers >= 5) & (10 * stammers >= 3 * words))
         | ((words >= 50) & (count(_MARK) == 0))
     )
-    lower = _LOWER[data].tobytes()
+    lower, notice = _LOWER[data].tobytes(), np.zeros(len(begins), np.int64)
     for phrase in BOILERPLATE:
         found = lower.find(phrase.encode())
         while found >= 0:
             line = int(np.searchsorted(begins, found, "right")) - 1
-            fails[line] |= found + len(phrase) <= bounds[line + 1]
+            if found + len(phrase) <= bounds[line + 1]:
+                notice[line] += phrase.count(" ") + 1
             found = lower.find(phrase.encode(), found + 1)
+    fails |= (notice > 0) & (10 * notice >= words)
     fails &= full
 
     line_bounds = np.searchsorted(text_of_line, np.arange(len(n_words) + 1))
