@@ -732,14 +732,25 @@ def date_range(spark, folder):
     return ingest.date_range(bounds, "a", "b")
 
 
-@query
-def fct_orders_incremental(spark, folder):
+def _updated_fact(spark: SparkSession, folder: str) -> upsert.MonthlyFact:
     """A stored fact up to 1999 of the second batch, brought forward with the third."""
     raw = Star(spark, folder).raw()
     fact = upsert.MonthlyFact(spark, scratch_path(spark, "fact"))
     fact.refresh(Models(raw.until(SECOND)).fct_orders.where("order_date < DATE'1999-01-15'"))
     fact.update(Models(raw).fct_orders)
-    return fact.read()
+    return fact
+
+
+@query
+def fct_orders_incremental(spark, folder):
+    return _updated_fact(spark, folder).read()
+
+
+@query
+def fct_orders_key_index(spark, folder):
+    """What the index of the updated fact says: orders and bucket hits per month."""
+    keys = _updated_fact(spark, folder).table.snapshot().keys()
+    return keys.groupBy("order_month").agg(F.count("*").alias("orders"), F.countDistinct("key_hash").alias("different"))
 
 
 @query

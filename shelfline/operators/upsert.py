@@ -49,14 +49,17 @@ def _month() -> Column:
 
 
 class MonthlyFact:
-    """The order fact as a stored table, partitioned by order month."""
+    """The order fact as a stored table, partitioned by order month, with an index of its order ids.
 
-    def __init__(self, spark: SparkSession, path: str, schema: T.StructType = FACT):
+    An update finds the months of the orders it replaces in the index, in the buckets that their ids fall into.
+    """
+
+    def __init__(self, spark: SparkSession, path: str, schema: T.StructType = FACT, buckets: int = 64):
         self.spark = spark
         self.path = path
         self.schema = T.StructType([*schema.fields, T.StructField(MONTH, T.StringType())])
 
-        self.table = VersionedTable(spark, path, MONTH)
+        self.table = VersionedTable(spark, path, MONTH, key=["order_id"], buckets=buckets)
 
     def read(self) -> DataFrame:
         return self.table.read(self.schema).drop(MONTH)
@@ -90,17 +93,13 @@ class MonthlyFact:
         return bound
 
     def _merge(self, now: Snapshot, fresh: DataFrame) -> None:
-        stored = now.read(self.schema)
-        touched = (
-            stored.select("order_id", MONTH).join(fresh.select("order_id"), "order_id", "left_semi")
-            .select(MONTH).union(fresh.select(_month().alias(MONTH))).distinct()
-        )
+        touched = now.holding(fresh, self.schema).union(fresh.select(_month().alias(MONTH))).distinct()
         # At most one value per calendar month.
         months = {r[0] for r in touched.collect()}
         if not months:
             return
         target = now.read(self.schema, months).drop(MONTH)
-        # A month whose last order moved elsewhere is not filled again. All months were looked at for the keys, and another
+        # A month whose last order moved elsewhere is not filled again. The keys of all months were looked at, and another
         # writer may have put one of them into a new one.
         rows = merged(target, fresh, ["order_id"]).withColumn(MONTH, _month())
         now.replace(rows, months, at_all=True)

@@ -8,6 +8,10 @@ put a file in another's place, so two writers never lose each other's change: th
 if the other replaced partitions it did not look at, and otherwise starts over from what is there now. Lists
 and partitions that the last ``keep`` lists do not need are dropped with every change; what a reader of one of these
 lists sees stays. A run that broke off leaves a folder that no list names; it goes once it is older than ``ORPHAN_HOURS``.
+
+With ``key`` a table has an index: each run also writes the hashes of the keys in each partition it filled, spread over buckets by
+hash. What a run wrote about a partition counts while the list names that run for it, so index and table change in the same
+step, nothing is ever looked up in vain for keys that have moved, and partitions written without an index are read themselves.
 """
 
 from __future__ import annotations
@@ -15,10 +19,10 @@ from __future__ import annotations
 import json
 import time
 import uuid
-from collections.abc import Callable, Iterable
+from collections.abc import Callable, Iterable, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from shelfline.sources import paths
 
@@ -50,6 +54,37 @@ class Snapshot:
         rows = spark.read.schema(full).option("basePath", f"{root}/data").parquet(*folders)
         return rows.select(*schema.names)
 
+    def keys(self, buckets: Iterable[int] | None = None) -> DataFrame:
+        """The index: (partition column, key hash, bucket), one row per different key of a partition. All buckets, or those named."""
+        table = self.table
+        runs = table.indexed_runs() & set(self.held.values())
+        schema = f"key_hash long, {table.column} string, run string, bucket int"
+        if not runs:
+            return table.spark.createDataFrame([], schema).drop("run")
+        found = table.spark.read.schema(schema).option("basePath", f"{table.root}/keys").parquet(
+            *(f"{table.root}/keys/run={run}" for run in sorted(runs))
+        )
+        if buckets is not None:
+            found = found.where(F.col("bucket").isin(sorted(buckets)))
+        # one entry per partition of the table
+        pairs = [f"{value}/{run}" for value, run in sorted(self.held.items()) if run in runs]
+        return found.where(F.concat_ws("/", table.column, "run").isin(pairs)).select(table.column, "key_hash", "bucket")
+
+    def holding(self, rows: DataFrame, schema: T.StructType) -> DataFrame:
+        """The partitions that hold a key of ``rows``, with repeats: by the index, for its buckets that the keys fall into.
+
+        Partitions without an index are looked through. ``schema`` is that of ``read``. ``rows`` is used twice.
+        """
+        table = self.table
+        wanted = rows.select(table.hash().alias("key_hash"))
+        buckets = {r[0] for r in wanted.select(table.bucket(F.col("key_hash"))).distinct().collect()}
+        held = self.keys(buckets).select(table.column, "key_hash")
+        runs = table.indexed_runs()
+        bare = [value for value, run in self.held.items() if run not in runs]
+        if bare:
+            held = held.unionByName(self.read(schema, bare).select(table.column, table.hash().alias("key_hash")))
+        return held.join(wanted, "key_hash", "left_semi").select(table.column)
+
     def replace(
         self, rows: DataFrame, values: Iterable[str] | None = None, looked_at: Iterable[str] = (), at_all: bool = False
     ) -> None:
@@ -63,6 +98,8 @@ class Snapshot:
         folder = f"{table.root}/data/run={run}"
         paths.overwrite_partitions(rows, folder, table.column)
         filled = {p[table.column] for p in paths.partition_values(table.spark, folder, table.column)}
+        if table.key and filled:
+            table.write_keys(run, rows.schema)
         named = None if values is None else set(values)
         watched = None if named is None or at_all else named | filled | set(looked_at)
         now = self
@@ -70,6 +107,7 @@ class Snapshot:
             changed = {v for v in self.held.keys() | now.held.keys() if self.held.get(v) != now.held.get(v)}
             if changed and (watched is None or changed & watched):
                 paths.delete(table.spark, folder)
+                paths.delete(table.spark, f"{table.root}/keys/run={run}")
                 raise ConcurrentChange(f"partitions {sorted(changed)[:5]} of {table.root} were replaced meanwhile")
             kept = {} if named is None else {v: r for v, r in now.held.items() if v not in named}
             if table.claim(now.number + 1, kept | dict.fromkeys(filled, run)):
@@ -79,12 +117,33 @@ class Snapshot:
 
 
 class VersionedTable:
-    def __init__(self, spark: SparkSession, root: str, column: str, keep: int = 3):
+    def __init__(
+        self, spark: SparkSession, root: str, column: str, keep: int = 3, key: Sequence[str] = (), buckets: int = 64
+    ):
         self.spark = spark
+        self.key = tuple(key)
+        self.buckets = buckets
         self.root = root.rstrip("/")
         self.column = column
         self.keep = keep
 
+    def hash(self) -> Column:
+        return F.xxhash64(*self.key)
+
+    def bucket(self, key_hash: Column) -> Column:
+        return F.pmod(key_hash, F.lit(self.buckets)).cast("int")
+
+    def indexed_runs(self) -> set[str]:
+        return {p["run"] for p in paths.partition_values(self.spark, f"{self.root}/keys", "run")}
+
+    def write_keys(self, run: str, schema: T.StructType) -> None:
+        """Index what a run has written: its key columns are read back."""
+        fields = [*(schema[k] for k in self.key), T.StructField(self.column, T.StringType())]
+        rows = self.spark.read.schema(T.StructType(fields)).parquet(f"{self.root}/data/run={run}")
+        keys = rows.select(self.column, self.hash().alias("key_hash")).distinct()
+        spread = keys.withColumn("bucket", self.bucket(F.col("key_hash")))
+        paths.overwrite_partitions(spread, f"{self.root}/keys/run={run}", "bucket")
+
     def _lists(self) -> list[str]:
         return paths.glob(self.spark, f"{self.root}/list/*.json")
 
@@ -136,11 +195,12 @@ class VersionedTable:
         runs = {run for _, run in used}
         for run in sorted({run for _, run in gone} - runs):
             paths.delete(self.spark, f"{self.root}/data/run={run}")
+            paths.delete(self.spark, f"{self.root}/keys/run={run}")
         # lists last: a run that breaks off here finds the same partitions again
         for path in past:
             paths.delete(self.spark, path)
         oldest = (time.time() - ORPHAN_HOURS * 3600) * 1000
-        for kind in ("data/run=*", "draft/*.json"):
+        for kind in ("data/run=*", "keys/run=*", "draft/*.json"):
             for path, modified in paths.glob_times(self.spark, f"{self.root}/{kind}"):
                 if modified < oldest and path.rsplit("=", 1)[-1] not in runs:
                     paths.delete(self.spark, path)

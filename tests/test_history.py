@@ -131,6 +131,10 @@ def test_history_of_the_star(spark):
 # --- incremental fact and record store --------------------------------------
 
 
+def plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
 def lines(spark, *rows):
     return spark.createDataFrame(
         [(o, dt.date.fromisoformat(d) if d else None, q) for o, d, q in rows],
@@ -170,6 +174,55 @@ def test_incremental_fact(spark, folder, source):
     assert listed(fact.read()) == sorted((o, str(d), q) for o, d, q in source)
 
 
+def test_update_reads_index_buckets_and_touched_months(spark, folder):
+    months = [f"2024-{m:02d}-03" for m in range(1, 13)]
+    target = lines(spark, *((f"{d}-{i}", d, i) for d in months for i in range(9)))
+    fact = upsert.MonthlyFact(spark, f"{folder}/fact", target.schema)
+    fact.refresh(target)
+    key, late = f"{months[2]}-4", dt.date(2024, 12, 9)
+    now, fresh = fact.table.snapshot(), lines(spark, (key, "2024-12-09", 77))
+    held = now.holding(fresh, fact.schema)
+    bucket = fresh.select(fact.table.bucket(fact.table.hash())).first()[0]
+    assert [r[0] for r in held.collect()] == ["2024-03"]
+    scans = [line for line in plan(held).splitlines() if "FileScan" in line]
+    assert scans and all(f"= {bucket})]" in line and "ReadSchema: struct<key_hash:bigint,order_month:string>" in line for line in scans)
+    read = {r[0] for r in now.keys([bucket]).select(F.input_file_name()).collect()}
+    assert read and all(f"/keys/run={now.held['2024-03']}/bucket={bucket}/" in f for f in read)
+    # the other months are neither read nor written
+    before = dict(now.held)
+    for month in set(before) - {"2024-03", "2024-12"}:
+        paths.delete(spark, f"{folder}/fact/data/run={before[month]}/order_month={month}")
+    assert fact.update(fresh, since=late) == late
+    after = fact.table.snapshot()
+    assert {m for m in before if after.held[m] != before[m]} == {"2024-03", "2024-12"}
+    rows = after.read(fact.schema, ["2024-03", "2024-12"]).drop("order_month")
+    kept = [(f"{d}-{i}", d, i) for d in (months[2], months[11]) for i in range(9) if f"{d}-{i}" != key]
+    assert listed(rows) == sorted([*kept, (key, "2024-12-09", 77)])
+    # the key has moved in the index, too
+    assert [r[0] for r in after.holding(fresh, fact.schema).collect()] == ["2024-12"]
+
+
+def test_index_of_repeats_nulls_and_months_without_one(spark, folder):
+    target = lines(spark, ("a", "2024-01-05", 1), ("a", "2024-01-06", 2), ("a", "2024-02-01", 3), (None, "2024-02-02", 4), ("b", None, 5))
+    fact = upsert.MonthlyFact(spark, f"{folder}/fact", target.schema, buckets=3)
+    fact.refresh(target)
+    found = sorted(r.order_month for r in fact.table.snapshot().keys().collect())
+    assert found == ["2024-01", "2024-02", "2024-02", "none"]
+    # an older table has no index: its months are looked through until they are rewritten
+    for run in fact.table.indexed_runs():
+        paths.delete(spark, f"{folder}/fact/keys/run={run}")
+    fresh = lines(spark, ("a", "2024-02-09", 9))
+    assert {r[0] for r in fact.table.snapshot().holding(fresh, fact.schema).collect()} == {"2024-01", "2024-02"}
+    fact.update(fresh)
+    assert listed(fact.read().where("order_id is not null")) == [("a", "2024-02-09", 9), ("b", "None", 5)]
+    assert sorted(r.order_month for r in fact.table.snapshot().keys().collect()) == ["2024-02", "2024-02"]
+    # an empty table, and the index of runs that no list keeps
+    fact.refresh(target.limit(0))
+    assert fact.table.snapshot().keys().count() == 0
+    fact.table.clean(keep=1)
+    assert not fact.table.indexed_runs()
+
+
 def test_first_update_loads_everything(spark, folder):
     fact = upsert.MonthlyFact(spark, f"{folder}/fact", lines(spark, *FIRST).schema)
     assert fact.update(lines(spark, *FIRST)) is None
