@@ -1,15 +1,16 @@
 """Column profiles of a table.
 
-Two passes whatever the number of columns: a wide aggregate for the moments, and one
-melted count per (column, value) that answers nulls, distinct values, top values and
-quantiles together.
+Few passes whatever the number of columns: a wide aggregate for the moments, histograms that are narrowed
+for the quantiles, and one melted count per (column, value) for nulls, distinct values and top values.
 """
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from shelfline.operators.ranks import exact_quantiles
+from shelfline.operators.ranks import column_quantiles, exact_quantiles
 
 HIGH_CARDINALITY_PCT = 90.0
 
@@ -77,16 +78,29 @@ def moments(df: DataFrame, columns: list[str]) -> DataFrame:
     )
 
 
-def numeric_profile(df: DataFrame, counts: DataFrame | None = None) -> DataFrame:
+def _quantiles(df: DataFrame, known: list, probabilities: list[float]) -> DataFrame:
+    """column_name, q0, q1 …: by histograms; columns that hold NaN or infinities by their counted values."""
+    names = [f"q{i}" for i in range(len(probabilities))]
+    finite = {r.column_name: (r.n, r.min, r.max) for r in known if math.isfinite(r.min) and math.isfinite(r.max)}
+    doubles = df.select(*(F.col(c).cast("double").alias(c) for c in finite))
+    numbers = column_quantiles(doubles, finite, probabilities) if finite else {}
+    schema = ", ".join(["column_name string", *(f"{q} double" for q in names)])
+    result = df.sparkSession.createDataFrame([(c, *q) for c, q in numbers.items()], schema)
+    others = [r.column_name for r in known if r.column_name not in finite]
+    if others:
+        counted = value_counts(df, others).where("value IS NOT NULL").withColumn("number", F.col("value").cast("double"))
+        result = result.unionByName(exact_quantiles(counted, "column_name", "number", "n", probabilities))
+    return result
+
+
+def numeric_profile(df: DataFrame) -> DataFrame:
     """Statistics of the numeric columns, quantiles exact and linearly interpolated."""
     columns = numeric_columns(df)
-    counts = value_counts(df, columns) if counts is None else counts
-    numbers = counts.where(F.col("column_name").isin(*columns) & F.col("value").isNotNull()).select(
-        "column_name", F.col("value").cast("double").alias("number"), "n"
-    )
-    quantiles = exact_quantiles(numbers, "column_name", "number", "n", (0.25, 0.5, 0.75))
-    # One row per column on either side.
-    return moments(df, columns).where("n > 0").join(F.broadcast(quantiles), "column_name").select(
+    # One row per column: the moments of the table, which also bound the first histograms.
+    seen = moments(df, columns).where("n > 0")
+    known = seen.collect()
+    quantiles = _quantiles(df, known, [0.25, 0.5, 0.75])
+    return df.sparkSession.createDataFrame(known, seen.schema).join(F.broadcast(quantiles), "column_name").select(
         "column_name", "min", "max", "mean", F.col("q1").alias("median"), "std",
         F.col("q0").alias("p25"), F.col("q2").alias("p75"),
         F.round("skew", 4).alias("skew"), "constant",

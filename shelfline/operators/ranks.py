@@ -1,18 +1,23 @@
 """Positions and exact quantiles over data of any size.
 
-Both rest on the same step: range partition by value, count per partition, and add the
-counts of the partitions before. No task ever sorts a whole column.
+Positions rest on range partitions: count per partition, and add the counts of the partitions before. Quantiles of
+columns come from histograms that are counted, narrowed to the bins that hold a wanted rank, and counted again. No task
+ever sorts a whole column.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from shelfline.session import ensure_checkpoint_dir
 
 _PART = "_part"
+#: Bins of one histogram.
+BINS = 1024
 
 
 def _placed(df: DataFrame, *order: str) -> DataFrame:
@@ -80,3 +85,80 @@ def exact_quantiles(counts: DataFrame, group: str, value: str, weight: str, prob
     return ends.groupBy(group).agg(
         *(F.max(F.when(F.col("_i") == i, point)).alias(f"q{i}") for i in range(len(probabilities)))
     )
+
+
+@dataclass(frozen=True)
+class _Span:
+    """Values of a column between two of them, and how many are smaller: where some wanted ranks lie."""
+
+    column: str
+    low: float
+    high: float
+    below: int
+    ranks: tuple[int, ...]
+
+    def bin(self, wide: bool) -> Column:
+        """The bin of a value between low and high, NULL for others. It never falls as the value grows, low and high differ."""
+        value = F.col(self.column)
+        # The logarithm of the least positive double is above -745; that of zero is NULL.
+        scale = (lambda v: F.signum(v) * F.coalesce(F.log(F.abs(v)) + 746, F.lit(0.0))) if wide else (lambda v: v * 0.5)
+        low, high = (scale(F.lit(v)) for v in (self.low, self.high))
+        share = F.try_divide(scale(value) - low, high - low)  # NULL where the scale does not tell them apart
+        inner = F.least(F.floor(share * BINS), F.lit(BINS - 2)).cast("int")
+        # The ends have bins of their own, so every pass splits the span whatever its values are.
+        place = F.when(value == self.low, -1).when(value == self.high, BINS - 1).otherwise(F.coalesce(inner, F.lit(0)))
+        return F.when((value >= self.low) & (value <= self.high), place)
+
+
+def _narrowed(df: DataFrame, spans: list[_Span], wide: bool) -> list[_Span]:
+    """The spans of the bins that hold the wanted ranks, after one pass over ``df``."""
+    cells = F.array(*(
+        F.struct(F.lit(i).alias("span"), s.bin(wide).alias("bin"), F.col(s.column).alias("value")) for i, s in enumerate(spans)
+    ))
+    bins = df.select(F.inline(F.filter(cells, lambda c: c["bin"].isNotNull()))).groupBy("span", "bin").agg(
+        F.count("*").alias("n"), F.min("value").alias("low"), F.max("value").alias("high")
+    )
+    upto = F.sum("n").over(Window.partitionBy("span").orderBy("bin"))  # at most BINS + 1 rows a span
+    wanted = F.array(*(
+        F.struct(F.lit(i).alias("at"), F.lit(rank - s.below).alias("rank")) for i, s in enumerate(spans) for rank in s.ranks
+    ))
+    hits = bins.withColumn("upto", upto).withColumn("ranks", F.transform(
+        F.filter(wanted, lambda w: (w["at"] == F.col("span")) & (w["rank"] < F.col("upto")) & (w["rank"] >= F.col("upto") - F.col("n"))),
+        lambda w: w["rank"],
+    )).where(F.size("ranks") > 0)
+    # at most one row for each wanted rank
+    return [
+        _Span(spans[r.span].column, r.low, r.high, spans[r.span].below + r.upto - r.n, tuple(k + spans[r.span].below for k in r.ranks))
+        for r in hits.collect()
+    ]
+
+
+def column_quantiles(
+    df: DataFrame, bounds: dict[str, tuple[int, float, float]], probabilities: Sequence[float]
+) -> dict[str, list[float]]:
+    """Exact, linearly interpolated quantiles of double columns: one number for each probability.
+
+    ``bounds`` holds how many values a column has, one at least, and the least and greatest, which are finite; NULL is not counted.
+    A pass counts the values of all columns into histograms between known ends, and a span goes on between the least and greatest
+    value of its bin until they are the same. Only bin counts are shuffled. Prices, ages and the like take two or three
+    passes. Every second pass has logarithmic bins, for values of very different size.
+    """
+    ranks = {
+        c: [((n - 1) * p, math.floor((n - 1) * p), math.ceil((n - 1) * p)) for p in probabilities] for c, (n, _, _) in bounds.items()
+    }
+    found: dict[tuple[str, int], float] = {}
+    spans = [
+        _Span(c, low, high, 0, tuple(sorted({k for _, a, b in ranks[c] for k in (a, b)}))) for c, (_, low, high) in bounds.items()
+    ]
+    wide = False
+    while spans:
+        for s in spans:
+            if s.low == s.high:
+                found |= {(s.column, rank): s.low for rank in s.ranks}
+        spans = [s for s in spans if s.low != s.high]
+        if spans:
+            spans = _narrowed(df.select(*sorted({s.column for s in spans})), spans, wide)
+            wide = not wide
+    return {
+        c: [found[c, a] + (found[c, b] - found[c, a]) * (at - a) for at, a, b in ranks[c]] for c in bounds
+    }

@@ -1,4 +1,5 @@
 import datetime as dt
+import math
 import random
 
 import numpy as np
@@ -6,7 +7,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from shelfline.operators import forecast, profile
+from shelfline.operators import forecast, profile, ranks
 from shelfline.operators.ranks import dense_position, exact_quantiles
 
 
@@ -50,6 +51,50 @@ def test_profile_against_pandas(spark):
     assert text["k"].top_value is None and text["k"].uniques == 5 and text["n"].high_cardinality
 
 
+def test_quantiles_of_unlike_columns_in_few_passes(spark, monkeypatch):
+    rng = random.Random(8)
+    pdf = pd.DataFrame({
+        "prices": [round(rng.lognormvariate(3, 1), 2) for _ in range(5000)],
+        "hot": [7.0] * 4000 + [rng.uniform(-1e6, 1e6) for _ in range(1000)],
+        "scales": [rng.choice([-1, 1]) * 10.0 ** rng.uniform(-300, 300) for _ in range(5000)],
+        "close": [1 + k * 2.0 ** -52 for k in range(5000)],
+        "extremes": [-1.7e308, 1.7e308] * 2500,
+        "tiny": [5e-324 * (k % 3) for k in range(5000)],
+        "zeros": [0.0, -0.0] * 2500,
+    })
+    df = spark.createDataFrame(pdf).repartition(3).cache()
+    passes = []
+    narrowed = ranks._narrowed
+    monkeypatch.setattr(ranks, "_narrowed", lambda df, spans, wide: passes.append({s.column for s in spans}) or narrowed(df, spans, wide))
+    probabilities = [0, 0.001, 0.25, 0.5, 0.77, 1]
+    bounds = {c: (5000, float(pdf[c].min()), float(pdf[c].max())) for c in pdf}
+    got = ranks.column_quantiles(df, bounds, probabilities)
+    for c in pdf:
+        values = sorted(pdf[c])
+        for p, q in zip(probabilities, got[c]):
+            lo, hi = values[math.floor(4999 * p)], values[math.ceil(4999 * p)]
+            assert q == lo + (hi - lo) * (4999 * p - math.floor(4999 * p))
+    assert sum("prices" in p for p in passes) <= 3 and sum("hot" in p for p in passes) <= 4 and len(passes) <= 20
+    df.unpersist()
+
+
+def test_profile_of_numbers_that_are_not_finite(spark):
+    values = [1.0, 2.0, 3.0, float("inf"), None]
+    df = spark.createDataFrame([(v, k) for k, v in enumerate(values)], "v double, k int")
+    got = {r.column_name: r for r in profile.numeric_profile(df).collect()}
+    assert (got["v"].median, got["v"].p25, got["v"]["max"]) == (2.5, 1.75, math.inf) and got["k"].median == 2.0
+
+
+def test_numeric_profile_shuffles_bins_only(spark, folder):
+    path = f"{folder}/t"
+    spark.range(100_000).selectExpr("id", "id * 3.5D AS v", "cast(id as string) AS t").write.parquet(path)
+    spans = [ranks._Span("v", 0.0, 349_996.5, 0, (50_000,))]
+    cells = spark.read.parquet(path).select(spans[0].bin(False).alias("bin"))
+    assert cells.distinct().count() <= ranks.BINS + 1
+    got = {r.column_name: r.median for r in profile.numeric_profile(spark.read.parquet(path)).collect()}
+    assert got == {"id": 49_999.5, "v": 174_998.25}
+
+
 @pytest.mark.parametrize("values", [[None, None], [1.0], [1.0, 4.0], [1.0, 4.0, 9.0], [3.0, 3.0, None]])
 def test_profile_of_few_values(spark, values):
     df = spark.createDataFrame([(v, "x") for v in values], "v double, t string")
