@@ -32,6 +32,7 @@ def slices(batches: Iterator[pa.RecordBatch], column: str, limit: int = SLICE_BY
             last = max(first + 1, int(np.searchsorted(upto, before + limit, "right")))
             yield batch.slice(first, last - first)
             first = last
+    pa.default_memory_pool().release_unused()  # the worker may be idle for long
 
 
 def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -103,20 +104,18 @@ def _product(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 
 class _PrimePowers:
-    """Powers of the base modulo 2^61 - 1, and their parts of 21 bits."""
+    """Powers of the base modulo 2^61 - 1, in parts of 21 bits."""
 
-    up = np.ones(1, np.uint64)
-    limbs: tuple[np.ndarray, ...] = ()
+    limbs: tuple[np.ndarray, ...] = (np.zeros(0, np.uint32),)
 
     @classmethod
-    def of(cls, n: int) -> tuple[np.ndarray, tuple[np.ndarray, ...]]:
-        if len(cls.up) < n:
-            up = cls.up
-            while len(up) < max(n, SLICE_BYTES + 1):
-                up = np.concatenate([up, _product(up, np.uint64(pow(_BASE, len(up), _PRIME)))])
-            cls.up = up
+    def of(cls, n: int) -> tuple[np.ndarray, ...]:
+        if len(cls.limbs[0]) < n:
+            size, up = max(n, SLICE_BYTES + 1), np.ones(1, np.uint64)
+            while len(up) < size:
+                up = np.concatenate([up, _product(up[: size - len(up)], np.uint64(pow(_BASE, len(up), _PRIME)))])
             cls.limbs = tuple(((up >> at) & np.uint64((1 << 21) - 1)).astype(np.uint32) for at in _LIMBS)
-        return cls.up, cls.limbs
+        return cls.limbs
 
 
 def span_identities(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
@@ -126,13 +125,13 @@ def span_identities(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> n
     """
     if not len(starts):
         return np.zeros(0, np.uint64)
-    up, limbs = _PrimePowers.of(len(data) + 1)
-    bytes_, value = data.astype(np.uint32) + np.uint32(1), np.zeros(len(starts), np.uint64)
+    limbs, total = _PrimePowers.of(len(data) + 1), np.zeros(len(data) + 1, np.uint64)
+    value, rest = np.zeros(len(starts), np.uint64), np.zeros(len(starts), np.uint64)
     for limb, at in zip(limbs, _LIMBS):
-        total = np.zeros(len(data) + 1, np.uint64)
-        np.cumsum(bytes_ * limb[: len(data)], dtype=np.uint64, out=total[1:])
+        np.cumsum((data + np.uint32(1)) * limb[: len(data)], dtype=np.uint64, out=total[1:])
         value = _fold(value + _shifted(_fold(total[ends] - total[starts]), at))
-    value = _product(value, up[len(data) - starts])
+        rest |= limb[len(data) - starts].astype(np.uint64) << at
+    value = _product(value, rest)
     return mix(value ^ mix((ends - starts).astype(np.uint64)))
 
 
