@@ -16,7 +16,7 @@ from shelfline.operators.rows import distinct_on_email
 from shelfline.plans import analytics, kpis, ods, staging
 from shelfline.plans.marts import Models, int_orders_enriched as enrich
 from shelfline.session import scratch_path
-from shelfline.sources import export, files, paths, refused
+from shelfline.sources import export, files, paths, records, refused
 from shelfline.sources.batches import RawTables
 from shelfline.sources.lake import Lake, replace_batch
 from shelfline.sources.star import DAILY, YEARLY, Star
@@ -90,19 +90,20 @@ def scan_json(spark, folder):
     return files.read_json(spark, path, S.POS_SALES)
 
 
-def _in_small_splits(spark: SparkSession, read, size: int = 1 << 16) -> DataFrame:
-    """What ``read`` gives when files are cut into splits of ``size`` bytes; kept, as splits are made when a job runs."""
+def _in_small_splits(spark: SparkSession, path: str, read, least: int = 1 << 16, most: int = 1 << 24) -> DataFrame:
+    """What ``read`` gives when the files at a path are cut into some 64 splits of ``least`` to ``most`` bytes; kept, as splits
+    are made when a job runs."""
     names = ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")
     before = {name: spark.conf.get(name) for name in names}
-    spark.conf.set(names[0], str(size))
+    spark.conf.set(names[0], str(min(max(records.total_bytes(spark, path) // 64, least), most)))
     spark.conf.set(names[1], "0")
     try:
-        path = scratch_path(spark, "split")
-        read().write.parquet(path)
+        kept = scratch_path(spark, "split")
+        read().write.parquet(kept)
     finally:
         for name, value in before.items():
             spark.conf.set(name, value)
-    return spark.read.parquet(path)
+    return spark.read.parquet(kept)
 
 
 @query
@@ -110,17 +111,17 @@ def scan_json_one_file(spark, folder):
     """One file that holds one array, read by many tasks."""
     path = scratch_path(spark, "scan_json_one_file")
     _write_json_arrays(_pos_as_text(Star(spark, folder).pos_sales()), path, "sale_id", chunk=1 << 40)
-    return _in_small_splits(spark, lambda: files.read_json(spark, path, S.POS_SALES))
+    return _in_small_splits(spark, path, lambda: files.read_json(spark, path, S.POS_SALES))
 
 
 @query
 def scan_csv_quoted(spark, folder):
-    """One CSV file with quotes and line breaks in its values, read by many tasks."""
+    """CSV files with quotes and line breaks in their values, each larger than a split and read by many tasks."""
     path = scratch_path(spark, "scan_csv_quoted")
     orders = Star(spark, folder).orders().latest().drop(S.EXEC_DATE)
     noted = orders.withColumn("status", F.concat("status", F.lit("\n\"so, \n"), "order_id", F.lit('"')))
-    _write_csv(noted.coalesce(1), path)
-    return _in_small_splits(spark, lambda: files.read_csv(spark, path, S.ORDERS, multi_line=True))
+    _write_csv(noted.hint("rebalance"), path)
+    return _in_small_splits(spark, path, lambda: files.read_csv(spark, path, S.ORDERS, multi_line=True))
 
 
 @query

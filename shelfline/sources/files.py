@@ -7,7 +7,6 @@ import csv
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from shelfline.schemas import ENTITIES
-from shelfline.session import ensure_checkpoint_dir
 from shelfline.sources import records
 
 #: Names of the columns of a row whose text does not fit the declared type.
@@ -23,12 +22,8 @@ def read_text_csv(spark: SparkSession, path: str, multi_line: bool = False) -> D
     ``multi_line`` is for files with line breaks inside quotes. Files larger than a split are read by several tasks then, too.
     """
     whole = multi_line and not records.in_one_split(spark, path)
-    rows = records.csv_records(spark, path) if whole else None
-    heads = rows.where("first").select("file", "record") if whole else records.csv_headers(spark, path)
+    rows, heads = records.csv_records_and_heads(spark, path) if whole else (None, records.csv_headers(spark, path))
     heads = heads.select("file", F.ltrim(F.col("record"), F.lit("\ufeff")).alias("header"))
-    if whole:  # several passes went into them
-        ensure_checkpoint_dir(spark)
-        heads = heads.checkpoint()
     names = {r.header: [n.strip() for n in next(csv.reader([r.header]), [])] for r in heads.select("header").distinct().collect()}
     if not names:
         raise FileNotFoundError(f"no CSV file with a header at {path}")

@@ -191,9 +191,8 @@ def _pieces(fragments: DataFrame, states: DataFrame, json: bool, whole: bool) ->
     return rows.mapInArrow(run, _PIECE)
 
 
-def _all(spark: SparkSession, path: str, json: bool) -> tuple[DataFrame, DataFrame]:
+def _all(fragments: DataFrame, json: bool) -> tuple[DataFrame, DataFrame]:
     """number, first, record of all records, and the states of the blocks."""
-    fragments = _fragments(spark, path, json)
     states = _states(fragments, json)
     records = _pieces(fragments, states, json, whole=True).select("number", "first", "record")
     # a block may start within a record, and CSV end within one
@@ -212,7 +211,7 @@ def _all(spark: SparkSession, path: str, json: bool) -> tuple[DataFrame, DataFra
 
 def json_objects(spark: SparkSession, path: str) -> DataFrame:
     """record: the text of each object of the JSON files at a path; NULL for each unreadable file."""
-    records, states = _all(spark, path, json=True)
+    records, states = _all(_fragments(spark, path, json=True), json=True)
     at = F.locate("{", F.col("record"))
     objects = records.where(at > 0).select(F.substr("record", at).alias("record"))
     return objects.unionByName(states.where("broken").select("file").distinct().select(F.lit(None).cast("string").alias("record")))
@@ -220,7 +219,25 @@ def json_objects(spark: SparkSession, path: str) -> DataFrame:
 
 def csv_records(spark: SparkSession, path: str) -> DataFrame:
     """file, first (record of the file), record: the records of the CSV files at a path, without their line ends."""
-    records, states = _all(spark, path, json=False)
+    return csv_records_and_heads(spark, path)[0]
+
+
+def csv_records_and_heads(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+    """The records, and file, record of the first of each file. For these only first blocks go through Python, unless a
+    first record goes on in the second block."""
+    fragments = _fragments(spark, path, json=False)
+    records, states = _all(fragments, json=False)
+    rows = _without_ends(records, states)
+    starts = states.where("block = 0")
+    ahead = _pieces(fragments.where("block = 0"), starts, json=False, whole=True).where("first")
+    ensure_checkpoint_dir(spark)
+    heads = _without_ends(ahead, starts).select("file", "record").checkpoint()  # a row for each file
+    if heads.count() < starts.count():
+        heads = rows.where("first").select("file", "record").checkpoint()
+    return rows, heads
+
+
+def _without_ends(records: DataFrame, states: DataFrame) -> DataFrame:
     if states.count() <= MOST_SENT:
         states = F.broadcast(states)
     return records.join(states.select("number", "file"), "number").select(
@@ -261,8 +278,16 @@ def csv_headers(spark: SparkSession, path: str) -> DataFrame:
     return first.groupBy("file").agg(F.min_by("record", "at").alias("record"))
 
 
+def _lengths(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path).select("length")
+
+
+def total_bytes(spark: SparkSession, path: str) -> int:
+    """What the files at a path add up to; asks the listing only."""
+    return _lengths(spark, path).agg(F.sum("length")).first()[0] or 0
+
+
 def in_one_split(spark: SparkSession, path: str) -> bool:
     """Whether every file is small enough to be one task's input anyway; asks the listing only."""
-    listed = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
-    largest = listed.agg(F.max("length")).first()[0] or 0
+    largest = _lengths(spark, path).agg(F.max("length")).first()[0] or 0
     return largest <= spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes()

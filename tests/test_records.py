@@ -9,6 +9,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from catalog import spark_queries
 from shelfline.schemas import POS_SALES, _S, _I, _struct
 from shelfline.sources import files, records
 
@@ -142,3 +143,24 @@ def test_csv_module_agrees(spark, folder, split):
         csv.writer(f, lineterminator="\n").writerows([["p", "q", "r"], *rows])
     got = files.read_text_csv(spark, f"{folder}/w", multi_line=True).fillna("").collect()
     assert sorted(map(list, got)) == sorted(r for r in rows)
+
+
+def test_first_records_are_found_in_first_blocks_or_beyond(spark, folder, split):
+    for name, head in (("a", "id,name"), ("b", "name,id"), ("c", f'id,"{"long" * 60}\nname"')):
+        put(f"{folder}/h/{name}.csv", f"{head}\r\n" + "".join(f'{i},"x\n{i}"\r\n' for i in range(40)))
+    rows, heads = records.csv_records_and_heads(spark, f"{folder}/h")
+    assert sorted(r.record for r in heads.collect()) == sorted(["id,name", "name,id", f'id,"{"long" * 60}\nname"'])
+    assert rows.where("first").count() == 3 and rows.count() == 3 * 41
+
+
+def test_splits_grow_with_the_files(spark, folder):
+    """A file of megabytes is not cut into hundreds of splits."""
+    put(f"{folder}/s/a.csv", "id\n" + "1\n" * 6_000_000)
+    used = []
+
+    def read():
+        used.append(int(spark.conf.get("spark.sql.files.maxPartitionBytes")))
+        return spark.range(1)
+
+    spark_queries._in_small_splits(spark, f"{folder}/s", read)
+    assert used == [12_000_003 // 64]
