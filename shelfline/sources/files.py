@@ -4,13 +4,19 @@ from __future__ import annotations
 
 import csv
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from shelfline.schemas import ENTITIES
 from shelfline.sources import records
 
 #: Names of the columns of a row whose text does not fit the declared type.
 UNCAST = "_uncast"
+#: What numbers and booleans can look like in text. A cast of other text costs an exception, for each value.
+_LOOKS = {
+    T.LongType(): r"[+-]?[0-9]+",
+    T.DoubleType(): r"[+-]?(0x[0-9a-f.]+p[+-]?[0-9]+[fd]?|([0-9]+\.?[0-9]*|\.[0-9]+)(e[+-]?[0-9]+)?[fd]?|nan|inf|infinity)",
+    T.BooleanType(): r"(t|true|y|yes|1|f|false|n|no|0)",
+}
 # Quotes inside quotes are doubled, as in RFC 4180; the writer of refused rows uses the same.
 CSV_QUOTING = {"quote": '"', "escape": '"'}
 
@@ -93,6 +99,11 @@ def read_entity(
     raise ValueError(f"Unsupported file type: {file_type}")
 
 
+def fitted(value: Column, kind: T.DataType) -> Column:
+    """Text as a bigint, double or boolean, NULL where it does not fit."""
+    return F.when(value.rlike(rf"(?i)^[\x00-\x20\x7f]*{_LOOKS[kind]}[\x00-\x20\x7f]*$"), value.try_cast(kind))
+
+
 def inferred(text: DataFrame) -> DataFrame:
     """Columns of text in the narrowest of bigint, double, boolean and text that fits all values.
 
@@ -101,7 +112,7 @@ def inferred(text: DataFrame) -> DataFrame:
     kinds = (T.LongType(), T.DoubleType(), T.BooleanType())
     filled = {c: F.when(F.trim(F.col(c)) != "", F.trim(F.col(c))) for c in text.columns}
     fitting = [
-        F.count(value.try_cast(kind)).alias(f"{i}_{k}")
+        F.count(fitted(value, kind)).alias(f"{i}_{k}")
         for i, value in enumerate(filled.values())
         for k, kind in enumerate(kinds)
     ]

@@ -7,7 +7,7 @@ import os
 import random
 
 import pytest
-from pyspark.sql import functions as F
+from pyspark.sql import functions as F, types as T
 
 from catalog import spark_queries
 from shelfline.schemas import POS_SALES, _S, _I, _struct
@@ -145,6 +145,18 @@ def test_csv_module_agrees(spark, folder, split):
     assert sorted(map(list, got)) == sorted(r for r in rows)
 
 
+def test_guarded_casts_take_what_plain_casts_take(spark):
+    odd = [
+        "1", "12.5", "12.", " 7 ", "+5", "-5", "1d", "1F", "0x1p3", "0x1.8p-2", "Infinity", "-inf", "+INF", "nan", "NaN", ".5", "5.", "1e5",
+        "1E+5", "1e", "id-1", "1995-01-01", "true", "T", "yes", "Y", "n", "0", "f", "False", "tru", "9223372036854775807",
+        "9223372036854775808", "\t8\n", "8\x7f", "\x015", "\xa05", "５", "--1", "+", "", "1\u0085", "TRUE\n", "\x0bno", None,
+    ]
+    rows = spark.createDataFrame([(o,) for o in odd], "v string")
+    for kind in (T.LongType(), T.DoubleType(), T.BooleanType()):
+        plain, own = (c.cast("string") for c in (F.col("v").try_cast(kind), files.fitted(F.col("v"), kind)))
+        assert rows.where(~plain.eqNullSafe(own)).collect() == []
+
+
 def test_first_records_are_found_in_first_blocks_or_beyond(spark, folder, split):
     for name, head in (("a", "id,name"), ("b", "name,id"), ("c", f'id,"{"long" * 60}\nname"')):
         put(f"{folder}/h/{name}.csv", f"{head}\r\n" + "".join(f'{i},"x\n{i}"\r\n' for i in range(40)))
