@@ -42,6 +42,8 @@ BANDS, ROWS = 25, 5
 SIMILAR = (4, 5)
 #: Rounds in which buckets are compared with one node of their largest component; what they leave is settled exactly.
 ROUNDS = 3
+#: Rarer tokens of its node that a token carries, so that a pair is not made again for every token that two nodes share.
+CARRIED = 8
 
 _GOLDEN = 0x9E3779B97F4A7C15
 
@@ -214,21 +216,46 @@ def _tokens(texts: DataFrame) -> DataFrame:
 
 
 def _prefixes(tokens: DataFrame, sizes: DataFrame) -> DataFrame:
-    """node, token: the rarest tokens of each node, so many that two similar nodes have one in common.
+    """node, token, rank, rarer: the rarest tokens of each node, so many that two similar nodes have one in common.
 
     Of n tokens, similar nodes share four fifths at least; without any of the n // 5 + 1 that come first in one
     order of all tokens, too few are left. Tokens that no other node has come first and are of no use.
-    ``sizes``: node, n, shared.
+    ``rank`` is the place of a token in that order, ``rarer`` the last ones before it. ``sizes``: node, n, shared.
     """
     order = Window.partitionBy("node").orderBy("n_nodes", "token")
-    ranked = tokens.withColumn("rank", F.row_number().over(order)).join(sizes, "node")
-    return ranked.where(F.col("rank") + F.col("n") - F.col("shared") <= F.floor(F.col("n") / SIMILAR[1]) + 1).select("node", "token")
+    ranked = tokens.withColumn("rank", F.row_number().over(order)).withColumn(
+        "rarer", F.collect_list("token").over(order.rowsBetween(-CARRIED, -1))
+    ).join(sizes, "node")
+    return ranked.where(F.col("rank") + F.col("n") - F.col("shared") <= F.floor(F.col("n") / SIMILAR[1]) + 1).select("node", "token", "rank", "rarer")
 
 
-def _possible(a: str = "", b: str = "_2") -> Column:
-    """Whether two nodes can be similar: the overlap is at most what each shares with any other."""
-    least = F.least(f"shared{a}", f"shared{b}")
-    return sum(SIMILAR) * least >= SIMILAR[0] * (F.col(f"n{a}") + F.col(f"n{b}"))
+def _sharing(members: DataFrame, prefixes: DataFrame) -> DataFrame:
+    """a, b: nodes of different components that can be similar and share a bucket and a token, a pair about once.
+
+    A pair is left out where both rows carry a lower bucket or a rarer token that is the same: it is made there. It
+    always is in the lowest bucket and with the rarest token that two nodes share, so none is lost. With that token,
+    the overlap is at most the tokens from its rank on.
+    ``members``: bucket, node, n, shared, component; ``prefixes``: node, token, rank, rarer.
+    """
+    # at most one bucket for each band
+    lower = F.collect_list("bucket").over(Window.partitionBy("node").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1))
+    one = members.select("bucket", "node", "n", "shared", "component", lower.alias("lower")).join(prefixes, "node").withColumn(
+        "left", F.col("shared") - F.col("rank") + 1
+    )
+    # both sides are the same rows, shuffled once
+    both = one.alias("l").join(one.alias("r"), ["bucket", "token"]).select(
+        *(F.col(f"{side}.{c}").alias(f"{c}{end}") for side, end in (("l", ""), ("r", "_2")) for c in ("node", "n", "left", "component", "lower", "rarer"))
+    )
+    return both.where(
+        (F.col("node") < F.col("node_2")) & (F.col("component") != F.col("component_2")) & _possible("left") & _similar_size()
+        & ~F.arrays_overlap("rarer", "rarer_2") & ~F.arrays_overlap("lower", "lower_2")
+    ).select(F.col("node").alias("a"), F.col("node_2").alias("b"))
+
+
+def _possible(most: str = "shared") -> Column:
+    """Whether two nodes can be similar: the overlap is at most what each shares with any other, or what is left of that."""
+    least = F.least(most, f"{most}_2")
+    return sum(SIMILAR) * least >= SIMILAR[0] * (F.col("n") + F.col("n_2"))
 
 
 def _ordered(a: Column, b: Column) -> list[Column]:
@@ -313,11 +340,7 @@ def labelled(nodes: DataFrame, rows: DataFrame, tables: Tables) -> DataFrame:
         sizes = sizes.join(shared, "node")
         at_prefixes, prefixes = tables.put(_prefixes(tokens, sizes.select("node", "n", "shared")))
         tables.drop(at_tokens)
-        one = members.select("bucket", "node", "n", "shared", "component").join(prefixes, "node")
-        other = one.select("bucket", "token", *(F.col(c).alias(f"{c}_2") for c in ("node", "n", "shared", "component")))
-        last = one.join(other, ["bucket", "token"]).where(
-            (F.col("node") < F.col("node_2")) & (F.col("component") != F.col("component_2")) & _possible() & _similar_size()
-        ).select(F.col("node").alias("a"), F.col("node_2").alias("b")).distinct()
+        last = _sharing(members.select("bucket", "node", "n", "shared", "component"), prefixes).distinct()
         joined(last, labels)
         tables.drop(at_prefixes)
     tables.drop(at_open, at_texts, *tried)

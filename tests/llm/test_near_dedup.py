@@ -57,6 +57,35 @@ def test_loose_group(documents, against_sql):
     assert against_sql(near_dedup.classes(df), ORACLE["op1_near_dedup"], documents=table) is None
 
 
+def test_pairs_are_made_about_once(spark):
+    """Nodes that share several buckets and many tokens: no similar pair is lost, and none is made for each bucket and token."""
+    rng = random.Random(4)
+    tokens = {}
+    for node in range(60):
+        own = set(range(100))
+        for _ in range(rng.choice([1, 4, 8, 12])):
+            own = own - {rng.randrange(100)} | {rng.choice([100 + rng.randrange(40), 1000 * node + 1000])}
+        tokens[node] = own
+    n_nodes = {t: sum(t in own for own in tokens.values()) for t in set().union(*tokens.values())}
+    held = [(n, t, n_nodes[t]) for n, own in tokens.items() for t in own if n_nodes[t] > 1]
+    shared = {n: sum(n == m for m, _, _ in held) for n in tokens}
+    buckets = {n: rng.sample(range(6), 3) for n in tokens}
+    sizes = spark.createDataFrame([(n, len(own), shared[n]) for n, own in tokens.items()], "node long, n long, shared long")
+    prefixes = near_dedup._prefixes(spark.createDataFrame(held, "node long, token long, n_nodes long"), sizes)
+    members = spark.createDataFrame(
+        [(b, n, len(tokens[n]), shared[n], n % 20) for n, own in buckets.items() for b in own], "bucket long, node long, n long, shared long, component long"
+    )
+    got = [tuple(r) for r in near_dedup._sharing(members, prefixes).collect()]
+    near = {(a, b) for a in tokens for b in tokens if a < b and a % 20 != b % 20 and set(buckets[a]) & set(buckets[b])}
+    similar = {(a, b) for a, b in near if 5 * len(tokens[a] & tokens[b]) >= 4 * len(tokens[a] | tokens[b])}
+    assert similar and similar <= set(got) <= near
+    each = {n: set() for n in tokens}
+    for r in prefixes.collect():
+        each[r.node].add(r.token)
+    before = sum(len(each[a] & each[b]) * len(set(buckets[a]) & set(buckets[b])) for a, b in near)
+    assert len(got) <= 1.2 * len(set(got)) < before / 4
+
+
 def test_keep_one(documents):
     df, _ = documents(rows())
     classes = {r.class_id for r in near_dedup.classes(df.where("text rlike '[^\\\\s]' and doc_id is not null")).collect()}
