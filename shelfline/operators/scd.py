@@ -170,12 +170,15 @@ def as_of(facts: DataFrame, history: DataFrame, key: str, day: str, calendar: Da
     For any history, one with a version per batch or per change. The date is first mapped to the
     batch in force, by a table of one row per batch. The distinct pairs of key and batch are then
     sorted together with the versions of the key, and each pair takes the last version before it;
-    facts meet versions on equality. A key with many facts and many versions never forms their
-    product: what is sorted per key is bounded by the calendar.
+    pairs meet their versions first, so facts are shuffled for one join, on equality. A key with many facts
+    and many versions never forms their product: what is sorted per key is bounded by the calendar.
+
+    Dates without a batch stay in all branches and match nothing: a filter on them would reach the facts of one
+    branch only, and these would be made twice.
     """
     # Days and batch dates merged into one sorted list: every day takes the last batch
     # before it. The list has one row per calendar day, so one task may sort it.
-    days = facts.select(F.col(day).alias("_day")).where(F.col("_day").isNotNull()).distinct()
+    days = facts.select(F.col(day).alias("_day")).distinct()
     marks = days.withColumn("_mark", F.lit(None).cast("date")).unionByName(
         calendar.select(F.col(EXEC_DATE).alias("_day"), F.col(EXEC_DATE).alias("_mark"))
     )
@@ -184,9 +187,9 @@ def as_of(facts: DataFrame, history: DataFrame, key: str, day: str, calendar: Da
         marks.withColumn("_batch", F.last("_mark", ignorenulls=True).over(so_far))
         .where(F.col("_mark").isNull()).select("_day", "_batch")
     )
-    placed = facts.join(in_force, F.col(day) == F.col("_day"), "left").drop("_day")
+    placed = facts.join(F.broadcast(in_force), F.col(day) == F.col("_day"), "left").drop("_day")
     none = F.lit(None).cast("date")
-    pairs = placed.where("_batch is not null").select(F.col(key).alias("_key"), "_batch").distinct()
+    pairs = placed.select(F.col(key).alias("_key"), "_batch").distinct()
     line = pairs.select("_key", F.col("_batch").alias("_at"), none.alias("_from"), none.alias("_to")).unionByName(
         history.select(
             F.col(key).alias("_key"), F.col(VALID_FROM).alias("_at"), F.col(VALID_FROM).alias("_from"), F.col(VALID_TO).alias("_to")
@@ -198,13 +201,7 @@ def as_of(facts: DataFrame, history: DataFrame, key: str, day: str, calendar: Da
         line.withColumn("_v", version).where("_from is null and (_v._to is null or _v._to > _at)")
         .select("_key", "_at", F.col("_v._from").alias("_start")).where("_start is not null")
     )
-    started = placed.join(
-        valid, (F.col(key) == F.col("_key")) & (F.col("_batch") == F.col("_at")), "left"
-    ).drop("_key", "_at", "_batch")
     renamed = history.withColumnsRenamed({c: f"v_{c}" for c in history.columns})
-    matched = started.join(
-        renamed,
-        (F.col(key) == F.col(f"v_{key}")) & (F.col("_start") == F.col(f"v_{VALID_FROM}")),
-        "left",
-    )
-    return matched.drop("_start")
+    versions = valid.join(renamed, (F.col("_key") == F.col(f"v_{key}")) & (F.col("_start") == F.col(f"v_{VALID_FROM}")))
+    matched = placed.join(versions, (F.col(key) == F.col("_key")) & (F.col("_batch") == F.col("_at")), "left")
+    return matched.drop("_key", "_at", "_batch", "_start")

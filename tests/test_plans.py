@@ -2,9 +2,11 @@
 
 import pytest
 
+from shelfline.operators import scd
 from shelfline.plans import analytics, kpis
 from shelfline.plans.marts import Models
-from shelfline.sources.star import Star
+from shelfline.sources.batches import RawTables
+from shelfline.sources.star import YEARLY, Star
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -52,3 +54,14 @@ def test_stored_marts_are_read_by_column(spark, models, folder):
     text = plan(kpis.kpis(Marts.read(spark, folder)))
     assert "EqualTo(status,completed)" in text and "quantity" not in text
     assert analytics.top_customers(Marts.read(spark, folder)).collect() == analytics.top_customers(models.marts).collect()
+
+
+def test_point_in_time_makes_its_orders_once(spark, models):
+    star = Star(spark, FOLDER)
+    dated = Models(RawTables(star.customers(YEARLY), star.products(), star.orders()))
+    placed = scd.as_of(models.stg_orders, dated.scd_customers, "customer_id", "order_date", dated.calendar)
+    text = placed._jdf.queryExecution().optimizedPlan().toString()
+    joins = [line for line in text.splitlines() if "Join LeftOuter" in line]
+    # the orders meet versions once, and the pairs are taken from the same orders, not from filtered ones
+    assert sum("_batch#" in j for j in joins) == 1 and not any("_start#" in j for j in joins)
+    assert "isnotnull(order_date" not in text
