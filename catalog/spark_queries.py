@@ -207,8 +207,8 @@ def layer_row_counts(spark, folder):
 @query
 def report_export(spark, folder):
     root = scratch_path(spark, "reports")
-    marts = _models(spark, folder).marts
-    written = export.export_reports({n: f(marts) for n, f in analytics.REPORTS.items()}, root)
+    with analytics.completed_once(_models(spark, folder).marts) as marts:
+        written = export.export_reports({n: f(marts) for n, f in analytics.REPORTS.items()}, root)
     return runs.row_counts(
         {name: spark.read.option("header", True).csv(path) for name, path in written.items()}, spark
     )

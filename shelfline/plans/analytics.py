@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window, functions as F
 
 from shelfline.functions import money_sum, month_component, month_of, percent, ratio
@@ -17,6 +21,16 @@ def completed(marts: Marts) -> DataFrame:
     return marts.fct_orders.where(F.col("status") == "completed")
 
 
+@contextmanager
+def completed_once(marts: Marts) -> Iterator[Marts]:
+    """The same marts with the completed orders alone, kept while several reports read them."""
+    kept = completed(marts).drop("shipping_days", "gross_revenue_dollars").persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        yield Marts(lambda: kept, lambda: marts.customers, lambda: marts.products)
+    finally:
+        kept.unpersist()
+
+
 def monthly_revenue(orders: DataFrame) -> DataFrame:
     return orders.groupBy(month_of(F.col("order_date")).alias("month")).agg(
         F.count_distinct("order_id").alias("total_orders"),

@@ -65,3 +65,11 @@ def test_point_in_time_makes_its_orders_once(spark, models):
     # the orders meet versions once, and the pairs are taken from the same orders, not from filtered ones
     assert sum("_batch#" in j for j in joins) == 1 and not any("_start#" in j for j in joins)
     assert "isnotnull(order_date" not in text
+
+
+def test_reports_share_the_completed_orders(models):
+    alone = {name: report(models.marts).collect() for name, report in analytics.REPORTS.items()}
+    with analytics.completed_once(models.marts) as marts:
+        for name, report in analytics.REPORTS.items():
+            assert "InMemoryTableScan" in plan(report(marts))
+            assert report(marts).collect() == alone[name]
