@@ -56,6 +56,11 @@ def test_stored_marts_are_read_by_column(spark, models, folder):
     assert analytics.top_customers(Marts.read(spark, folder)).collect() == analytics.top_customers(models.marts).collect()
 
 
+def test_stored_fact_is_not_shuffled_to_even_its_files(models):
+    assert "REBALANCE" not in plan(models.stored("fct_orders"))
+    assert "REBALANCE" in plan(models.stored("dim_customers"))
+
+
 def test_point_in_time_makes_its_orders_once(spark, models):
     star = Star(spark, FOLDER)
     dated = Models(RawTables(star.customers(YEARLY), star.products(), star.orders()))
