@@ -41,9 +41,7 @@ def int_orders_enriched(orders: DataFrame, customers: DataFrame, products: DataF
         F.col("supplier_country").alias("product_supplier_country"),
     )
     gross = F.col("quantity").cast("bigint") * F.col("price_cents")
-    joined = orders.join(p, F.col("product_id") == F.col("p_id"), "left").join(
-        c, F.col("customer_id") == F.col("c_id"), "left"
-    )
+    joined = staging.with_products(orders, p, "p_id").join(c, F.col("customer_id") == F.col("c_id"), "left")
     return joined.select(
         "order_id", "order_date", "quantity", "discount_pct", "status", "shipping_days",
         F.col("c_id").alias("customer_id"),
@@ -90,9 +88,9 @@ def dim_customers(
     Measures depend on customer_id alone, so they are aggregated before the versions
     are joined: the versions never multiply the orders.
     """
-    prices = products.select("product_id", "price_cents")
+    prices = products.select(F.col("product_id").alias("p_id"), "price_cents")
     worth = F.col("quantity").cast("bigint") * F.col("price_cents")
-    measures = orders.join(prices, "product_id", "left").groupBy("customer_id").agg(
+    measures = staging.with_products(orders, prices, "p_id").groupBy("customer_id").agg(
         F.count_distinct("order_id").alias("n"), F.sum(worth).alias("value")
     )
     return (
@@ -176,13 +174,17 @@ class Models:
     def stg_products(self) -> DataFrame:
         return staging.stg_products(self.raw.products)
 
+    @cached_property
+    def placed_orders(self) -> DataFrame:
+        return staging.placed_orders(self.raw.orders)
+
     @cached_property
     def stg_orders(self) -> DataFrame:
-        return staging.stg_orders(self.raw.orders)
+        return self.placed_orders.drop(staging.PART)
 
     @cached_property
     def int_orders_enriched(self) -> DataFrame:
-        return int_orders_enriched(self.stg_orders, self.stg_customers, self.stg_products)
+        return int_orders_enriched(self.placed_orders, self.stg_customers, self.stg_products)
 
     @cached_property
     def scd_customers(self) -> DataFrame:
@@ -206,11 +208,11 @@ class Models:
 
     @cached_property
     def dim_customers(self) -> DataFrame:
-        return dim_customers(self.scd_customers, self.stg_orders, self.stg_products)
+        return dim_customers(self.scd_customers, self.placed_orders, self.stg_products)
 
     @cached_property
     def dim_customers_masked(self) -> DataFrame:
-        return dim_customers(self.scd_customers, self.stg_orders, self.stg_products, mask=True)
+        return dim_customers(self.scd_customers, self.placed_orders, self.stg_products, mask=True)
 
     @cached_property
     def dim_products(self) -> DataFrame:
@@ -240,9 +242,9 @@ class Models:
     def write(self, root: str) -> None:
         """Materialise the marts. Staging stays lazy, except that the staged orders, which all
         three marts read, are kept while they are written."""
-        self.stg_orders.persist(StorageLevel.MEMORY_AND_DISK)
+        self.placed_orders.persist(StorageLevel.MEMORY_AND_DISK)
         try:
             for name in ("dim_customers", "dim_products", "fct_orders"):
                 self.stored(name).write.mode("overwrite").parquet(f"{root}/{name}")
         finally:
-            self.stg_orders.unpersist()
+            self.placed_orders.unpersist()

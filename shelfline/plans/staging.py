@@ -9,6 +9,10 @@ from shelfline.operators.rows import distinct_on_email
 from shelfline.schemas import EXEC_DATE
 from shelfline.sources.batches import BatchTable, RawTables
 
+#: The part of its product that an order is in, and their number: a product with most of the orders is not one task's.
+PART = "_part"
+PARTS = 8
+
 
 def guarded(raw: RawTables) -> RawTables:
     """The raw tables without the rows the guardrails reject."""
@@ -76,5 +80,26 @@ def clean_orders(rows: DataFrame) -> DataFrame:
     )
 
 
+def placed_orders(raw: BatchTable) -> DataFrame:
+    """``stg_orders`` by product and ``PART``: the shuffle that finds equal rows also serves a join with products."""
+    part = F.pmod(F.xxhash64("order_id"), F.lit(PARTS)).cast("int")
+    return clean_orders(raw.latest()).withColumn(PART, part).repartition("product_id", PART).distinct()
+
+
+def with_products(orders: DataFrame, products: DataFrame, key: str = "product_id") -> DataFrame:
+    """Each order with its product, if there is one. ``key`` names the id in ``products``.
+
+    Placed orders stay where they are; a product goes to all parts, once each.
+    """
+    on = orders["product_id"] == products[key]
+    if PART not in orders.columns:
+        return orders.join(products, on, "left")
+    part = F.explode(F.array(*(F.lit(k) for k in range(PARTS))))
+    in_parts = products.withColumn("_in_part", part)
+    return orders.join(
+        in_parts, (orders["product_id"] == in_parts[key]) & (orders[PART] == in_parts["_in_part"]), "left"
+    ).drop(PART, "_in_part")
+
+
 def stg_orders(raw: BatchTable) -> DataFrame:
-    return clean_orders(raw.latest()).distinct()
+    return placed_orders(raw).drop(PART)

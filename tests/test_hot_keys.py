@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from shelfline import schemas as S
 from shelfline.operators import quality, upsert
-from shelfline.plans import analytics, kpis
+from shelfline.plans import analytics, kpis, staging
 from shelfline.plans.marts import Models
 from shelfline.sources.batches import BatchTable, RawTables
 
@@ -96,6 +96,36 @@ def test_country_kpis(models, fact):
     assert everything.non_completed == f[f.status != "completed"].order_id.nunique()
 
 
+@pytest.mark.parametrize("broadcast", ["10MB", "-1"])
+def test_orders_meet_their_products_in_all_parts(spark, models, fact, broadcast):
+    _, f = fact
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", broadcast)
+    try:
+        rows = models.int_orders_enriched.select("order_id", "product_id", "customer_id", "price_cents").collect()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert staging.PART not in models.stg_orders.columns and models.stg_orders.count() == len(f)
+    assert len({r.order_id for r in rows if r.product_id == "p7"}) > staging.PARTS
+    want = {(o, p if cents == cents else None, c if known == "both" else None, None if cents != cents else int(cents))
+            for o, p, c, known, cents in zip(f.order_id, f.product_id, f.customer_id, f.known, f.price_cents)}
+    assert len(rows) == len(f) and {tuple(r) for r in rows} == want
+
+
+def test_repeated_products_and_absent_keys_in_parts(spark):
+    schema = "order_id string, customer_id string, product_id string, quantity int, discount_pct int, order_date string, status string, shipping_days int"
+    line = ("c1", "p1", 1, 0, "2024-01-01", "pending", 3)
+    raw = spark.createDataFrame(
+        [("o1", *line), ("o1", *line), ("o2", *line), ("o3", "c1", "p9", *line[2:]), ("o4", "c1", None, *line[2:]), (None, *line)], schema)
+    orders = staging.placed_orders(BatchTable(lambda: raw.withColumn(S.EXEC_DATE, F.lit(DAY)), (DAY,)))
+    goods = spark.createDataFrame([("p1", 5), ("p1", 6), (None, 7)], "product_id string, price_cents long")
+    keyed = goods.withColumnRenamed("product_id", "p_id")
+    got = sorted((r.order_id, r.p_id, r.price_cents) for r in staging.with_products(orders, keyed, "p_id").collect() if r.p_id)
+    assert got == [("o1", "p1", 5), ("o1", "p1", 6), ("o2", "p1", 5), ("o2", "p1", 6)]
+    plain = staging.with_products(orders.drop(staging.PART), keyed, "p_id")
+    assert sorted(map(str, plain.collect())) == sorted(map(str, staging.with_products(orders, keyed, "p_id").collect()))
+    assert plain.where("order_id = 'o3'").first().p_id is None and plain.count() == 5
+
+
 def test_duplicates_of_a_hot_id_are_all_held(spark):
     df = spark.range(6000).select(
         F.when(F.col("id") < 2000, "hot").otherwise(F.col("id").cast("string")).alias("product_id"),

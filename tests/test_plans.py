@@ -61,6 +61,20 @@ def test_stored_fact_is_not_shuffled_to_even_its_files(models):
     assert "REBALANCE" in plan(models.stored("dim_customers"))
 
 
+@pytest.mark.parametrize("make", [lambda m: m.int_orders_enriched, lambda m: m.fct_orders, lambda m: kpis.extra_kpis(m.marts)])
+def test_one_shuffle_of_orders_for_distinct_rows_and_products(spark, models, make):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        fresh = Models(models.raw)
+        lines = [line for line in plan(make(fresh)).splitlines() if "Exchange hashpartitioning(" in line]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    of_products = [line for line in lines if "hashpartitioning(product_id" in line]
+    assert len(of_products) == 1 and "_part" in of_products[0] and "REPARTITION_BY_COL" in of_products[0]
+    # no other shuffle has whole rows as its key
+    assert not any("hashpartitioning(order_id" in line and "shipping_days" in line for line in lines)
+
+
 def test_point_in_time_makes_its_orders_once(spark, models):
     star = Star(spark, FOLDER)
     dated = Models(RawTables(star.customers(YEARLY), star.products(), star.orders()))
