@@ -79,6 +79,68 @@ def test_pieces_depend_on_their_words_only():
     assert hashes[-1] == hashes[first_piece[4] - 1]
 
 
+def grams_like_brute_force(text):
+    """(byte, six bytes before it, what the word has before them) for each byte of a text."""
+    data = b"".join(w + b" " for w in text.split()) + lm_score.END
+    word = 0
+    for i, byte in enumerate(data):
+        yield byte, data[max(0, i - 6): i], data[word: max(word, i - 6)]
+        if byte == 32:
+            word = i + 1
+
+
+def test_grams_of_texts():
+    texts = [b"one two", b"", b"internationalisation " * 3, b"a\x00 \x00b xinternationalisation", b"internationalist one two"]
+    offsets = np.append(0, np.cumsum([len(t) for t in texts]))
+    got, in_word = lm_score.grams_of(*lm_score.split(b"".join(texts), offsets))
+    want = [g for t in texts for g in grams_like_brute_force(t)]
+    assert len(got) == len(want) == in_word.sum()
+    for gram, (byte, before, rest) in zip(got.tolist(), want):
+        assert gram.to_bytes(8, "little")[:7] == bytes([byte]) + before[::-1].ljust(6, b"\x00") and (gram >> 56 > 0) == (len(rest) > 0)
+    same = {}
+    assert all(same.setdefault(w, g) == g for w, g in zip(want, got.tolist()))
+
+
+def test_every_occurrence_of_every_byte_is_learnt(documents):
+    data = [(i, t) for i, t in rows(60) if i is not None]
+    learnt = [t for i, t in data if zlib.crc32(str(i).encode()) % 5 != 1]
+    lower = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
+    want = Counter(g[:2] for t in learnt for g in grams_like_brute_force((t or "").encode().translate(lower)))
+    df, _ = documents(data)
+    packed = lm_score._grams(df.withColumn("held_out", lm_score.held_out(F.col("doc_id")))).toArrow()
+    got = Counter()
+    for gram, n in lm_score._unpacked(packed, gram=np.uint64, n=np.int64):
+        for g, c in zip(gram.tolist(), n.tolist()):
+            raw = g.to_bytes(8, "little")
+            got[raw[0], raw[1:7]] += c
+    assert got == Counter({(b, before[::-1].ljust(6, b"\x00")): n for (b, before), n in want.items()})
+
+
+def test_words_are_scored_where_they_stand(documents):
+    rng = random.Random(4)
+    learnt = [i for i in range(1000) if zlib.crc32(str(i).encode()) % 5 != 1][:300]
+    out = [i for i in range(1000) if zlib.crc32(str(i).encode()) % 5 == 1][:2]
+    # all four words are as frequent; what follows a word goes with its last letter
+    pairs = [("pola", "umo"), ("pide", "esi")]
+    texts = [(i, " ".join(w for _ in range(20) for w in rng.choice(pairs))) for i in learnt]
+    df, _ = documents([*texts, (out[0], "pola umo pide esi"), (out[1], "pola esi pide umo")])
+    got = {r.doc_id: r.score for r in lm_score.score(df).where("held_out").collect()}
+    assert got[out[0]] > got[out[1]] + 1
+
+
+def test_kept_grams_have_their_own_probabilities(spark, documents, monkeypatch):
+    df, _ = documents([(i, t) for i, t in rows(80) if i is not None])
+    model = lm_score.fit(df.withColumn("held_out", lm_score.held_out(F.col("doc_id"))))
+    rng = np.random.default_rng(3)
+    grams = rng.integers(0, 1 << 12, 20_000).astype(np.uint64)
+    monkeypatch.setattr(lm_score, "KEPT", 6)
+    monkeypatch.setattr(lm_score._Shared, "kept", None)
+    want = model.shared.tables(model.weights, model.refined).coded(grams)
+    for _ in range(3):
+        assert np.allclose(model.coded(grams), want, rtol=1e-6)
+    lm_score._Shared.kept = None
+
+
 def test_nothing_learnt_and_no_rows(documents):
     out = next(i for i in range(100) if zlib.crc32(str(i).encode()) % 5 == 1)
     df, _ = documents([(out, "some text"), (out, None)])
