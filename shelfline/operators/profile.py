@@ -26,8 +26,11 @@ def value_counts(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
     """
     names = columns or df.columns
     text = df.select(*(F.col(c).cast("string").alias(c) for c in names))
-    melted = text.unpivot([], names, "column_name", "value")
-    return melted.groupBy("column_name", "value").agg(F.count("*").alias("n"))
+    # Numbers stand for the names until the values are counted.
+    cells = F.array(*(F.struct(F.lit(i).alias("number"), F.col(f"`{c}`").alias("value")) for i, c in enumerate(names)))
+    counted = text.select(F.inline(cells)).groupBy("number", "value").agg(F.count("*").alias("n"))
+    named = F.array(*(F.lit(c) for c in names))
+    return counted.select(F.get(named, F.col("number")).alias("column_name"), "value", "n")
 
 
 def completeness(counts: DataFrame) -> DataFrame:

@@ -107,10 +107,17 @@ def dim_customers(
 
 
 def dim_products(products: DataFrame, orders: DataFrame) -> DataFrame:
-    """Products with their order measures, aggregated per product before the join."""
-    sold = orders.groupBy("product_id").agg(
+    """Products with their order measures, aggregated per product before the join.
+
+    An order id is in one part of its product, so placed orders are counted where they are and the counts of
+    the parts add up.
+    """
+    placed = [c for c in (staging.PART,) if c in orders.columns]
+    sold = orders.groupBy("product_id", *placed).agg(
         F.count_distinct("order_id").alias("n"), F.sum("quantity").alias("units")
     )
+    if placed:
+        sold = sold.groupBy("product_id").agg(F.sum("n").alias("n"), F.sum("units").alias("units"))
     units = F.coalesce("units", F.lit(0))
     return products.join(sold, "product_id", "left").select(
         "product_id", "product_name", "category", "price_cents", "stock_quantity",
@@ -216,7 +223,7 @@ class Models:
 
     @cached_property
     def dim_products(self) -> DataFrame:
-        return dim_products(self.stg_products, self.stg_orders)
+        return dim_products(self.stg_products, self.placed_orders)
 
     @cached_property
     def marts(self) -> Marts:
@@ -241,10 +248,11 @@ class Models:
 
     def write(self, root: str) -> None:
         """Materialise the marts. Staging stays lazy, except that the staged orders, which all
-        three marts read, are kept while they are written."""
-        self.placed_orders.persist(StorageLevel.MEMORY_AND_DISK)
+        three marts read, are kept while they are written: in memory, as far as they fit. Others are made
+        again from the files of their shuffle, which are there anyway, and not written a second time."""
+        self.placed_orders.persist(StorageLevel.MEMORY_ONLY)
         try:
             for name in ("dim_customers", "dim_products", "fct_orders"):
-                self.stored(name).write.mode("overwrite").parquet(f"{root}/{name}")
+                self.stored(name).write.mode("overwrite").option("compression", "zstd").parquet(f"{root}/{name}")
         finally:
             self.placed_orders.unpersist()

@@ -227,3 +227,13 @@ def test_forecast_table_is_replaced_whole(spark, folder):
     assert table.write(made(), at[2]) == 0
     got = table.read().select("*", F.unix_seconds("model_generated_at").alias("t")).collect()
     assert [(r.product_category, r.forecasted_net_revenue, r.t) for r in got] == [("a/b", 3.0, at[1].timestamp())]
+
+
+def test_value_counts_by_column(spark):
+    df = spark.createDataFrame([(1, "a", None), (2, "a", "1"), (None, "b", "1")], "k int, t string, z string")
+    got = {(r.column_name, r.value): r.n for r in profile.value_counts(df).collect()}
+    assert got == {
+        ("k", "1"): 1, ("k", "2"): 1, ("k", None): 1, ("t", "a"): 2, ("t", "b"): 1, ("z", None): 1, ("z", "1"): 2,
+    }
+    few = profile.value_counts(df, ["z", "t"])
+    assert few.columns == ["column_name", "value", "n"] and {r.column_name for r in few.collect()} == {"z", "t"}
