@@ -120,10 +120,17 @@ def test_words_are_scored_where_they_stand(documents):
     rng = random.Random(4)
     learnt = [i for i in range(1000) if zlib.crc32(str(i).encode()) % 5 != 1][:300]
     out = [i for i in range(1000) if zlib.crc32(str(i).encode()) % 5 == 1][:2]
-    # all four words are as frequent; what follows a word goes with its last letter
-    pairs = [("pola", "umo"), ("pide", "esi")]
+    # what follows a word goes with its last letter; all four words are about as frequent
+    pairs = [("pola", "uno"), ("pide", "esi")]
     texts = [(i, " ".join(w for _ in range(20) for w in rng.choice(pairs))) for i in learnt]
-    df, _ = documents([*texts, (out[0], "pola umo pide esi"), (out[1], "pola esi pide umo")])
+
+    def one_piece(text):
+        return len(lm_score.pieces(np.frombuffer(text.encode(), np.uint8), np.array([0, len(text)]))[3]) == 1
+
+    # a new word in the only piece, so that no piece is a known one
+    said = ((f"q{k} pola uno q{k} pide esi q{k}", f"q{k} pola esi q{k} pide uno q{k}") for k in range(1000))
+    usual, other = next(x for x in said if all(map(one_piece, x)))
+    df, _ = documents([*texts, (out[0], usual), (out[1], other)])
     got = {r.doc_id: r.score for r in lm_score.score(df).where("held_out").collect()}
     assert got[out[0]] > got[out[1]] + 1
 
